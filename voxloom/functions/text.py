@@ -6,7 +6,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Unicode white space, including U+001C..U+001F, which Java's own classes leave out.
-WHITESPACE = r"\s\x0b\x1c-\x1f\x85   -     　"
+WHITESPACE = (
+    r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+)
 
 _EMPTY_WORDS = "array<string>"
 _FIRST_SHARED_SYMBOL = 3
@@ -56,6 +59,18 @@ def char_edits(reference: Column, hypothesis: Column) -> Column:
     return F.when(left == right, F.lit(0)).otherwise(F.levenshtein(left, right)).cast("long")
 
 
+def symbol_digits(position: Column, unshared: int) -> Column:
+    """UTF-32 hex digits of the symbol of the word at a 1-based vocabulary position.
+
+    Position 0 stands for a word outside the vocabulary. The range reserved for
+    surrogates is stepped over, because those code points cannot be decoded.
+    """
+    code = position + F.lit(_FIRST_SHARED_SYMBOL - 1)
+    code = F.when(code >= _SURROGATE_START, code + _SURROGATE_COUNT).otherwise(code)
+    code = F.when(position == 0, F.lit(unshared).cast("long")).otherwise(code)
+    return F.lpad(F.hex(code), 8, "0")
+
+
 def word_edits(reference: Column, hypothesis: Column) -> Column:
     """Edit distance over the words of two normalized texts.
 
@@ -64,15 +79,9 @@ def word_edits(reference: Column, hypothesis: Column) -> Column:
     symbols of their own; the others share one symbol per side.
     """
 
-    def spelled(tokens: Column, shared: Column, unshared_symbol: int) -> Column:
-        def symbol(word: Column) -> Column:
-            position = F.array_position(shared, word)
-            code = position + F.lit(_FIRST_SHARED_SYMBOL - 1)
-            code = F.when(code >= _SURROGATE_START, code + _SURROGATE_COUNT).otherwise(code)
-            code = F.when(position == 0, F.lit(unshared_symbol).cast("long")).otherwise(code)
-            return F.lpad(F.hex(code), 8, "0")
-
-        return F.decode(F.unhex(F.concat_ws("", F.transform(tokens, symbol))), "UTF-32")
+    def spelled(tokens: Column, shared: Column, unshared: int) -> Column:
+        symbols = F.transform(tokens, lambda w: symbol_digits(F.array_position(shared, w), unshared))
+        return F.decode(F.unhex(F.concat_ws("", symbols)), "UTF-32")
 
     # The one-element array binds each side once, so no word list is rebuilt per word.
     sides = F.array(F.struct(words(reference).alias("ref"), words(hypothesis).alias("hyp")))
