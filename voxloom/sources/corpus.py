@@ -6,7 +6,7 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom import constants as C
@@ -22,7 +22,10 @@ def file_path() -> Column:
 
 
 def file_inventory(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """Every file below ``root`` as (path, length); no content is read."""
+    """Every file below ``root`` as (path, length); no content is read.
+
+    Zero-byte files hold no audio and are not listed.
+    """
     return (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
@@ -39,6 +42,13 @@ def partition_listing(inventory: DataFrame) -> DataFrame:
     ).where(F.col("corpus").isNotNull() & F.col("split").isNotNull() & F.col("language").isNotNull())
 
 
+def parquet_reader(spark: SparkSession, merge_schema: bool = True) -> DataFrameReader:
+    """Reads only Parquet files, since audio files may lie beside them."""
+    return spark.read.option("mergeSchema", str(merge_schema).lower()).option(
+        "pathGlobFilter", "*.parquet"
+    )
+
+
 def read_partitioned(
     spark: SparkSession, root: str, merge_schema: bool = True, files: list[str] | None = None
 ) -> DataFrame:
@@ -47,7 +57,7 @@ def read_partitioned(
     ``source_file`` names the file of each row.
     """
     spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    reader = spark.read.option("basePath", root).option("mergeSchema", str(merge_schema).lower())
+    reader = parquet_reader(spark, merge_schema).option("basePath", root)
     frame = reader.parquet(*(files or [root]))
     missing = [key for key in PARTITION_KEYS if key not in frame.columns]
     if missing:
@@ -58,7 +68,7 @@ def read_partitioned(
 def read_globs(spark: SparkSession, root: str, patterns: str) -> DataFrame:
     """Parquet files below ``root`` allowed by any of the ';'-separated globs."""
     globs = [f"{root}/{pattern.strip()}" for pattern in patterns.split(";") if pattern.strip()]
-    return spark.read.option("mergeSchema", "true").parquet(*globs)
+    return parquet_reader(spark).parquet(*globs)
 
 
 def shard_keys(df: DataFrame, path: Column) -> DataFrame:
@@ -81,7 +91,7 @@ def shard_keys(df: DataFrame, path: Column) -> DataFrame:
 
 def read_raw_shards(spark: SparkSession, root: str, files: list[str] | None = None) -> DataFrame:
     """Raw shards below ``root`` as one corpus; unmatched file names are skipped."""
-    frame = spark.read.option("mergeSchema", "true").parquet(*(files or [f"{root}/*/*.parquet"]))
+    frame = parquet_reader(spark).parquet(*(files or [f"{root}/*/*.parquet"]))
     frame = frame.drop(*C.LANGUAGE_COLUMNS, "split").withColumn(SOURCE_FILE, file_path())
     return shard_keys(frame, F.col(SOURCE_FILE)).withColumn("corpus", F.lit("ASR"))
 
@@ -162,9 +172,9 @@ def read_by_schema(spark: SparkSession, root: str, raw: bool = False) -> list[Da
     so every file is still read once.
     """
     if raw:
-        files = spark.read.parquet(f"{root}/*/*.parquet").inputFiles()
+        files = parquet_reader(spark, False).parquet(f"{root}/*/*.parquet").inputFiles()
     else:
-        files = spark.read.option("basePath", root).parquet(root).inputFiles()
+        files = parquet_reader(spark, False).option("basePath", root).parquet(root).inputFiles()
     by_signature: dict[str, list[str]] = {}
     for row in file_schemas(spark, files).toLocalIterator():
         by_signature.setdefault(row.signature, []).append(row.file)
