@@ -77,3 +77,6 @@ LOG_LOSS = "CTC Loss"
 LOG_WER = "Word Error Rate (WER)"
 LOG_UER = "Unit Error Rate (UER)"
 LOG_LR = "Learning Rate"
+
+# Where a checkpoint directory keeps its model weights.
+CHECKPOINT_WEIGHTS = "model/pp_00/tp_00/sdp_00.pt"

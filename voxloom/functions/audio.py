@@ -74,8 +74,7 @@ def _walk_chunks(data: bytes) -> tuple[int, int, int] | None:
     return None
 
 
-@F.pandas_udf(_METADATA)
-def _walked_metadata(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+def _walk_batches(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     columns = ["sample_rate", "channels", "n_samples"]
     for series in parts:
         rows = [_walk_chunks(x) if x is not None else None for x in series]
@@ -90,7 +89,7 @@ def with_wav_metadata(df: DataFrame, data: Column, name: str = "wav") -> DataFra
     sent to Python, where their chunks are walked.
     """
     plain = has_plain_wav_header(data)
-    walked = _walked_metadata(F.when(~plain, data))
+    walked = F.pandas_udf(_walk_batches, _METADATA)(F.when(~plain, data))
     metadata = F.when(plain, plain_wav_metadata(data)).otherwise(walked)
     return df.withColumn(name, metadata)
 

@@ -24,9 +24,12 @@ def lenient_long(column: Column) -> Column:
 
 
 def fixed_decimals(column: Column, decimals: int = 2) -> Column:
-    """Text with a fixed number of decimals: '' for null, unparsable text unchanged."""
+    """Text with a fixed number of decimals: '' for null, unparsable text unchanged.
+
+    The binary value is rounded half to even, so 0.125 shows as 0.12.
+    """
     number = lenient_double(column)
-    shown = F.format_string(f"%.{decimals}f", number)
+    shown = F.call_function("format_number", number, F.lit("0." + "0" * decimals))
     special = F.when(F.isnan(number), "nan").when(number > 0, "inf").otherwise("-inf")
     infinite = F.abs(number) == float("inf")
     return (

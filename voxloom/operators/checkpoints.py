@@ -13,7 +13,6 @@ from voxloom import constants as C
 from voxloom.functions import parsing as P
 
 RUN_STEP = ["run", "step"]
-CHECKPOINT_WEIGHTS = "model/pp_00/tp_00/sdp_00.pt"
 
 
 def parsed_log(log: DataFrame) -> DataFrame:
@@ -30,7 +29,7 @@ def parsed_log(log: DataFrame) -> DataFrame:
 
 def checkpoint_inventory(files: DataFrame) -> DataFrame:
     """(run, step, path) of the checkpoints below ``ws_*`` whose weight file exists."""
-    found = rf"^(.*/(ws_[^/]*)/checkpoints/step_([^/]*))/{CHECKPOINT_WEIGHTS}$"
+    found = rf"^(.*/(ws_[^/]*)/checkpoints/step_([^/]*))/{C.CHECKPOINT_WEIGHTS}$"
     path = F.col("path")
     return files.where(path.rlike(found)).select(
         F.regexp_extract(path, found, 2).alias("run"),

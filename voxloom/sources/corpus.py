@@ -50,16 +50,21 @@ def parquet_reader(spark: SparkSession, merge_schema: bool = True) -> DataFrameR
 
 
 def read_partitioned(
-    spark: SparkSession, root: str, merge_schema: bool = True, files: list[str] | None = None
+    spark: SparkSession,
+    root: str,
+    keys: list[str] = PARTITION_KEYS,
+    merge_schema: bool = True,
+    files: list[str] | None = None,
 ) -> DataFrame:
     """``root/corpus=*/split=*/language=*/*.parquet`` with text partition keys.
 
-    ``source_file`` names the file of each row.
+    ``keys`` names other partition directories. ``source_file`` is the file of
+    each row.
     """
     spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
     reader = parquet_reader(spark, merge_schema).option("basePath", root)
     frame = reader.parquet(*(files or [root]))
-    missing = [key for key in PARTITION_KEYS if key not in frame.columns]
+    missing = [key for key in keys if key not in frame.columns]
     if missing:
         raise FileNotFoundError(f"no {missing} partition directories below {root}")
     return frame.withColumn(SOURCE_FILE, file_path())
@@ -181,7 +186,7 @@ def read_by_schema(spark: SparkSession, root: str, raw: bool = False) -> list[Da
     groups = [sorted(by_signature[key]) for key in sorted(by_signature)]
     if raw:
         return [read_raw_shards(spark, root, group) for group in groups]
-    return [read_partitioned(spark, root, False, group) for group in groups]
+    return [read_partitioned(spark, root, merge_schema=False, files=group) for group in groups]
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
