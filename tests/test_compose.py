@@ -99,7 +99,7 @@ def test_lookup_too_large_to_broadcast_gives_the_same_rows(spark, two_roots, mon
 
     plain = P.compose_two(spark, two_roots[0], "alpha", two_roots[1], "beta").corpus()
     expected = sorted(map(str, plain.select("text", "audio.path", "source_file").collect()))
-    monkeypatch.setattr(paths, "_BROADCAST_ROWS", 0)
+    monkeypatch.setattr(paths, "within_bounds", lambda table: False)
     shuffled = P.compose_two(spark, two_roots[0], "alpha", two_roots[1], "beta").corpus()
     assert expected == sorted(map(str, shuffled.select("text", "audio.path", "source_file").collect()))
 
@@ -174,3 +174,19 @@ def test_globs_and_odd_file_names(spark, tmp_path):
     seen = {r.p for r in frame.select(S.file_path().alias("p")).collect()}
     listed = {r.path for r in S.file_inventory(spark, f"{tmp_path}/ASR", "*.parquet").collect()}
     assert seen == listed == {f"{tmp_path}/ASR/lug/a b+c%20.parquet", f"{tmp_path}/ASR/lin/c.parquet"}
+
+
+def test_scans_by_schema_find_odd_file_names(spark, tmp_path):
+    folder = tmp_path / "corpus=a" / "split=s x" / "language=l"
+    put(folder / "p q%20+{x}[1].parquet", text=["a"])
+    put(folder / "plain.parquet", text=["b"], duration=[1.0])
+    frames = S.read_by_schema(spark, str(tmp_path))
+    assert sorted(sorted(f.columns) for f in frames) == [
+        ["corpus", "duration", "language", "source_file", "split", "text"],
+        ["corpus", "language", "source_file", "split", "text"],
+    ]
+    rows = S.union_all(frames).collect()
+    assert {(r.text, r.source_file) for r in rows} == {
+        ("a", f"{folder}/p q%20+{{x}}[1].parquet"),
+        ("b", f"{folder}/plain.parquet"),
+    }

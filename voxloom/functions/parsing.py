@@ -97,14 +97,18 @@ def is_resolvable(path: Column) -> Column:
 
 def join_path(base: Column, relative: Column) -> Column:
     """``base/relative`` with '.', '..' and doubled slashes resolved by text alone."""
-    scheme = F.regexp_extract(base, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)", 1)
-    rest = F.regexp_replace(base, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*", "")
-    segments = F.split(F.concat(rest, F.lit("/"), relative), "/")
+    scheme_and_host = r"^([A-Za-z][A-Za-z0-9+.-]*://[^/]*)"
+    scheme = F.regexp_extract(base, scheme_and_host, 1)
+    local = F.concat(F.regexp_replace(base, scheme_and_host, ""), F.lit("/"), relative)
     resolved = F.aggregate(
-        segments,
+        F.split(local, "/"),
         F.array().cast("array<string>"),
         lambda done, part: F.when(part.isin("", "."), done)
         .when(part == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))))
         .otherwise(F.concat(done, F.array(part))),
     )
-    return F.concat(scheme, F.lit("/"), F.array_join(resolved, "/"))
+    # Most paths have nothing to resolve.
+    plain = F.when(
+        local.rlike(r"/\.{0,2}(/|$)"), F.concat(F.lit("/"), F.array_join(resolved, "/"))
+    ).otherwise(local)
+    return F.concat(scheme, plain)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from voxloom import constants as C
+from voxloom.session import spread_if_few_files
 
 # Takes the inputs of one batch and the language hints (or None), returns one text each.
 Predictor = Callable[[list, list | None], list]
@@ -49,7 +50,7 @@ def transcribe(
                 error=pd.Series(errors, index=frame.index, dtype=object),
             )
 
-    return df.mapInPandas(run, schema)
+    return spread_if_few_files(df).mapInPandas(run, schema)
 
 
 def _predict_batch(predict: Predictor, inputs: list, hint: str | None) -> list[tuple]:

@@ -38,12 +38,16 @@ def label_by_base(labels: DataFrame) -> DataFrame:
     )
 
 
-def harmonize_language(df: DataFrame, labels: DataFrame, name: str = "language") -> DataFrame:
+def label_lookup(labels: DataFrame) -> DataFrame:
+    """(base, label) of the ``language`` values in use, broadcast when measured small."""
+    return broadcast_if_small(label_by_base(labels.select("language").distinct()))
+
+
+def harmonize_language(df: DataFrame, lookup: DataFrame, name: str = "language") -> DataFrame:
     """Give ``df`` the labels that another corpus uses for the same language base.
 
-    ``labels`` has a ``language`` column. Unmatched languages keep their own label.
+    ``lookup`` comes from ``label_lookup``. Unmatched languages keep their own label.
     """
-    lookup = broadcast_if_small(label_by_base(labels.select("language").distinct()))
     joined = df.withColumn("base", language_base(F.col(name))).join(lookup, "base", "left")
     return joined.withColumn(name, F.coalesce("label", name)).drop("base", "label")
 

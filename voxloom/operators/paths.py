@@ -9,11 +9,10 @@ from pyspark.sql import types as T
 from voxloom import constants as C
 from voxloom.functions import parsing as P
 from voxloom.operators.joins import plain_columns, spread_nulls
-from voxloom.session import cut_lineage
+from voxloom.session import cut_lineage, within_bounds
 from voxloom.sources.corpus import SOURCE_FILE, union_all
 
 RESOLVED = "resolved_paths"
-_BROADCAST_ROWS = 50_000
 
 
 def base_folders(folder: Column, root: Column) -> Column:
@@ -66,27 +65,25 @@ def resolve_audio_paths(df: DataFrame, inventory: DataFrame, root: Column) -> Da
         ]
     )
     lookup = cut_lineage(spark, resolve_keys(keys, inventory), "resolved-paths")
-    found = lookup.count()
     result = df.withColumn(RESOLVED, F.lit(0).cast("long"))
-    if found == 0:
+    if lookup.isEmpty():
         return result
-    small = found <= _BROADCAST_ROWS
+    small = within_bounds(lookup)
+    side = F.broadcast(lookup) if small else lookup
     for name in columns:
-        result = _apply(result, lookup, name, folder, small)
+        result = _apply(result, side, name, folder, spread=not small)
     return result
 
 
-def _apply(df: DataFrame, lookup: DataFrame, name: str, folder: Column, small: bool) -> DataFrame:
+def _apply(df: DataFrame, lookup: DataFrame, name: str, folder: Column, spread: bool) -> DataFrame:
     path = F.col(name)["path"]
-    resolvable = P.is_resolvable(path)
     # Rows without a relative path have no match; in a shuffle they are spread
     # over keys that cannot match instead of meeting in one task.
-    key = F.when(resolvable, path)
-    if not small:
+    key = F.when(P.is_resolvable(path), path)
+    if spread:
         key = spread_nulls(key, *plain_columns(df))
     keyed = df.withColumn("folder", folder).withColumn("relative", key)
-    side = F.broadcast(lookup) if small else lookup
-    joined = keyed.join(side, ["folder", "relative"], "left")
+    joined = keyed.join(lookup, ["folder", "relative"], "left")
     return (
         joined.withColumn(
             name,

@@ -42,13 +42,11 @@ def empty_line(columns: list) -> str:
 
 def valid_lines(runs: DataFrame, log: DataFrame) -> DataFrame:
     """Validation rows of every run, with the n/a row where a run logged nothing."""
-    lines = metric_lines(log, VALID_COLUMNS)
-    return (
-        runs.select("run")
-        .distinct()
-        .join(lines, "run", "left")
-        .withColumn("line", F.coalesce("line", F.lit(empty_line(VALID_COLUMNS))))
-    )
+    names = runs.select("run").distinct()
+    lines = metric_lines(log, VALID_COLUMNS).join(names, "run", "left_semi")
+    silent = names.join(log.select("run").distinct(), "run", "left_anti")
+    missing = silent.withColumn("line", F.lit(empty_line(VALID_COLUMNS)))
+    return lines.unionByName(missing, allowMissingColumns=True)
 
 
 def summary_lines(best: DataFrame) -> DataFrame:

@@ -6,13 +6,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.functions import text as T
+from voxloom.session import spread_if_few_files
 
 COUNTS = ["word_edits", "word_total", "char_edits", "char_total"]
 
 
 def score_rows(df: DataFrame, reference: str = "reference", prediction: str = "prediction") -> DataFrame:
     """Add edit and unit counts per row; a null text counts as empty."""
-    normalized = df.withColumns(
+    normalized = spread_if_few_files(df).withColumns(
         {"ref_norm": T.normalize(F.col(reference)), "hyp_norm": T.normalize(F.col(prediction))}
     )
     ref, hyp = F.col("ref_norm"), F.col("hyp_norm")

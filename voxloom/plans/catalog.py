@@ -77,8 +77,8 @@ def script_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 def lang_harmonize(spark: SparkSession, sf: str) -> DataFrame:
     second = V.second_corpus(spark, sf)
-    labels = V.first_corpus(spark, sf).select("language")
-    return L.harmonize_language(second, labels).select("doc_id", "language")
+    lookup = L.label_lookup(V.first_corpus(spark, sf))
+    return L.harmonize_language(second, lookup).select("doc_id", "language")
 
 
 def pair_lookup(spark: SparkSession, sf: str) -> DataFrame:
@@ -97,32 +97,32 @@ def compose_union(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def _two_corpus_rows(spark: SparkSession, sf: str) -> DataFrame:
-    parts = [V.first_corpus(spark, sf), V.second_corpus(spark, sf)]
-    marked = [Z.mark_usable(V.with_audio(part)) for part in parts]
-    marked = [part.withColumn("source_language", F.col("language")) for part in marked]
-    marked[1] = L.harmonize_language(marked[1], marked[0].select("language"))
-    rows = L.map_two_corpus_splits(S.union_all(marked))
-    rows = rows.withColumnRenamed("split", "source_split")
-    return resolve_audio_paths(rows, V.audio_inventory(spark, sf), F.lit(V.ROOT))
+def _aligned(parts: list[DataFrame], lookup: DataFrame) -> DataFrame:
+    """Both corpora with audio, common labels and destination splits."""
+    parts = [V.with_audio(part).withColumn("source_language", F.col("language")) for part in parts]
+    both = S.union_all([parts[0], L.harmonize_language(parts[1], lookup)])
+    return L.map_two_corpus_splits(both).withColumnRenamed("split", "source_split")
 
 
-def _two_corpus_files(spark: SparkSession, sf: str) -> DataFrame:
-    """Source files before labelled rows left the first corpus, so some hold no row."""
-    parts = [V.first_corpus(spark, sf, whole=True), V.second_corpus(spark, sf)]
-    parts = [V.with_audio(part).withColumn("source_language", F.col("language")) for part in parts]
-    parts[1] = L.harmonize_language(parts[1], V.first_corpus(spark, sf).select("language"))
-    files = L.map_two_corpus_splits(S.union_all(parts)).withColumnRenamed("split", "source_split")
-    return files.select(*M.MANIFEST_KEYS, "source_file").distinct()
+def _two_corpus_rows(spark: SparkSession, sf: str, lookup: DataFrame) -> DataFrame:
+    parts = [V.first_corpus(spark, sf), V.second_corpus(spark, sf)]
+    rows = _aligned([Z.mark_usable(part) for part in parts], lookup)
+    return resolve_audio_paths(rows, V.audio_inventory(spark, sf), F.lit(V.ROOT))
 
 
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
-    return M.composition_manifest(_two_corpus_rows(spark, sf), _two_corpus_files(spark, sf))
+    lookup = L.label_lookup(V.first_corpus(spark, sf))
+    rows = _two_corpus_rows(spark, sf, lookup)
+    # Files as listed before labelled rows left the first corpus, so some hold no row.
+    parts = [V.first_corpus(spark, sf, whole=True), V.second_corpus(spark, sf)]
+    files = _aligned(parts, lookup).select(*M.MANIFEST_KEYS, "source_file").distinct()
+    return M.composition_manifest(rows, files)
 
 
 def composition_gate(spark: SparkSession, sf: str) -> DataFrame:
     keys = [*M.MANIFEST_KEYS, "file"]
-    rows = _two_corpus_rows(spark, sf).withColumn("file", F.col("source_file"))
+    rows = _two_corpus_rows(spark, sf, L.label_lookup(V.first_corpus(spark, sf)))
+    rows = rows.withColumn("file", F.col("source_file"))
     return M.emptied_partitions(M.composition_manifest(rows, None, keys)).select(*keys, "dropped_rows")
 
 
@@ -218,6 +218,7 @@ def glob_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 def log_scan(spark: SparkSession, sf: str) -> DataFrame:
     log = V.run_logs(spark, sf, "view")
+    log = log.withColumn("run", F.concat(F.lit("ws_"), F.col("line_order") % 20))
     fields = F.to_json(F.struct(*[f"`{name}`" for name in D.LOG_FIELDS]))
     broken = F.col("line_order") % 17 == 0
     lines = log.select("run", F.when(broken, F.lit("{not json")).otherwise(fields).alias("value"))

@@ -256,7 +256,7 @@ CASE WHEN corpus = 'src1' THEN '/r/asr/' || language || '/part-' || doc_id || '-
      ELSE '/r/data/ASR/' || language || '/x/' || language || '-' || split || '-' || doc_id || '.parquet' END AS path
 FROM utterances WHERE split <> 'dev' AND corpus NOT IN ('src2', 'src3')""",
     "glob_scan": f"WITH {UTTERANCES} SELECT doc_id, audio_size FROM utterances WHERE language IN ('fr', 'de')",
-    "log_scan": f"""WITH {RUNS} SELECT run, step, loss, wer, uer FROM train WHERE line_order % 17 <> 0""",
+    "log_scan": f"""WITH {RUNS} SELECT 'ws_' || line_order % 20 AS run, step, loss, wer, uer FROM train WHERE line_order % 17 <> 0""",
     "submission_scan": f'WITH {SUBMISSION} SELECT sample_id, target AS "Target", count(*) AS rows FROM submission GROUP BY ALL',
     "audio_index": f"WITH {SUBMISSION} SELECT stem, path FROM audio",
     "evaluation_split": f"WITH {UTTERANCES} SELECT doc_id, 'fr_asr' AS config, split, text FROM utterances WHERE language = 'fr' AND split = 'test'",

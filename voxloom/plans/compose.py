@@ -79,7 +79,7 @@ def compose_two(
     absent = M.missing_source_splits(present, expected).collect()
     if absent:
         raise FileNotFoundError(f"no partitions for {[(r.source, r.split) for r in absent]}")
-    labels = files[0].select("language")
+    labels = L.label_lookup(files[0])
     aligned = []
     for group in (rows, files):
         relabelled = L.harmonize_language(group[1], labels)

@@ -56,12 +56,33 @@ def cut_lineage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 50_000) -> DataFrame:
-    """Hint a broadcast only after counting that ``df`` has at most ``max_rows`` rows.
+def within_bounds(
+    df: DataFrame, max_rows: int = 100_000, max_bytes: int = 32 * 1024 * 1024
+) -> bool:
+    """Measure whether a flat table has at most that many rows and bytes."""
+    width = F.lit(0)
+    for name, kind in df.dtypes:
+        size = F.octet_length(F.col(f"`{name}`")) if kind == "string" else F.lit(16)
+        width = width + F.coalesce(size, F.lit(0))
+    found = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(width)).first()
+    return found[0] <= max_rows and (found[1] or 0) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """Hint a broadcast only after measuring that ``df`` is within bounds.
+
+    Meant for lookup tables. A larger table comes back without the hint, so the
+    join shuffles and AQE splits its skewed partitions.
+    """
+    return F.broadcast(df) if within_bounds(df) else df
+
+
+def spread_if_few_files(df: DataFrame) -> DataFrame:
+    """Use every core for costly row work on a table of fewer files than cores.
 
-    Meant for narrow lookup tables (labels, paths). A larger table comes back
-    without the hint, so the join shuffles and AQE splits its skewed partitions.
+    Large inputs have enough splits and are left where they are.
     """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df

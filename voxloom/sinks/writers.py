@@ -61,8 +61,13 @@ def write_filled(df: DataFrame, path: str, source: str) -> None:
     """The filled table as CSV parts in input row order."""
     refuse_overlap(path, [source])
     ordered = df.orderBy(ROW_ORDER).drop(ROW_ORDER)
-    ordered.write.mode("overwrite").option("escape", '"').option("emptyValue", "").csv(
-        path, header=True
+    ordered.write.mode("overwrite").csv(
+        path,
+        header=True,
+        escape='"',
+        emptyValue="",
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
     )
 
 

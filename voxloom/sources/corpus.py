@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import reduce
+from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -174,21 +176,29 @@ def read_by_schema(spark: SparkSession, root: str, raw: bool = False) -> list[Da
 
     Which columns exist is a property of each file, and a merged schema cannot
     tell a column a file lacks from one that is null. The scans share no file,
-    so every file is still read once.
+    so every file is still read once. A corpus of one schema is one plain scan.
     """
+    reader = parquet_reader(spark, merge_schema=False)
     if raw:
-        files = parquet_reader(spark, False).parquet(f"{root}/*/*.parquet").inputFiles()
+        listed = reader.parquet(f"{root}/*/*.parquet").inputFiles()
     else:
-        files = parquet_reader(spark, False).option("basePath", root).parquet(root).inputFiles()
+        listed = reader.option("basePath", root).parquet(root).inputFiles()
     by_signature: dict[str, list[str]] = {}
-    for row in file_schemas(spark, files).toLocalIterator():
-        by_signature.setdefault(row.signature, []).append(row.file)
+    for row in file_schemas(spark, listed).toLocalIterator():
+        by_signature.setdefault(row.signature, []).append(_as_pattern(row.file))
     groups = [sorted(by_signature[key]) for key in sorted(by_signature)]
+    if len(groups) == 1:
+        groups = [None]
     if raw:
         return [read_raw_shards(spark, root, group) for group in groups]
     return [read_partitioned(spark, root, merge_schema=False, files=group) for group in groups]
 
 
+def _as_pattern(uri: str) -> str:
+    """A listed file URI as a reader path: decoded, with glob characters escaped."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(uri))
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     """All rows of all frames; a column a frame lacks is null there."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
