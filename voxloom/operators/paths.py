@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,56 +46,70 @@ def resolve_keys(keys: DataFrame, inventory: DataFrame) -> DataFrame:
     )
 
 
-def resolve_audio_paths(df: DataFrame, inventory: DataFrame, root: Column) -> DataFrame:
-    """Replace resolvable ``path`` fields and count the replacements per row.
+@dataclass
+class PathLookup:
+    """The resolved keys of a table, and how to join them."""
 
-    Null, blank, absolute and unmatched paths stay. Only paths are read to find
-    the matches, never audio bytes, and rows are matched to the (folder, path)
-    lookup by a broadcast as long as its counted size allows one.
-    """
+    keys: DataFrame
+    columns: list[str]
+    small: bool
+
+    def attach(self, df: DataFrame, path: Column, name: str) -> DataFrame:
+        """Add the resolved path of each row as ``name``, null where there is none."""
+        # Rows without a relative path have no match; in a shuffle they are spread
+        # over keys that cannot match instead of meeting in one task.
+        key = F.when(P.is_resolvable(path), path)
+        if not self.small:
+            key = spread_nulls(key, *plain_columns(df))
+        keyed = df.withColumns({"folder": P.parent(F.col(SOURCE_FILE)), "relative": key})
+        side = F.broadcast(self.keys) if self.small else self.keys
+        joined = keyed.join(side, ["folder", "relative"], "left")
+        return joined.withColumnRenamed("resolved", name).drop("folder", "relative")
+
+
+def path_lookup(df: DataFrame, inventory: DataFrame, root: Column) -> PathLookup:
+    """Resolve the distinct relative paths of ``df``; reads paths, never audio bytes."""
     columns = [name for name in C.AUDIO_COLUMNS if _has_path(df, name)]
     if not columns:
-        return df.withColumn(RESOLVED, F.lit(0).cast("long"))
-    spark = df.sparkSession
-    folder = P.parent(F.col(SOURCE_FILE))
+        return PathLookup(df, [], True)
     keys = union_all(
         [
             df.where(P.is_resolvable(F.col(name)["path"])).select(
-                folder.alias("folder"), F.col(name)["path"].alias("relative"), root.alias("root")
+                P.parent(F.col(SOURCE_FILE)).alias("folder"),
+                F.col(name)["path"].alias("relative"),
+                root.alias("root"),
             )
             for name in columns
         ]
     )
-    lookup = cut_lineage(spark, resolve_keys(keys, inventory), "resolved-paths")
-    result = df.withColumn(RESOLVED, F.lit(0).cast("long"))
-    if lookup.isEmpty():
-        return result
-    small = within_bounds(lookup)
-    side = F.broadcast(lookup) if small else lookup
-    for name in columns:
-        result = _apply(result, side, name, folder, spread=not small)
-    return result
-
-
-def _apply(df: DataFrame, lookup: DataFrame, name: str, folder: Column, spread: bool) -> DataFrame:
-    path = F.col(name)["path"]
-    # Rows without a relative path have no match; in a shuffle they are spread
-    # over keys that cannot match instead of meeting in one task.
-    key = F.when(P.is_resolvable(path), path)
-    if spread:
-        key = spread_nulls(key, *plain_columns(df))
-    keyed = df.withColumn("folder", folder).withColumn("relative", key)
-    joined = keyed.join(lookup, ["folder", "relative"], "left")
-    return (
-        joined.withColumn(
-            name,
-            F.when(
-                F.col("resolved").isNotNull(), F.col(name).withField("path", F.col("resolved"))
-            ).otherwise(F.col(name)),
-        )
-        .withColumn(RESOLVED, F.col(RESOLVED) + F.col("resolved").isNotNull().cast("long"))
-        .drop("folder", "relative", "resolved")
-    )
+    resolved = cut_lineage(df.sparkSession, resolve_keys(keys, inventory), "resolved-paths")
+    if resolved.isEmpty():
+        columns = []
+    return PathLookup(resolved, columns, within_bounds(resolved))
+
+
+def replace_paths(df: DataFrame, lookup: PathLookup) -> DataFrame:
+    """Put resolved paths in; null, blank, absolute and unmatched paths stay."""
+    for name in lookup.columns:
+        found = F.col("found_path")
+        updated = F.when(found.isNotNull(), F.col(name).withField("path", found))
+        df = lookup.attach(df, F.col(name)["path"], "found_path")
+        df = df.withColumn(name, updated.otherwise(F.col(name))).drop("found_path")
+    return df
+
+
+def count_replacements(df: DataFrame, lookup: PathLookup, columns: list[str]) -> DataFrame:
+    """The given columns with the number of paths ``replace_paths`` changes in each row.
+
+    Paths are taken out of their structs first, so no audio bytes are read.
+    """
+    paths = [F.col(name)["path"].alias(f"{name}_path") for name in lookup.columns]
+    counted = df.select(*columns, *paths).withColumn(RESOLVED, F.lit(0).cast("long"))
+    for name in lookup.columns:
+        counted = lookup.attach(counted, F.col(f"{name}_path"), "found_path")
+        changed = F.col("found_path").isNotNull().cast("long")
+        counted = counted.withColumn(RESOLVED, F.col(RESOLVED) + changed).drop("found_path")
+    return counted.select(*columns, RESOLVED)
 
 
 def _has_path(df: DataFrame, name: str) -> bool:
@@ -101,4 +117,3 @@ def _has_path(df: DataFrame, name: str) -> bool:
         return False
     kind = df.schema[name].dataType
     return isinstance(kind, T.StructType) and "path" in kind.names
-

@@ -23,7 +23,7 @@ from voxloom.operators import scoring as Q
 from voxloom.operators import stats as H
 from voxloom.operators import submission as B
 from voxloom.operators.inference import transcribe
-from voxloom.operators.paths import RESOLVED, resolve_audio_paths
+from voxloom.operators.paths import count_replacements, path_lookup, replace_paths
 from voxloom.plans import compose
 from voxloom.plans import views as V
 from voxloom.session import scratch_path
@@ -107,7 +107,8 @@ def _aligned(parts: list[DataFrame], lookup: DataFrame) -> DataFrame:
 def _two_corpus_rows(spark: SparkSession, sf: str, lookup: DataFrame) -> DataFrame:
     parts = [V.first_corpus(spark, sf), V.second_corpus(spark, sf)]
     rows = _aligned([Z.mark_usable(part) for part in parts], lookup)
-    return resolve_audio_paths(rows, V.audio_inventory(spark, sf), F.lit(V.ROOT))
+    paths = path_lookup(rows, V.audio_inventory(spark, sf), F.lit(V.ROOT))
+    return count_replacements(rows, paths, [*M.MANIFEST_KEYS, S.SOURCE_FILE, Z.KEEP])
 
 
 def manifest(spark: SparkSession, sf: str) -> DataFrame:
@@ -135,8 +136,11 @@ def manifest_round_trip(spark: SparkSession, sf: str) -> DataFrame:
 
 def resolve_paths(spark: SparkSession, sf: str) -> DataFrame:
     rows = V.audio_paths(spark, sf)
-    resolved = resolve_audio_paths(rows, V.audio_inventory(spark, sf), F.lit(V.ROOT))
-    return resolved.select("doc_id", F.col("audio.path").alias("path"), RESOLVED)
+    lookup = path_lookup(rows, V.audio_inventory(spark, sf), F.lit(V.ROOT))
+    resolved = replace_paths(rows.withColumn("given", F.col("audio.path")), lookup)
+    path = F.col("audio.path")
+    replaced = (~path.eqNullSafe(F.col("given"))).alias("replaced")
+    return resolved.select("doc_id", path.alias("path"), replaced)
 
 
 def _written(spark: SparkSession, rows: DataFrame, name: str, *keys: str) -> str:

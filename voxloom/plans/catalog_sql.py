@@ -98,11 +98,12 @@ WORD_SCORES = f"""{PAIRS},
 tokens AS (
   SELECT conv_id, turn, role, list_filter(string_split(ref, ' '), lambda t: t <> '') AS rw,
          list_filter(string_split(hyp, ' '), lambda t: t <> '') AS hw FROM pairs),
+vocabularies AS (SELECT *, list_distinct(list_concat(rw, hw)) AS v FROM tokens),
 coded AS (
   SELECT conv_id, turn, role, len(rw) AS n, len(hw) AS m,
-         list_transform(rw, lambda w: list_position(list_distinct(list_concat(rw, hw)), w)) AS a,
-         list_transform(hw, lambda w: list_position(list_distinct(list_concat(rw, hw)), w)) AS b
-  FROM tokens),
+         list_transform(rw, lambda w: list_position(v, w)) AS a,
+         list_transform(hw, lambda w: list_position(v, w)) AS b
+  FROM vocabularies),
 steps AS (
   SELECT conv_id, turn, role, n, m, a, b, 0 AS k, [0]::BIGINT[] AS last, []::BIGINT[] AS before FROM coded
   UNION ALL
@@ -239,7 +240,7 @@ places AS (
   SELECT doc_id, unnest([folder, regexp_replace(folder, '/[^/]*$', ''), '/data/' || corpus, '/data']) || '/clips/' || file AS place,
          generate_subscripts([1, 2, 3, 4], 1) AS rank FROM named WHERE open),
 found AS (SELECT doc_id, arg_min(place, rank) AS place FROM places WHERE place IN (SELECT path FROM inventory) GROUP BY 1)
-SELECT doc_id, coalesce(place, path) AS path, (place IS NOT NULL)::BIGINT AS resolved_paths FROM named LEFT JOIN found USING (doc_id)""",
+SELECT doc_id, coalesce(place, path) AS path, place IS NOT NULL AS replaced FROM named LEFT JOIN found USING (doc_id)""",
     "compose_corpus": f"""WITH {COMPOSED} SELECT doc_id, source AS corpus, destination_split AS split, language,
 split AS source_split, corpus AS origin, text, quality FROM sources JOIN split_pairs USING (source, split)
 WHERE {KEEP} AND (source = 'second' OR num_samples >= 400)""",

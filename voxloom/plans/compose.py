@@ -10,28 +10,30 @@ from pyspark.sql import functions as F
 from voxloom.functions import parsing as P
 from voxloom.operators import labels as L
 from voxloom.operators import manifest as M
-from voxloom.operators.paths import RESOLVED, resolve_audio_paths
+from voxloom.operators.paths import count_replacements, path_lookup, replace_paths
 from voxloom.operators.sanitize import KEEP, mark_usable
+from voxloom.session import cut_lineage
 from voxloom.sinks.writers import refuse_overlap, write_corpus, write_manifest
 from voxloom.sources import corpus as S
 
 
 @dataclass
 class Composition:
-    """Marked rows of all sources, and every source file, with manifest keys."""
+    """Marked rows of all sources, their path counts, every source file, manifest keys."""
 
     rows: DataFrame
+    counted: DataFrame
     files: DataFrame
     keys: list[str]
 
     def manifest(self) -> DataFrame:
-        return M.composition_manifest(self.rows, self.files, self.keys)
+        return M.composition_manifest(self.counted, self.files, self.keys)
 
     def corpus(self) -> DataFrame:
         """The rows to write; the source split and file stay as columns."""
         kept = self.rows.where(KEEP).withColumn("split", F.col("destination_split"))
         return kept.drop(
-            KEEP, RESOLVED, "destination_split", "source_language", "source", "source_dataset"
+            KEEP, "destination_split", "source_language", "source", "source_dataset"
         )
 
 
@@ -41,8 +43,8 @@ def marked_source(
     inventory: DataFrame,
     raw: bool = False,
     corpus: str | None = None,
-) -> DataFrame:
-    """All rows of one source with ``keep``, resolved paths and partition keys.
+) -> tuple[DataFrame, DataFrame]:
+    """All rows of one source with ``keep`` and resolved paths, and their path counts.
 
     Usability is judged per file schema, before sources are aligned.
     """
@@ -50,8 +52,10 @@ def marked_source(
     rows = S.union_all(marked)
     if corpus is not None:
         rows = rows.where(F.col("corpus") == corpus)
-    keys = rows.withColumn("source_language", F.col("language")).drop("lang", "shard")
-    return resolve_audio_paths(keys, inventory, F.lit(plain_root(root)))
+    rows = rows.withColumn("source_language", F.col("language")).drop("lang", "shard")
+    lookup = path_lookup(rows, inventory, F.lit(plain_root(root)))
+    kept = [*S.PARTITION_KEYS, "source_language", S.SOURCE_FILE, KEEP]
+    return replace_paths(rows, lookup), count_replacements(rows, lookup, kept)
 
 
 def plain_root(root: str) -> str:
@@ -66,14 +70,14 @@ def compose_two(
 
     The second corpus takes over the language labels of the first.
     """
-    rows, files = [], []
+    rows, counted, files = [], [], []
     for role, root, name in (("first", first_root, first), ("second", second_root, second)):
         inventory = S.file_inventory(spark, root)
         listed = S.partition_listing(inventory.where(F.endswith("path", F.lit(".parquet"))))
         listed = listed.where(F.col("corpus") == name)
         files.append(_named_files(listed, source=F.lit(role)))
-        source = marked_source(spark, root, inventory, corpus=name)
-        rows.append(source.withColumn("source", F.lit(role)))
+        for group, part in zip((rows, counted), marked_source(spark, root, inventory, corpus=name)):
+            group.append(part.withColumn("source", F.lit(role)))
     expected = L.two_corpus_splits(spark)
     present = S.union_all(files).select("source", "split").distinct()
     absent = M.missing_source_splits(present, expected).collect()
@@ -81,7 +85,7 @@ def compose_two(
         raise FileNotFoundError(f"no partitions for {[(r.source, r.split) for r in absent]}")
     labels = L.label_lookup(files[0])
     aligned = []
-    for group in (rows, files):
+    for group in (rows, counted, files):
         relabelled = L.harmonize_language(group[1], labels)
         both = S.union_all([group[0], relabelled])
         aligned.append(L.map_two_corpus_splits(both).withColumnRenamed("split", "source_split"))
@@ -90,7 +94,7 @@ def compose_two(
 
 def compose_roots(spark: SparkSession, roots: list[str]) -> Composition:
     """Any number of partitioned roots; validation splits of any name stay apart."""
-    rows, files = [], []
+    rows, counted, files = [], [], []
     for root in roots:
         name = F.lit(plain_root(root).rsplit("/", 1)[-1])
         inventory = S.file_inventory(spark, root)
@@ -98,11 +102,11 @@ def compose_roots(spark: SparkSession, roots: list[str]) -> Composition:
         if not listed.limit(1).count():
             raise FileNotFoundError(f"no corpus/split/language partitions below {root}")
         files.append(_named_files(listed, source_dataset=name))
-        source = marked_source(spark, root, inventory)
-        rows.append(source.withColumn("source_dataset", name))
+        for group, part in zip((rows, counted), marked_source(spark, root, inventory)):
+            group.append(part.withColumn("source_dataset", name))
     aligned = [
         _relabel(S.union_all(group), L.merged_split(F.col("split")), P.script_label(F.col("language")))
-        for group in (rows, files)
+        for group in (rows, counted, files)
     ]
     return Composition(*aligned, keys=["source_dataset", *M.MANIFEST_KEYS])
 
@@ -113,17 +117,22 @@ def compose_raw(spark: SparkSession, root: str) -> Composition:
     inventory = S.file_inventory(spark, base)
     listed = S.shard_keys(inventory.where(F.endswith("path", F.lit(".parquet"))), F.col("path"))
     files = _named_files(listed.withColumn("corpus", F.lit("ASR")))
-    rows = marked_source(spark, base, inventory, raw=True)
+    groups = [*marked_source(spark, base, inventory, raw=True), files]
     aligned = [
-        _relabel(group, L.raw_split(F.col("split")), F.col("language")) for group in (rows, files)
+        _relabel(group, L.raw_split(F.col("split")), F.col("language")) for group in groups
     ]
     return Composition(*aligned, keys=M.MANIFEST_KEYS)
 
 
 def write_composition(composition: Composition, out: str, sources: list[str]) -> DataFrame:
-    """Check the manifest, write the corpus, then the manifest beside it."""
+    """Check the manifest, write the corpus, then the manifest beside it.
+
+    The manifest is counted once and kept as a table; the gates and the sink
+    read that.
+    """
     refuse_overlap(out, sources)
-    manifest = composition.manifest()
+    spark = composition.rows.sparkSession
+    manifest = cut_lineage(spark, composition.manifest(), "manifest")
     M.check_composition(manifest)
     write_corpus(composition.corpus(), out)
     write_manifest(manifest.orderBy(*composition.keys), out)

@@ -15,6 +15,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Partition values are labels: a language code such as "nan" must stay text.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # A task rarely meets more than a few partitions: write them side by side
+    # instead of sorting wide audio rows first.
+    "spark.sql.maxConcurrentOutputFileWriters": "4",
 }
 
 
