@@ -80,7 +80,8 @@ def word_edits(reference: Column, hypothesis: Column) -> Column:
     """
 
     def spelled(tokens: Column, shared: Column, unshared: int) -> Column:
-        symbols = F.transform(tokens, lambda w: symbol_digits(F.array_position(shared, w), unshared))
+        positions = F.transform(tokens, lambda word: F.array_position(shared, word))
+        symbols = F.transform(positions, lambda position: symbol_digits(position, unshared))
         return F.decode(F.unhex(F.concat_ws("", symbols)), "UTF-32")
 
     # The one-element array binds each side once, so no word list is rebuilt per word.

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voxloom import constants as C
 from voxloom.functions.parsing import fixed_decimals
+from voxloom.sources.corpus import union_all
 
 # (log field, decimals) in column order; None keeps the text as logged.
 VALID_COLUMNS = [(C.LOG_STEP, None), (C.LOG_LOSS, 4), (C.LOG_WER, 2), (C.LOG_UER, 2)]
@@ -72,6 +73,34 @@ def summary_lines(best: DataFrame) -> DataFrame:
     return best.select("run", F.posexplode(lines).alias("position", "line"))
 
 
+def full_report(best: DataFrame, valid_log: DataFrame, train_log: DataFrame) -> DataFrame:
+    """The whole report of each run as lines in (run, section, position, line_order)."""
+
+    def fixed(section: int, lines: list[str]) -> DataFrame:
+        texts = F.array(*[F.lit(line) for line in lines])
+        rows = best.select("run", F.posexplode(texts).alias("position", "line"))
+        return rows.withColumn("section", F.lit(section))
+
+    def logged(section: int, lines: DataFrame) -> DataFrame:
+        return lines.withColumns({"section": F.lit(section), "position": F.lit(0)})
+
+    summary = summary_lines(best).withColumn("section", F.lit(1))
+    train = metric_lines(train_log, TRAIN_COLUMNS).join(best.select("run"), "run", "left_semi")
+    parts = [
+        logged(3, valid_lines(best, valid_log)),
+        logged(5, train),
+        fixed(0, ["# Fine-tuned model", "", "## Training Summary", ""]),
+        summary,
+        fixed(2, ["", "## Validation Metrics", "", *table_heading(VALID_HEADING)]),
+        fixed(4, ["", "## Training Metrics", "", *table_heading(TRAIN_HEADING)]),
+    ]
+    lines = union_all(parts)
+    return lines.select("run", "section", "position", "line_order", "line")
+
+
+REPORT_ORDER = ["run", "section", "position", "line_order"]
+
+
 def table_heading(names: list[str]) -> list[str]:
     return ["| " + " | ".join(names) + " |", "|" + "---|" * len(names)]
 

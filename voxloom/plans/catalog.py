@@ -24,7 +24,7 @@ from voxloom.operators import stats as H
 from voxloom.operators import submission as B
 from voxloom.operators.inference import transcribe
 from voxloom.operators.paths import count_replacements, path_lookup, replace_paths
-from voxloom.plans import compose
+from voxloom.plans import compose, evaluate
 from voxloom.plans import views as V
 from voxloom.session import scratch_path
 from voxloom.sinks import writers as W
@@ -188,14 +188,11 @@ def partition_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_shard_scan(spark: SparkSession, sf: str) -> DataFrame:
-    staged = _written(spark, V.utterances(spark, sf), "staged", "language", "split")
-    rows = S.read_partitioned(spark, staged, ["language", "split"])
+    # "dev" is no shard name, so those shards are skipped.
+    name = F.concat("language", F.lit("-"), "split", F.lit("-00000.parquet"))
+    rows = V.utterances(spark, sf).withColumns({"folder": F.col("language"), "shard": name})
     root = scratch_path(spark, "shards")
-    # One pruned read per shard; "dev" is no shard name, so those shards are skipped.
-    for key in rows.select("language", "split").distinct().collect():
-        part = rows.where((F.col("language") == key.language) & (F.col("split") == key.split))
-        name = f"{root}/data/ASR/{key.language}/{key.language}-{key.split}-00000.parquet"
-        part.drop("language", "split").write.parquet(name)
+    rows.write.partitionBy("folder", "shard").parquet(f"{root}/data/ASR")
     base = S.raw_shard_root(spark, root)
     return S.read_raw_shards(spark, base).select(
         "doc_id", F.col("corpus").alias("layout"), "language", "split", "shard", "audio_size"
@@ -416,6 +413,46 @@ def infer_batches(spark: SparkSession, sf: str) -> DataFrame:
     return transcribe(docs, without_e, "text")
 
 
+def text_of_wav():
+    """A stand-in recognizer for ``views.wav_files``: the samples are the text."""
+
+    def predict(batch, hints):
+        datas = [item["bytes"] for item in batch]
+        starts = [data.index(b"data", 36) + 8 for data in datas]
+        return [data[at:].decode().replace("e", "") for data, at in zip(datas, starts)]
+
+    return predict
+
+
+def _evaluated(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
+    audio = F.struct(F.col("content").alias("bytes"), F.lit(None).cast("string").alias("path"))
+    texts = V.table(spark, sf, "documents").select("doc_id", F.col("text").alias("transcription"))
+    samples = V.wav_files(spark, sf).join(texts, "doc_id").select(
+        F.col("doc_id").cast("string").alias("id"),
+        F.col("lang").alias("language"),
+        "transcription",
+        audio.alias("audio"),
+        F.lit("en_asr").alias("config"),
+        F.lit("test").alias("split"),
+    )
+    root = _written(spark, samples, "samples", "config", "split")
+    run = evaluate.Run(text_of_wav, "a card", "en", "docs", max_seconds=0.1)
+    out = scratch_path(spark, "evaluated")
+    counts = evaluate.evaluate(spark, evaluate.read_samples(spark, root, run), run, out)
+    return counts, out
+
+
+def evaluation_run(spark: SparkSession, sf: str) -> DataFrame:
+    _, out = _evaluated(spark, sf)
+    fields = ["id", "language", "config", "split", "reference", "prediction", "model_card"]
+    schema = ", ".join(f"{name} string" for name in fields)
+    return spark.read.schema(schema).json(f"{out}/a_card_en_asr_test.jsonl")
+
+
+def evaluation_skips(spark: SparkSession, sf: str) -> DataFrame:
+    return _evaluated(spark, sf)[0]
+
+
 def wav_metadata(spark: SparkSession, sf: str) -> DataFrame:
     read = A.with_wav_metadata(V.wav_files(spark, sf), F.col("content"))
     return read.select("doc_id", "wav.sample_rate", "wav.channels", "wav.n_samples")
@@ -526,6 +563,11 @@ def report_summary(spark: SparkSession, sf: str) -> DataFrame:
     return R.summary_lines(best_checkpoint(spark, sf))
 
 
+def full_report(spark: SparkSession, sf: str) -> DataFrame:
+    valid, train = (V.run_logs(spark, sf, kind) for kind in ("click", "view"))
+    return R.full_report(best_checkpoint(spark, sf), valid, train)
+
+
 # Streaming
 
 
@@ -601,6 +643,8 @@ QUERIES = [
     prediction_rows,
     predictions_json,
     infer_batches,
+    evaluation_run,
+    evaluation_skips,
     wav_metadata,
     mono_mix,
     unique_ids,
@@ -617,6 +661,7 @@ QUERIES = [
     metrics_report,
     train_report,
     report_summary,
+    full_report,
     stream_predictions,
     stream_totals,
 ]

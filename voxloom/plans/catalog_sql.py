@@ -212,6 +212,31 @@ SELECT (row_number() OVER (ORDER BY doc_id) - 1)::VARCHAR AS id, 'en' AS languag
        'test' AS split, text AS reference, lower(text) AS prediction, 'card' AS model_card
 FROM documents"""
 
+REPORT_LINES = f"""{RUNS}, valid_lines AS (
+  SELECT run, line_order, CASE WHEN line_order IS NULL THEN '| n/a | n/a | n/a | n/a |' ELSE
+    '| ' || coalesce(step::VARCHAR, 'step?') || ' | ' || {shown("loss", 4)} || ' | ' || {shown("wer::DOUBLE", 2)}
+    || ' | ' || {shown("uer::DOUBLE", 2)} || ' |' END AS line
+  FROM (SELECT DISTINCT run FROM saved) LEFT JOIN valid_all USING (run)),
+train_lines AS (
+  SELECT run, line_order, '| ' || coalesce(step::VARCHAR, 'step?') || ' | ' || {shown("loss", 4)} || ' | '
+    || {shown("uer::DOUBLE", 2)} || ' | ' || {shown("wer::DOUBLE", 2)} || ' | 0.00001000 |' AS line
+  FROM train_all),
+summary AS (
+  SELECT run, unnest(['Best checkpoint: step_' || step, 'Checkpoint selection source: ' || selection_source,
+    CASE WHEN eval_loss IS NOT NULL THEN 'Best validation CTC Loss: ' || printf('%.4f', eval_loss)
+         WHEN train_loss IS NOT NULL THEN 'Best train CTC Loss: ' || printf('%.4f', train_loss) ELSE 'CTC Loss: n/a' END,
+    CASE WHEN eval_loss IS NOT NULL THEN 'Best validation WER: ' || {shown("wer::DOUBLE", 2)}
+         ELSE 'Validation metrics: n/a (validation disabled)' END,
+    CASE WHEN eval_loss IS NOT NULL THEN 'Best validation UER: ' || {shown("uer::DOUBLE", 2)} END]) AS line,
+    (generate_subscripts([1, 2, 3, 4, 5], 1) - 1)::INTEGER AS position FROM best)"""
+
+HEADINGS = """headings AS (
+  SELECT run, section, unnest(lines) AS line, (generate_subscripts(lines, 1) - 1)::INTEGER AS position
+  FROM best, (VALUES (0, ['# Fine-tuned model', '', '## Training Summary', '']),
+    (2, ['', '## Validation Metrics', '', '| Step | CTC Loss | WER | UER |', '|---|---|---|---|']),
+    (4, ['', '## Training Metrics', '', '| Step | CTC Loss | UER | WER | Learning Rate |', '|---|---|---|---|---|']))
+    AS t(section, lines))"""
+
 SQL = {
     "sanitize_keep": f"WITH {UTTERANCES} SELECT doc_id, {KEEP} AND num_samples >= 400 AS keep FROM utterances",
     "sanitized_rows": f"""WITH {UTTERANCES} SELECT doc_id, corpus, split, language, audio_size
@@ -310,6 +335,12 @@ FROM conversations WHERE role = 'assistant'""",
     "predictions_json": PREDICTION_ROWS,
     "infer_batches": """SELECT doc_id, CASE WHEN NOT contains(text, '|') THEN replace(text, 'e', '') END AS prediction,
 CASE WHEN contains(text, '|') THEN 'unreadable' END AS error FROM documents""",
+    "evaluation_run": """SELECT doc_id::VARCHAR AS id, lang AS language, 'en_asr' AS config, 'test' AS split, text AS reference,
+replace(text, 'e', '') AS prediction, 'a card' AS model_card FROM documents
+WHERE lang <> 'es' AND (strlen(text) // (doc_id % 2 + 1)) / (CASE WHEN lang = 'fr' THEN 8000e0 ELSE 16000e0 END) <= 0.1""",
+    "evaluation_skips": """SELECT CASE WHEN lang = 'es' THEN 'decode_failed'
+  WHEN (strlen(text) // (doc_id % 2 + 1)) / (CASE WHEN lang = 'fr' THEN 8000e0 ELSE 16000e0 END) > 0.1 THEN 'too_long' ELSE 'ok' END AS status,
+count(*) AS samples FROM documents GROUP BY 1""",
     "wav_metadata": """SELECT doc_id, CASE WHEN lang <> 'es' THEN CASE WHEN lang = 'fr' THEN 8000 ELSE 16000 END END::BIGINT AS sample_rate,
 CASE WHEN lang <> 'es' THEN doc_id % 2 + 1 END AS channels,
 CASE WHEN lang <> 'es' THEN strlen(text) // (doc_id % 2 + 1) END AS n_samples FROM documents""",
@@ -331,21 +362,14 @@ count(*) AS unique_ids, count(*) FILTER (path IS NULL) AS missing_ids, count(*)
     "checkpoint_losses": f"WITH {RUNS} SELECT run, step, train_loss FROM saved LEFT JOIN last_loss USING (run, step)",
     "checkpoint_steps": f"WITH {RUNS} SELECT run, step FROM saved",
     "lenient_numbers": f"""WITH {RUNS} SELECT line_order, step, trunc(loss)::BIGINT AS whole, loss, {shown("loss", 4)} AS shown FROM valid_all""",
-    "metrics_report": f"""WITH {RUNS} SELECT run, line_order, CASE WHEN line_order IS NULL THEN '| n/a | n/a | n/a | n/a |' ELSE
-'| ' || coalesce(step::VARCHAR, 'step?') || ' | ' || {shown("loss", 4)} || ' | ' || {shown("wer::DOUBLE", 2)} || ' | ' || {shown("uer::DOUBLE", 2)} || ' |' END AS line
-FROM (SELECT DISTINCT run FROM saved) LEFT JOIN valid_all USING (run)""",
-    "train_report": f"""WITH {RUNS} SELECT run, line_order,
-'| ' || coalesce(step::VARCHAR, 'step?') || ' | ' || {shown("loss", 4)} || ' | ' || {shown("uer::DOUBLE", 2)} || ' | ' || {shown("wer::DOUBLE", 2)} || ' | 0.00001000 |' AS line
-FROM train_all""",
-    "report_summary": f"""WITH {RUNS}, lines AS (
-  SELECT run, unnest(['Best checkpoint: step_' || step, 'Checkpoint selection source: ' || selection_source,
-    CASE WHEN eval_loss IS NOT NULL THEN 'Best validation CTC Loss: ' || printf('%.4f', eval_loss)
-         WHEN train_loss IS NOT NULL THEN 'Best train CTC Loss: ' || printf('%.4f', train_loss) ELSE 'CTC Loss: n/a' END,
-    CASE WHEN eval_loss IS NOT NULL THEN 'Best validation WER: ' || {shown("wer::DOUBLE", 2)}
-         ELSE 'Validation metrics: n/a (validation disabled)' END,
-    CASE WHEN eval_loss IS NOT NULL THEN 'Best validation UER: ' || {shown("uer::DOUBLE", 2)} END]) AS line,
-    generate_subscripts([1, 2, 3, 4, 5], 1) - 1 AS position FROM best)
-SELECT run, position::INTEGER AS position, line FROM lines WHERE line IS NOT NULL""",
+    "metrics_report": f"WITH {REPORT_LINES} SELECT * FROM valid_lines",
+    "train_report": f"WITH {REPORT_LINES} SELECT * FROM train_lines",
+    "report_summary": f"WITH {REPORT_LINES} SELECT run, position, line FROM summary WHERE line IS NOT NULL",
+    "full_report": f"""WITH {REPORT_LINES}, {HEADINGS}
+SELECT run, section, position, NULL::BIGINT AS line_order, line FROM headings
+UNION ALL SELECT run, 1, position, NULL, line FROM summary WHERE line IS NOT NULL
+UNION ALL SELECT run, 3, 0, line_order, line FROM valid_lines
+UNION ALL SELECT run, 5, 0, line_order, line FROM train_lines SEMI JOIN saved USING (run)""",
     "stream_predictions": f"""WITH {UTTERANCES} SELECT doc_id, CASE WHEN NOT contains(text, '|') THEN replace(text, 'e', '') END AS prediction
 FROM utterances WHERE num_samples / 16000e0 <= 40""",
     "stream_totals": f"""{ALL_SCORES} SELECT role, count(*) AS num_samples, sum(word_edits)::BIGINT AS word_edits, sum(word_total)::BIGINT AS word_total,

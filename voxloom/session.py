@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from voxloom.constants import CHUNK_SIZE
+
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -15,6 +17,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Partition values are labels: a language code such as "nan" must stay text.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Audio rows are large: few per Arrow batch, and bounded bytes.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": str(CHUNK_SIZE),
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
     # A task rarely meets more than a few partitions: write them side by side
     # instead of sorting wide audio rows first.
     "spark.sql.maxConcurrentOutputFileWriters": "4",

@@ -81,11 +81,12 @@ def read_globs(spark: SparkSession, root: str, patterns: str) -> DataFrame:
 def shard_keys(df: DataFrame, path: Column) -> DataFrame:
     """Add language, split and shard from ``.../<language>/<language>-<split>-<n>.parquet``.
 
-    A shard is a file, or a directory of that name written by Spark. Rows from
-    other names are left out.
+    A shard is a file, or a directory of that name written by Spark, whose
+    ``key=`` prefixes do not count. Rows from other names are left out.
     """
     shard_path = F.regexp_replace(path, r"(\.parquet)/[^/]+$", "$1")
-    name = P.file_name(shard_path)
+    shard_path = F.regexp_replace(shard_path, r"/[A-Za-z_]+=", "/")
+    name = P.file_name(F.col("shard_path"))
     return (
         df.withColumn("shard_path", shard_path)
         .withColumn("language", P.file_name(P.parent(F.col("shard_path"))))
@@ -115,15 +116,14 @@ def raw_shard_root(spark: SparkSession, root: str) -> str:
     return nested if found else root
 
 
-def inferred_keys(inventory: DataFrame, root: str) -> DataFrame:
-    """Corpus, split and language of each Parquet path in ``inventory``.
+def keys_from_path(path: Column, root: str) -> dict[str, Column]:
+    """Corpus, split and language read off a path without partition directories.
 
-    Partition directories win when any path has them. Otherwise the corpus is
-    the directory called ASR (any case) that has a directory inside, and
-    language and split come from that directory and the file name. Paths that
-    leave a key open are skipped.
+    The corpus is the directory called ASR (any case) that has a directory
+    inside; language and split come from that directory and the file name. A key
+    that stays open is null.
     """
-    relative = F.replace(F.col("path"), F.lit(root.rstrip("/") + "/"), F.lit(""))
+    relative = F.replace(path, F.lit(root.rstrip("/") + "/"), F.lit(""))
     parts = F.split(relative, "/")
     folders = F.slice(parts, F.lit(1), F.size(parts) - 1)
     asr = F.array_position(F.transform(folders, F.lower), "asr")
@@ -133,21 +133,39 @@ def inferred_keys(inventory: DataFrame, root: str) -> DataFrame:
         F.contains(P.stem(name, "parquet"), F.lit("-")),
         F.substring_index(P.stem(name, "parquet"), "-", -1),
     )
-    shard_split = P.shard_part(name, 2)
-    from_paths = inventory.select(
-        F.when(inside, F.try_element_at(folders, asr.cast("int"))).alias("corpus"),
-        F.coalesce(shard_split, F.when(suffix.isin(C.SHARD_SPLITS), suffix)).alias("split"),
-        F.coalesce(
+    return {
+        "corpus": F.when(inside, F.try_element_at(folders, asr.cast("int"))),
+        "split": F.coalesce(P.shard_part(name, 2), F.when(suffix.isin(C.SHARD_SPLITS), suffix)),
+        "language": F.coalesce(
             F.when(inside, F.try_element_at(folders, (asr + 1).cast("int"))),
             P.shard_part(name, 1),
             F.try_element_at(folders, F.lit(-1)),
-        ).alias("language"),
-        "path",
-    ).dropna(subset=PARTITION_KEYS)
+        ),
+    }
+
+
+def inferred_keys(inventory: DataFrame, root: str) -> DataFrame:
+    """Keys of each Parquet path in ``inventory``.
+
+    Partition directories win when any path has them; otherwise the keys are
+    inferred, and paths that leave one open are skipped.
+    """
     partitioned = partition_listing(inventory)
-    if partitioned.limit(1).count():
+    if not partitioned.isEmpty():
         return partitioned
-    return from_paths
+    inferred = inventory.withColumns(keys_from_path(F.col("path"), root))
+    return inferred.select(*PARTITION_KEYS, "path").dropna(subset=PARTITION_KEYS)
+
+
+def read_any_layout(spark: SparkSession, root: str) -> DataFrame:
+    """A corpus with its keys, whether they are partition directories or inferred."""
+    inventory = file_inventory(spark, root, "*.parquet")
+    if not partition_listing(inventory).isEmpty():
+        return read_partitioned(spark, root)
+    reader = parquet_reader(spark).option("recursiveFileLookup", "true")
+    frame = reader.parquet(root).drop(*PARTITION_KEYS, "lang").withColumn(SOURCE_FILE, file_path())
+    keys = keys_from_path(F.col(SOURCE_FILE), root.removeprefix("file://"))
+    return frame.withColumns(keys).dropna(subset=PARTITION_KEYS)
 
 
 def file_schemas(spark: SparkSession, files: list[str]) -> DataFrame:
