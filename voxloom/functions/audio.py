@@ -15,43 +15,41 @@ _HEADER_BYTES = 44
 _METADATA = "sample_rate long, channels long, n_samples long"
 
 
-def _little_endian(data: Column, start: int, size: int) -> Column:
-    """An unsigned integer of ``size`` bytes at the 1-based offset ``start``."""
-    digits = F.hex(F.substring(data, start, size))
-    swapped = [F.substring(digits, 2 * i - 1, 2) for i in range(size, 0, -1)]
-    return F.conv(F.concat(*swapped), 16, 10).try_cast("bigint")
+def _little_endian(header: Column, start: int, size: int) -> Column:
+    """An unsigned integer of ``size`` bytes at the 1-based byte offset ``start``."""
+    first = 2 * start - 1
+    digits = [F.substring(header, first + 2 * i, 2) for i in range(size - 1, -1, -1)]
+    return F.conv(F.concat(*digits), 16, 10).try_cast("bigint")
 
 
-def _tag(data: Column, start: int) -> Column:
-    return F.hex(F.substring(data, start, 4))
+def _tag_is(header: Column, start: int, tag: str) -> Column:
+    return F.substring(header, 2 * start - 1, 8) == tag.encode().hex().upper()
 
 
-def _hex(tag: str) -> str:
-    return tag.encode().hex().upper()
+def is_plain_wav(header: Column) -> Column:
+    """RIFF/WAVE with a 16-byte integer PCM format chunk right before the data chunk.
 
-
-def has_plain_wav_header(data: Column) -> Column:
-    """RIFF/WAVE with a 16-byte integer PCM format chunk right before the data chunk."""
+    ``header`` holds the hex digits of the first 44 bytes.
+    """
     return F.coalesce(
-        (F.octet_length(data) >= _HEADER_BYTES)
-        & (_tag(data, 1) == _hex("RIFF"))
-        & (_tag(data, 9) == _hex("WAVE"))
-        & (_tag(data, 13) == _hex("fmt "))
-        & (_little_endian(data, 17, 4) == 16)
-        & (_little_endian(data, 21, 2) == 1)
-        & (_tag(data, 37) == _hex("data")),
+        (F.length(header) == 2 * _HEADER_BYTES)
+        & _tag_is(header, 1, "RIFF")
+        & _tag_is(header, 9, "WAVE")
+        & _tag_is(header, 13, "fmt ")
+        & (_little_endian(header, 17, 4) == 16)
+        & (_little_endian(header, 21, 2) == 1)
+        & _tag_is(header, 37, "data"),
         F.lit(False),
     )
 
 
-def plain_wav_metadata(data: Column) -> Column:
+def plain_wav_metadata(header: Column, size: Column) -> Column:
     """Struct of rate, channels and samples per channel of a plain header."""
-    channels = _little_endian(data, 23, 2)
-    block = channels * (_little_endian(data, 35, 2) / 8).cast("long")
-    stored = F.octet_length(data).cast("long") - _HEADER_BYTES
-    payload = F.least(_little_endian(data, 41, 4), stored)
+    channels = _little_endian(header, 23, 2)
+    block = channels * (_little_endian(header, 35, 2) / 8).cast("long")
+    payload = F.least(_little_endian(header, 41, 4), size - _HEADER_BYTES)
     return F.struct(
-        _little_endian(data, 25, 4).alias("sample_rate"),
+        _little_endian(header, 25, 4).alias("sample_rate"),
         channels.alias("channels"),
         F.when(block > 0, F.floor(F.try_divide(payload, block))).cast("long").alias("n_samples"),
     )
@@ -88,10 +86,18 @@ def with_wav_metadata(df: DataFrame, data: Column, name: str = "wav") -> DataFra
     Plain headers are read by expressions. Only the bytes of other files are
     sent to Python, where their chunks are walked.
     """
-    plain = has_plain_wav_header(data)
+    header, size, plain = F.col("wav_header"), F.col("wav_size"), F.col("wav_plain")
+    staged = df.withColumns(
+        {
+            "wav_header": F.hex(F.substring(data, 1, _HEADER_BYTES)),
+            "wav_size": F.octet_length(data).cast("long"),
+        }
+    ).withColumn("wav_plain", is_plain_wav(header))
     walked = F.pandas_udf(_walk_batches, _METADATA)(F.when(~plain, data))
-    metadata = F.when(plain, plain_wav_metadata(data)).otherwise(walked)
-    return df.withColumn(name, metadata)
+    metadata = F.when(plain, plain_wav_metadata(header, size)).otherwise(walked)
+    # A one-element explode keeps filters on the result from repeating its parsing.
+    read = staged.select("*", F.explode(F.array(metadata)).alias(name))
+    return read.drop("wav_header", "wav_size", "wav_plain")
 
 
 def duration_seconds(n_samples: Column, sample_rate: Column) -> Column:
@@ -102,9 +108,9 @@ def duration_seconds(n_samples: Column, sample_rate: Column) -> Column:
 def duration_status(seconds: Column, limit: float = C.MAX_AUDIO_SECONDS) -> Column:
     """'decode_failed', 'too_long' or 'ok'; exactly ``limit`` seconds is still ok."""
     return (
-        F.when(seconds.isNull() | F.isnan(seconds), "decode_failed")
-        .when(seconds > limit, "too_long")
-        .otherwise("ok")
+        F.when(seconds > limit, "too_long")
+        .when(seconds.isNotNull(), "ok")
+        .otherwise("decode_failed")
     )
 
 

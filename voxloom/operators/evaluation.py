@@ -31,7 +31,11 @@ def with_duration_status(
 
 
 def scorable(df: DataFrame) -> DataFrame:
-    return df.where(F.col(STATUS) == "ok")
+    return df.where(is_scorable())
+
+
+def is_scorable() -> Column:
+    return F.col(STATUS) == "ok"
 
 
 def status_counts(df: DataFrame, keys: list[str] | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxloom import constants as C
@@ -21,13 +22,15 @@ def transcribe(
     audio: str,
     batch_size: int = C.BATCH_SIZE,
     language_hint: str | None = None,
+    only: str | None = None,
 ) -> DataFrame:
     """Add ``prediction`` and ``error``; the ``audio`` column is used up.
 
     ``make_predictor`` runs once per task, so a model is loaded once per task.
     Rows stream through in Arrow batches and are predicted ``batch_size`` at a
     time. If a batch fails its rows are tried one by one, and a row that fails
-    alone gets no prediction.
+    alone gets no prediction. Rows whose ``only`` flag is false pass unpredicted,
+    so one pass over the audio serves results and skip counts.
     """
     kept = [field for field in df.schema.fields if field.name != audio]
     schema = T.StructType(
@@ -38,18 +41,19 @@ def transcribe(
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = make_predictor()
         for frame in frames:
-            texts: list = []
-            errors: list = []
-            inputs = frame[audio].tolist()
+            wanted = frame if only is None else frame[frame[only].fillna(False).astype(bool)]
+            inputs = wanted[audio].tolist()
+            found: list = []
             for start in range(0, len(inputs), batch_size):
-                found = _predict_batch(predict, inputs[start : start + batch_size], language_hint)
-                texts += [text for text, _ in found]
-                errors += [error for _, error in found]
-            yield frame[names].assign(
-                prediction=pd.Series(texts, index=frame.index, dtype=object),
-                error=pd.Series(errors, index=frame.index, dtype=object),
+                found += _predict_batch(predict, inputs[start : start + batch_size], language_hint)
+            results = pd.DataFrame(
+                found, columns=["prediction", "error"], index=wanted.index, dtype=object
             )
+            results = results.reindex(frame.index).astype(object)
+            yield frame[names].join(results.where(results.notna(), None))
 
+    if only is not None:
+        df = df.withColumn(audio, F.when(F.col(only), F.col(audio)))
     return spread_if_few_files(df).mapInPandas(run, schema)
 
 

@@ -95,8 +95,8 @@ def evaluate(
 ) -> DataFrame:
     """Write predictions and metrics below ``out``; returns the sample counts by status.
 
-    The cap and the positions come before any sample is skipped. The recognizer
-    runs once: scoring reads the predictions that were written.
+    The cap and the positions come before any sample is skipped. Audio is read
+    and recognized in one pass, whose results are kept as a table.
     """
     D.require_columns(samples, "transcription", "audio")
     if "id" not in samples.columns:
@@ -109,20 +109,22 @@ def evaluate(
         run.max_seconds,
     )
     heard = transcribe(
-        E.scorable(timed).drop("wav", "seconds", E.STATUS),
+        timed.withColumn("scorable", E.is_scorable()).drop("wav", "seconds"),
         run.make_predictor,
         "audio",
         run.batch_size,
         run.language_hint,
+        only="scorable",
+    )
+    heard = cut_lineage(spark, heard, "heard")
+    rows = E.prediction_rows(
+        E.scorable(heard), run.language, run.config_name, run.split, run.model_card
     )
-    rows = E.prediction_rows(heard, run.language, run.config_name, run.split, run.model_card)
     name = spark.range(1).select(run.output_name).first()[0]
     W.write_json(rows, f"{out}/{name}.jsonl")
-    predictions = spark.read.schema(rows.schema).json(f"{out}/{name}.jsonl")
-    W.write_json(
-        Q.run_summary(predictions, run.dataset, run.language_hint), f"{out}/{name}.metrics.json"
-    )
-    return E.status_counts(timed.select(E.STATUS))
+    summary = Q.run_summary(rows, run.dataset, run.language_hint)
+    W.write_json(summary, f"{out}/{name}.metrics.json")
+    return E.status_counts(heard)
 
 
 def fill_submission(
@@ -136,7 +138,7 @@ def fill_submission(
 ) -> DataFrame:
     """Transcribe the audio of each ID, write the filled table, return the report.
 
-    Audio is scanned once and matched to the IDs where it is read.
+    Audio is read once, matched to the IDs where it is read, and recognized.
     """
     table = D.read_submission(spark, table_path)
     ids = B.unique_ids(table).select(B.CLEAN_ID)
@@ -144,16 +146,9 @@ def fill_submission(
     # Audio lies directly in the folder, where a stem is unique.
     files = wav_table(spark, f"{audio_folder.rstrip('/')}/*.wav").withColumn(B.CLEAN_ID, stem)
     wanted = files.join(broadcast_if_small(ids), B.CLEAN_ID)
-    decoded = F.col("wav.n_samples").isNotNull()
-    heard = transcribe(
-        wanted.where(decoded).select(B.CLEAN_ID, "content"),
-        make_predictor,
-        "content",
-        batch_size,
-        language_hint,
-    )
-    predictions = cut_lineage(spark, heard, "heard")
-    filled = B.fill_targets(table, predictions)
+    wanted = wanted.withColumn("decoded", F.col("wav.n_samples").isNotNull()).drop("wav")
+    heard = transcribe(wanted, make_predictor, "content", batch_size, language_hint, only="decoded")
+    heard = cut_lineage(spark, heard, "heard")
+    filled = B.fill_targets(table, heard)
     W.write_filled(filled.drop("filled"), out, table_path)
-    status = wanted.select(B.CLEAN_ID, "path", decoded.alias("decoded"))
-    return B.fill_report(filled, ids.join(status, B.CLEAN_ID, "left"))
+    return B.fill_report(filled, ids.join(heard, B.CLEAN_ID, "left"))
