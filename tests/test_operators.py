@@ -182,11 +182,12 @@ def test_transcribe_retries_single_rows(spark):
 
 
 def test_transcribe_passes_unwanted_rows(spark):
-    make = lambda: lambda batch, hints: [str(x) for x in batch]
-    df = spark.range(9).select("id", F.col("id").alias("audio"), (F.col("id") % 3 == 0).alias("go"))
+    make = lambda: lambda batch, hints: [x.lower() for x in batch]
+    audio = F.concat(F.lit("A"), "id").alias("audio")
+    df = spark.range(9).select("id", audio, (F.col("id") % 3 == 0).alias("go"))
     df = df.withColumn("go", F.when(F.col("id") != 8, F.col("go")))
     rows = {r.id: r.prediction for r in transcribe(df, make, "audio", 2, only="go").collect()}
-    assert rows == {i: str(i) if i % 3 == 0 else None for i in range(9)}
+    assert rows == {i: f"a{i}" if i % 3 == 0 else None for i in range(9)}
     none = transcribe(df.withColumn("go", F.lit(False)), make, "audio", only="go").collect()
     assert [r.prediction for r in none] == [None] * 9
 

@@ -41,7 +41,7 @@ def transcribe(
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = make_predictor()
         for frame in frames:
-            wanted = frame if only is None else frame[frame[only].fillna(False).astype(bool)]
+            wanted = frame if only is None else frame[frame[only]]
             inputs = wanted[audio].tolist()
             found: list = []
             for start in range(0, len(inputs), batch_size):
@@ -53,7 +53,8 @@ def transcribe(
             yield frame[names].join(results.where(results.notna(), None))
 
     if only is not None:
-        df = df.withColumn(audio, F.when(F.col(only), F.col(audio)))
+        flag = F.coalesce(F.col(only), F.lit(False))
+        df = df.withColumns({only: flag, audio: F.when(flag, F.col(audio))})
     return spread_if_few_files(df).mapInPandas(run, schema)
 
 
