@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from voxloom import constants as C
 from voxloom.functions import parsing as P
+from voxloom.session import as_lookup
 
 RUN_STEP = ["run", "step"]
 
@@ -44,7 +45,7 @@ def checkpoint_steps(checkpoints: DataFrame) -> DataFrame:
 
 def with_checkpoint(parsed: DataFrame, checkpoints: DataFrame) -> DataFrame:
     """Log rows whose step has a checkpoint."""
-    return parsed.join(checkpoint_steps(checkpoints), RUN_STEP, "left_semi")
+    return parsed.join(as_lookup(checkpoint_steps(checkpoints)), RUN_STEP, "left_semi")
 
 
 def last_loss(parsed: DataFrame) -> DataFrame:

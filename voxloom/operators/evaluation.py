@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from voxloom import constants as C
 from voxloom.functions.audio import duration_seconds, duration_status
-from voxloom.session import broadcast_if_small, cut_lineage
+from voxloom.session import as_lookup, cut_lineage
 from voxloom.sources.tables import require_columns
 
 STATUS = "status"
@@ -60,7 +60,9 @@ def with_position(df: DataFrame, file: str, row: str, name: str = "position") ->
     offsets = ranged.join(F.broadcast(starts), "part").select(
         file, (F.col("start") + F.coalesce(F.sum("rows").over(inside), F.lit(0))).alias("offset")
     )
-    joined = df.join(broadcast_if_small(offsets), file)
+    # One short row per file; sample rows are too wide to shuffle for it.
+    lookup = as_lookup(offsets, max_rows=1_000_000, max_bytes=256 * 1024 * 1024)
+    joined = df.join(lookup, file)
     return joined.withColumn(name, F.col("offset") + F.col(row)).drop("offset")
 
 

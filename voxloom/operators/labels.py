@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from voxloom import constants as C
 from voxloom.functions.parsing import language_base
-from voxloom.session import broadcast_if_small
+from voxloom.session import as_lookup
 
 
 def two_corpus_splits(spark: SparkSession) -> DataFrame:
@@ -39,8 +39,8 @@ def label_by_base(labels: DataFrame) -> DataFrame:
 
 
 def label_lookup(labels: DataFrame) -> DataFrame:
-    """(base, label) of the ``language`` values in use, broadcast when measured small."""
-    return broadcast_if_small(label_by_base(labels.select("language").distinct()))
+    """(base, label) of the ``language`` values in use, ready to join."""
+    return as_lookup(label_by_base(labels.select("language").distinct()))
 
 
 def harmonize_language(df: DataFrame, lookup: DataFrame, name: str = "language") -> DataFrame:
@@ -54,7 +54,7 @@ def harmonize_language(df: DataFrame, lookup: DataFrame, name: str = "language")
 
 def companion_corpus(df: DataFrame, pairs: DataFrame) -> DataFrame:
     """Add the ``companion`` that ``pairs`` lists for each ``corpus``; fail on others."""
-    pairs = broadcast_if_small(pairs)
+    pairs = as_lookup(pairs)
     unknown = df.select("corpus").distinct().join(pairs, "corpus", "left_anti").take(5)
     if unknown:
         raise ValueError(f"no companion corpus for {[row.corpus for row in unknown]}")

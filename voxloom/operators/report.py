@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voxloom import constants as C
 from voxloom.functions.parsing import fixed_decimals
+from voxloom.session import as_lookup
 from voxloom.sources.corpus import union_all
 
 # (log field, decimals) in column order; None keeps the text as logged.
@@ -43,7 +44,7 @@ def empty_line(columns: list) -> str:
 
 def valid_lines(runs: DataFrame, log: DataFrame) -> DataFrame:
     """Validation rows of every run, with the n/a row where a run logged nothing."""
-    names = runs.select("run").distinct()
+    names = as_lookup(runs.select("run").distinct())
     lines = metric_lines(log, VALID_COLUMNS).join(names, "run", "left_semi")
     silent = names.join(log.select("run").distinct(), "run", "left_anti")
     missing = silent.withColumn("line", F.lit(empty_line(VALID_COLUMNS)))
@@ -85,7 +86,9 @@ def full_report(best: DataFrame, valid_log: DataFrame, train_log: DataFrame) ->
         return lines.withColumns({"section": F.lit(section), "position": F.lit(0)})
 
     summary = summary_lines(best).withColumn("section", F.lit(1))
-    train = metric_lines(train_log, TRAIN_COLUMNS).join(best.select("run"), "run", "left_semi")
+    train = metric_lines(train_log, TRAIN_COLUMNS).join(
+        as_lookup(best.select("run")), "run", "left_semi"
+    )
     parts = [
         logged(3, valid_lines(best, valid_log)),
         logged(5, train),

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voxloom.functions.text import strip
 from voxloom.operators.joins import spread_nulls
+from voxloom.session import within_bounds
 from voxloom.sources.tables import ROW_ORDER
 
 CLEAN_ID = "sample_id"
@@ -36,12 +37,13 @@ def missing_ids(ids: DataFrame, index: DataFrame) -> DataFrame:
 def fill_targets(table: DataFrame, predictions: DataFrame) -> DataFrame:
     """Write the prediction of an ID to all of its rows; others keep their target.
 
-    ``predictions`` has one row per ``sample_id``. ``filled`` tells which rows changed.
+    ``predictions`` is a written table with one row per ``sample_id``; it is
+    measured before the join. ``filled`` tells which rows changed.
     """
     keyed = with_clean_id(table)
     keyed = keyed.withColumn(CLEAN_ID, spread_nulls(F.col(CLEAN_ID), ROW_ORDER))
     usable = predictions.where(F.col("prediction").isNotNull()).select(CLEAN_ID, "prediction")
-    joined = keyed.join(usable, CLEAN_ID, "left")
+    joined = keyed.join(F.broadcast(usable) if within_bounds(usable) else usable, CLEAN_ID, "left")
     return joined.withColumns(
         {
             "Target": F.coalesce("prediction", "Target"),

@@ -26,7 +26,7 @@ from voxloom.operators.inference import transcribe
 from voxloom.operators.paths import count_replacements, path_lookup, replace_paths
 from voxloom.plans import compose, evaluate
 from voxloom.plans import views as V
-from voxloom.session import scratch_path
+from voxloom.session import cut_lineage, scratch_path
 from voxloom.sinks import writers as W
 from voxloom.sources import corpus as S
 from voxloom.sources import tables as D
@@ -477,8 +477,9 @@ def _matched(spark: SparkSession, sf: str) -> DataFrame:
 
 def _filled(spark: SparkSession, sf: str) -> DataFrame:
     heard = F.when(F.col("decoded"), F.concat(F.lit("heard in "), "path"))
-    predictions = _matched(spark, sf).withColumn("prediction", heard)
-    return B.fill_targets(V.submission(spark, sf), predictions)
+    predictions = _matched(spark, sf).select(B.CLEAN_ID, heard.alias("prediction"))
+    kept = cut_lineage(spark, predictions, "predictions")
+    return B.fill_targets(V.submission(spark, sf), kept)
 
 
 def unique_ids(spark: SparkSession, sf: str) -> DataFrame:

@@ -16,7 +16,7 @@ from voxloom.operators import scoring as Q
 from voxloom.operators import submission as B
 from voxloom.operators.inference import Predictor, transcribe
 from voxloom.operators.joins import plain_columns, spread_nulls
-from voxloom.session import broadcast_if_small, cut_lineage
+from voxloom.session import as_lookup, cut_lineage, within_bounds
 from voxloom.sinks import writers as W
 from voxloom.sources import corpus as S
 from voxloom.sources import tables as D
@@ -69,13 +69,21 @@ def with_sample_metadata(
     read = with_wav_metadata(samples, F.when(has_bytes, F.col("audio.bytes")))
     if audio_root is None:
         return read
-    files = wav_table(samples.sparkSession, audio_root).select("path", F.col("wav").alias("file_wav"))
-    named = F.when(~has_bytes, P.plain_path(F.col("audio.path")))
-    keyed = read.withColumn("path", spread_nulls(named, *plain_columns(samples)))
-    joined = keyed.join(files, "path", "left")
-    return joined.withColumn("wav", F.when(has_bytes, F.col("wav")).otherwise(F.col("file_wav"))).drop(
-        "path", "file_wav"
-    )
+    spark = samples.sparkSession
+    files = wav_table(spark, audio_root).select("path", F.col("wav").alias("file_wav"))
+    files = cut_lineage(spark, files, "audio-files")
+
+    def attach(rows: DataFrame, side: DataFrame) -> DataFrame:
+        named = F.when(~has_bytes, P.plain_path(F.col("audio.path")))
+        keyed = rows.withColumn("path", spread_nulls(named, *plain_columns(samples)))
+        joined = keyed.join(side, "path", "left")
+        wav = F.when(has_bytes, F.col("wav")).otherwise(F.col("file_wav"))
+        return joined.withColumn("wav", wav).drop("path", "file_wav")
+
+    if within_bounds(files):
+        return attach(read, F.broadcast(files))
+    # Only the rows without bytes, which are short, are shuffled.
+    return read.where(has_bytes).unionByName(attach(read.where(~has_bytes), files))
 
 
 def wav_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -145,7 +153,7 @@ def fill_submission(
     stem = P.stem(F.col("path"), "wav")
     # Audio lies directly in the folder, where a stem is unique.
     files = wav_table(spark, f"{audio_folder.rstrip('/')}/*.wav").withColumn(B.CLEAN_ID, stem)
-    wanted = files.join(broadcast_if_small(ids), B.CLEAN_ID)
+    wanted = files.join(as_lookup(ids), B.CLEAN_ID)
     wanted = wanted.withColumn("decoded", F.col("wav.n_samples").isNotNull()).drop("wav")
     heard = transcribe(wanted, make_predictor, "content", batch_size, language_hint, only="decoded")
     heard = cut_lineage(spark, heard, "heard")

@@ -76,13 +76,17 @@ def within_bounds(
     return found[0] <= max_rows and (found[1] or 0) <= max_bytes
 
 
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """Hint a broadcast only after measuring that ``df`` is within bounds.
+def as_lookup(df: DataFrame, name: str = "lookup", **bounds: int) -> DataFrame:
+    """The lookup side of a join whose other side may have hot keys.
 
-    Meant for lookup tables. A larger table comes back without the hint, so the
-    join shuffles and AQE splits its skewed partitions.
+    Measured small, it is broadcast. Otherwise it becomes a table of its own:
+    then both inputs of the join are plain shuffles, which AQE splits where a
+    key is hot. It would not do so above an aggregate that happens to be
+    partitioned by the join key.
     """
-    return F.broadcast(df) if within_bounds(df) else df
+    if within_bounds(df, **bounds):
+        return F.broadcast(df)
+    return cut_lineage(df.sparkSession, df, name)
 
 
 def spread_if_few_files(df: DataFrame) -> DataFrame:
