@@ -5,7 +5,6 @@ import math
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
-from pyspark.sql import functions as F
 
 from voxloom.operators import manifest as M
 from voxloom.plans import compose as P

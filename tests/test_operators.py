@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from voxloom import constants as C
 from voxloom.functions import audio as A
 from voxloom.functions import parsing as P
+from voxloom import session as S
 from voxloom.operators import checkpoints as K
 from voxloom.operators import evaluation as E
 from voxloom.operators import labels as L
@@ -43,6 +44,27 @@ def test_harmonize_takes_the_smallest_label(spark):
     assert [r.language for r in got.collect()] == ["xx_Arab", "yy_Latn", "zz"]
 
 
+def test_lookups_beyond_the_broadcast_bounds(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr("voxloom.session.within_bounds", lambda table, **bounds: False)
+    labels = spark.createDataFrame([("xx_Latn",), ("yy_Latn",)], "language string")
+    rows = spark.createDataFrame([("xx",), ("zz",)], "language string")
+    got = L.harmonize_language(rows, L.label_lookup(labels)).orderBy("language")
+    assert [r.language for r in got.collect()] == ["xx_Latn", "zz"]
+    spark.range(300).repartition(5).write.parquet(str(tmp_path / "p"))
+    df = spark.read.parquet(str(tmp_path / "p")).select(
+        "id", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")
+    )
+    placed = E.with_position(df, "file", "row").orderBy("file", "row").collect()
+    assert [r.position for r in placed] == list(range(300))
+
+
+def test_lookup_bounds_are_measured(spark):
+    table = spark.range(100).select(F.repeat(F.lit("x"), F.lit(1000)).alias("s"), "id")
+    assert S.within_bounds(table)
+    assert not S.within_bounds(table, max_rows=99)
+    assert not S.within_bounds(table, max_bytes=100_000)
+
+
 def test_companion_corpus_rejects_unknown(spark):
     pairs = spark.createDataFrame([("a", "b")], "corpus string, companion string")
     rows = spark.createDataFrame([("a",), ("c",)], "corpus string")

@@ -1,14 +1,10 @@
 """The end-to-end plans over small directory trees."""
 
 import json
-import struct
 
-import pyarrow as pa
-import pyarrow.parquet as pq
 import pytest
-from pyspark.sql import functions as F
 
-from tests.test_compose import AUDIO, put
+from tests.test_compose import put
 from tests.test_operators import wav
 from voxloom.plans import distribution as N
 from voxloom.plans import evaluate as V
@@ -28,7 +24,10 @@ def sizes():
     return predict
 
 
-def test_evaluate(spark, tmp_path):
+@pytest.mark.parametrize("small", [True, False])
+def test_evaluate(spark, tmp_path, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(V, "within_bounds", lambda table: False)
     (tmp_path / "clips").mkdir()
     (tmp_path / "clips" / "a.wav").write_bytes(seconds(1))
     audio = [

@@ -13,10 +13,18 @@ from voxloom.sources.corpus import SOURCE_FILE
 MANIFEST_KEYS = ["corpus", "source_split", "destination_split", "source_language", "language"]
 
 
-def file_counts(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows read, rows kept and paths replaced per source file."""
-    return rows.groupBy(*keys, SOURCE_FILE).agg(
-        F.count(F.lit(1)).alias("rows_before"),
+def file_counts(rows: DataFrame, files: DataFrame | None, keys: list[str]) -> DataFrame:
+    """Rows read, rows kept and paths replaced per source file.
+
+    Listed files join in as rows that count nothing, so files without a single
+    row show up too.
+    """
+    counted = rows.select(*keys, SOURCE_FILE, F.lit(1).alias("one"), KEEP, RESOLVED)
+    if files is not None:
+        nothing = [F.lit(0).alias("one"), F.lit(False).alias(KEEP), F.lit(0).alias(RESOLVED)]
+        counted = counted.unionByName(files.select(*keys, SOURCE_FILE, *nothing))
+    return counted.groupBy(*keys, SOURCE_FILE).agg(
+        F.sum("one").alias("rows_before"),
         F.count_if(KEEP).alias("rows_after"),
         F.sum(RESOLVED).alias("normalized_audio_paths"),
     )
@@ -28,24 +36,20 @@ def composition_manifest(
     """One row of counters per partition.
 
     ``rows`` carries the keys, the source file, ``keep`` and the number of
-    replaced paths. ``files`` lists every (keys, source file), which is how files
-    without a single row are counted as dropped. Paths are counted before rows
-    are dropped.
+    replaced paths; ``files`` lists every (keys, source file). Paths are counted
+    before rows are dropped. Both steps combine before they shuffle.
     """
-    counts = file_counts(rows, keys)
-    if files is not None:
-        counts = (
-            files.select(*keys, SOURCE_FILE)
-            .join(counts.drop(*keys), SOURCE_FILE, "left")
-            .na.fill(0, ["rows_before", "rows_after", "normalized_audio_paths"])
+    return (
+        file_counts(rows, files, keys)
+        .groupBy(*keys)
+        .agg(
+            F.count_if(F.col("rows_after") > 0).alias("parquet_files"),
+            F.sum("rows_before").alias("rows_before"),
+            F.sum("rows_after").alias("rows_after"),
+            F.sum(F.col("rows_before") - F.col("rows_after")).alias("dropped_rows"),
+            F.count_if(F.col("rows_after") == 0).alias("dropped_files"),
+            F.sum("normalized_audio_paths").alias("normalized_audio_paths"),
         )
-    return counts.groupBy(*keys).agg(
-        F.count_if(F.col("rows_after") > 0).alias("parquet_files"),
-        F.sum("rows_before").alias("rows_before"),
-        F.sum("rows_after").alias("rows_after"),
-        F.sum(F.col("rows_before") - F.col("rows_after")).alias("dropped_rows"),
-        F.count_if(F.col("rows_after") == 0).alias("dropped_files"),
-        F.sum("normalized_audio_paths").alias("normalized_audio_paths"),
     )
 
 
