@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm import simhash
+from voxloom.llm import divergence, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +15,13 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = [op6_simhash]
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.quality(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "class_distance", "word_distance",
+    )
+
+
+QUERIES = [op6_simhash, op7_quality]
 
 SQL: dict[str, str] = {}
