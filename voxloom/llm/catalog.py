@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm import divergence, simhash
+from voxloom.llm import chains, divergence, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -22,6 +22,17 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = [op6_simhash, op7_quality]
+#: The label columns as categories, in the chain's order.
+CATEGORIES = {"unsuitable": "quality = 0", "toxic": "toxic = 1"}
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    chain = chains.fit(documents, table(spark, sf_dir, "labels"), CATEGORIES)
+    scored = chains.score(documents, chain)
+    return scored.select("doc_id", *(c for c in scored.columns if c.startswith("p_")), "toxic")
+
+
+QUERIES = [op6_simhash, op7_quality, op10_toxicity]
 
 SQL: dict[str, str] = {}
