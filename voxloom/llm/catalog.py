@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from voxloom.llm import chains, divergence, simhash
+from voxloom.llm import chains, divergence, mixing, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", *(c for c in scored.columns if c.startswith("p_")), "toxic")
 
 
-QUERIES = [op6_simhash, op7_quality, op10_toxicity]
+QUERIES = [op1_mixing, op6_simhash, op7_quality, op10_toxicity]
 
 SQL: dict[str, str] = {}

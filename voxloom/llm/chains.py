@@ -25,12 +25,12 @@ from voxloom.llm.common import checked, id_hash, utf8, with_columns
 MAX_ROWS = 4000
 #: Hash slots of the features, those a model uses, and bytes in a letter sequence.
 SLOTS = 1 << 16
-SELECTED = 300
+SELECTED = 200
 GRAM = 5
 FOLDS = 4
 #: Training: steps of Newton's method and the weight of the squared coefficients.
 STEPS = 8
-PENALTY = 1.0
+PENALTY = 3.0
 #: Letters and digits of words: all bytes but ASCII punctuation, controls and space.
 _WORD = np.array([b >= 0x80 or chr(b).isalnum() for b in range(256)])
 
@@ -74,10 +74,10 @@ def slots_of(text: bytes) -> tuple[np.ndarray, int]:
 
 
 def features_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of a text and their counts per word."""
+    """Slots of a text and the roots of their counts per word."""
     slots, words = slots_of(text)
     found, counts = np.unique(slots, return_counts=True)
-    return found, counts / max(1, words)
+    return found, np.sqrt(counts / max(1, words))
 
 
 def _logistic(x: np.ndarray) -> np.ndarray:
