@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from voxloom.llm import chains, divergence, mixing, simhash
+from voxloom.llm import bpe, chains, divergence, mixing, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,6 +16,28 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def tokenizer() -> str:
+    """Path of the vocabulary file, which is installed on every worker."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def digests(df: DataFrame) -> DataFrame:
+    """Ids and decoded text as the numbers that stand for them."""
+    return df.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return digests(bpe.round_trip(documents, "text", tokenizer()))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -37,6 +60,6 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", *(c for c in scored.columns if c.startswith("p_")), "toxic")
 
 
-QUERIES = [op1_mixing, op6_simhash, op7_quality, op10_toxicity]
+QUERIES = [op1_mixing, op3_bpe, op6_simhash, op7_quality, op10_toxicity]
 
 SQL: dict[str, str] = {}

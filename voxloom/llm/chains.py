@@ -16,7 +16,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.llm.common import checked, id_hash, utf8, with_columns
@@ -247,22 +247,37 @@ def fit(documents: DataFrame, labels: DataFrame, categories: dict[str, str],
 def score(df: DataFrame, chain: Chain | None, text_column: str = "text") -> DataFrame:
     """Add ``p_<category>`` for each category and ``toxic``, the verdict on the last.
 
-    Null and empty texts have no words and are not toxic; nor is anything without a
-    chain, where probabilities are null. Repeated rows are judged alike. Columns of
+    Null and empty texts are not toxic; nor is anything without a chain, where there
+    are no probabilities. Repeated rows are judged alike. Columns of
     the input with the names of the results are replaced.
     """
     checked(df, text_column)
     if chain is None:
         return with_columns(df, {"toxic": F.lit(False)})
+    df = df.withColumn("_llm_p", _probabilities(chain, text_column))
+    new = {f"p_{c}": F.get("_llm_p", F.lit(i)) for i, c in enumerate(chain.categories)}
+    new["toxic"] = _verdict(F.col("_llm_p"), chain, text_column)
+    return with_columns(df, new).drop("_llm_p")
+
+
+def toxic(df: DataFrame, chain: Chain | None, text_column: str = "text") -> Column:
+    """The verdict of ``score`` on each row of ``df``, as a condition."""
+    checked(df, text_column)
+    if chain is None:
+        return F.lit(False)
+    return _verdict(_probabilities(chain, text_column), chain, text_column)
 
+
+def _probabilities(chain: Chain, text_column: str) -> Column:
     def apply(texts: pa.Array) -> pa.Array:
         found = [chain.probabilities(t) for t in utf8(texts)]
         return pa.array(found, type=pa.list_(pa.float64()))
 
     apply.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-    text = F.col(f"`{text_column}`")
-    df = df.withColumn("_llm_p", F.arrow_udf(apply, "array<double>")(text))
-    has_words = F.coalesce(F.length(F.trim(text)), F.lit(0)) > 0
-    new = {f"p_{c}": F.get("_llm_p", F.lit(i)) for i, c in enumerate(chain.categories)}
-    new["toxic"] = has_words & (new[f"p_{chain.categories[-1]}"] >= chain.threshold)
-    return with_columns(df, new).drop("_llm_p")
+    return F.arrow_udf(apply, "array<double>")(F.col(f"`{text_column}`"))
+
+
+def _verdict(probabilities: Column, chain: Chain, text_column: str) -> Column:
+    has_words = F.coalesce(F.length(F.trim(F.col(f"`{text_column}`"))), F.lit(0)) > 0
+    last = F.get(probabilities, F.lit(len(chain.categories) - 1))
+    return has_words & (last >= chain.threshold)

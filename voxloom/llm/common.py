@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable
+from types import ModuleType
+from typing import Any
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -51,3 +54,15 @@ def text_udf(f: Callable[[bytes], object], kind: pa.DataType, returns: str):
 def id_hash(*columns: str) -> Column:
     """A number from columns that may be null, the same on every run."""
     return F.xxhash64(*(F.col(f"`{c}`") for c in columns))
+
+
+def kept_by_worker(key: str, make: Callable[[], Any]) -> Any:
+    """An object that a Python worker makes once and keeps from task to task.
+
+    Functions travel to the workers by value, and their globals with them, so a global
+    of this package would be new in every task.
+    """
+    memory = sys.modules.setdefault("_llm_worker_memory", ModuleType("_llm_worker_memory"))
+    if not hasattr(memory, key):
+        setattr(memory, key, make())
+    return getattr(memory, key)

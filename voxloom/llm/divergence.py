@@ -12,7 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxloom.llm.common import checked, utf8, with_columns
@@ -219,6 +219,21 @@ def quality(df: DataFrame, text_column: str = "text", language_column: str = "la
     alone. Repeated rows are judged each for itself; an empty table stays empty.
     Columns of the input with the names of the results are replaced.
     """
+    df = df.withColumn("_llm_q", _judged(df, text_column, language_column))
+    new = {f.name: F.col(f"_llm_q.{f.name}") for f in _RESULT}
+    verdict = _verdict(F.col("_llm_q"), max_class_distance, max_word_distance)
+    return with_columns(df, new | verdict).drop("_llm_q")
+
+
+def kept(df: DataFrame, text_column: str = "text", language_column: str = "lang",
+         max_class_distance: float = MAX_CLASS_DISTANCE,
+         max_word_distance: float = MAX_WORD_DISTANCE) -> Column:
+    """The verdict of ``quality`` on each row of ``df``, as a condition."""
+    judged = _judged(df, text_column, language_column)
+    return _verdict(judged, max_class_distance, max_word_distance)["kept"]
+
+
+def _judged(df: DataFrame, text_column: str, language_column: str) -> Column:
     checked(df, text_column, language_column)
     known = references(df, text_column, language_column)
 
@@ -231,16 +246,16 @@ def quality(df: DataFrame, text_column: str = "text", language_column: str = "la
         )
 
     apply.__annotations__ = {"texts": pa.Array, "languages": pa.Array, "return": pa.Array}
-    got = F.arrow_udf(apply, _RESULT_DDL)(
+    return F.arrow_udf(apply, _RESULT_DDL)(
         F.col(f"`{text_column}`"), F.col(f"`{language_column}`").cast("string")
     )
-    df = df.withColumn("_llm_q", got)
-    new = {f.name: F.col(f"_llm_q.{f.name}") for f in _RESULT}
-    failed = (F.col("_llm_q.n_words") < MIN_WORDS) | (
-        100 * F.col("_llm_q.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("_llm_q.n_words")
+
+
+def _verdict(q: Column, max_class_distance: float, max_word_distance: float) -> dict[str, Column]:
+    failed = (q["n_words"] < MIN_WORDS) | (
+        100 * q["n_repeat_words"] > MAX_REPEAT_PERCENT * q["n_words"]
     )
-    near = (F.coalesce("_llm_q.class_distance", F.lit(0.0)) <= max_class_distance) & (
-        F.coalesce("_llm_q.word_distance", F.lit(0.0)) <= max_word_distance
+    near = (F.coalesce(q["class_distance"], F.lit(0.0)) <= max_class_distance) & (
+        F.coalesce(q["word_distance"], F.lit(0.0)) <= max_word_distance
     )
-    new |= {"base_failed": failed, "kept": ~failed & near}
-    return with_columns(df, new).drop("_llm_q")
+    return {"base_failed": failed, "kept": ~failed & near}

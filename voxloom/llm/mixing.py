@@ -9,7 +9,7 @@ the words taken miss the target by less than one document.
 
 Pairing runs as a reduction tree: groups of bounded size fold their documents to one
 residual, the residuals are grouped and folded in turn, up to one for each source,
-which is rounded by its probability. Groups are dealt within the sources, so a source
+which is rounded to the nearer side. Groups are dealt within the sources, so a source
 with most of the rows is many groups. All of it is DataFrame expressions.
 """
 
@@ -168,8 +168,8 @@ def rounded(units: DataFrame, largest: int, group: int = GROUP) -> DataFrame:
         if groups == 1:
             break
         largest = groups
-    last = _uniform(F.col("id"), F.lit("last")) < F.col("p")
-    result = left.select("slot", "id", last.alias("taken"))
+    # What is still open is one unit of each source; the nearer side keeps it close.
+    result = left.select("slot", "id", (F.col("p") >= 0.5).alias("taken"))
     for d in decided:
         result = result.unionByName(d)
     return result
