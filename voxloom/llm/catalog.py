@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import bpe, chains, divergence, mixing, simhash
+from voxloom.llm import bpe, chains, divergence, mixing, simhash, urlrules
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -60,6 +60,54 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", *(c for c in scored.columns if c.startswith("p_")), "toxic")
 
 
-QUERIES = [op1_mixing, op3_bpe, op6_simhash, op7_quality, op10_toxicity]
-
-SQL: dict[str, str] = {}
+#: Host, path and verdict.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    judged = urlrules.judge(table(spark, sf_dir, "pages"), rules)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
+QUERIES = [
+    op1_mixing,
+    op3_bpe,
+    op6_simhash,
+    op7_quality,
+    op8_url_rules,
+    op10_toxicity,
+]
+
+_RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
+
+SQL: dict[str, str] = {
+    "op8_url_rules": rf"""
+        WITH rules(rule_host, rule_path, verdict) AS (VALUES {_RULES_SQL}),
+        rest AS (
+            SELECT page_id, CASE WHEN position('://' IN url) > 0
+                THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages
+        ),
+        parts AS (
+            SELECT page_id,
+                translate(regexp_extract(rest, '^[^/?#]*'),
+                    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM rest
+        ),
+        ranked AS (
+            SELECT page_id, host, path, rule_host || rule_path AS rule, verdict,
+                row_number() OVER (PARTITION BY page_id
+                    ORDER BY length(rule_host || rule_path) DESC NULLS LAST, length(rule_host) DESC) AS rank
+            FROM parts LEFT JOIN rules
+                ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+        )
+        SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM ranked WHERE rank = 1
+    """,
+}
