@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import bpe, chains, divergence, mixing, simhash, urlrules
+from voxloom.llm import bpe, chains, divergence, mixing, simhash, urlrules, warc
+from voxloom.session import scratch_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +17,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), scratch_path(spark, "archives"))
+    return warc.digests(warc.read_archives(manifest, payloads=False), "page_id", "long")
+
+
 def tokenizer() -> str:
     """Path of the vocabulary file, which is installed on every worker."""
     import public_tokenizers
@@ -78,6 +84,7 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = [
     op1_mixing,
+    op2_warc,
     op3_bpe,
     op6_simhash,
     op7_quality,
