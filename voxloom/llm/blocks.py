@@ -22,6 +22,8 @@ _UNIT = ["_llm_key", "_llm_i", "_llm_j"]
 def dealt(rows: DataFrame, key: Column, salt: Column, chunk: int) -> DataFrame:
     """Rows with columns ``_llm_key``, ``_llm_i``, ``_llm_j`` naming their unit.
 
+    ``_llm_own`` is the chunk of the row, which is one of the unit's two.
+
     ``key`` is the block, a long; ``salt`` a number that spreads its rows.
     """
     rows = rows.withColumn("_llm_key", key)
@@ -39,7 +41,7 @@ def dealt(rows: DataFrame, key: Column, salt: Column, chunk: int) -> DataFrame:
     rows = rows.withColumn("_llm_other", F.explode(others))
     return rows.withColumns(
         {"_llm_i": F.least("_llm_own", "_llm_other"), "_llm_j": F.greatest("_llm_own", "_llm_other")}
-    ).drop("_llm_own", "_llm_other", "_llm_chunks")
+    ).drop("_llm_other", "_llm_chunks")
 
 
 def by_unit(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import bpe, chains, divergence, mixing, simhash, urlrules, warc
+from voxloom.llm import bpe, chains, divergence, mixing, pivots, simhash, urlrules, warc
 from voxloom.session import scratch_path
 
 
@@ -44,6 +44,10 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(bpe.round_trip(documents, "text", tokenizer()))
 
 
+def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -86,6 +90,7 @@ QUERIES = [
     op1_mixing,
     op2_warc,
     op3_bpe,
+    op4_embeddings,
     op6_simhash,
     op7_quality,
     op8_url_rules,
