@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import bpe, chains, divergence, mixing, pivots, simhash, urlrules, warc
+from voxloom.llm import bpe, chains, divergence, mixing, pagediff, pivots, simhash, urlrules, warc
 from voxloom.session import scratch_path
 
 
@@ -59,6 +59,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pagediff.extract(table(spark, sf_dir, "pages"))
+
+
 #: The label columns as categories, in the chain's order.
 CATEGORIES = {"unsuitable": "quality = 0", "toxic": "toxic = 1"}
 
@@ -94,6 +98,7 @@ QUERIES = [
     op6_simhash,
     op7_quality,
     op8_url_rules,
+    op9_html,
     op10_toxicity,
 ]
 

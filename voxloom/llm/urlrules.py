@@ -23,8 +23,11 @@ from voxloom.session import as_lookup, cut_lineage
 DEFAULT = "allow"
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A byte that no UTF-8 text has: a prefix followed by it is the end of its interval.
-_END = F.unhex(F.lit("FF"))
+
+
+def _end(key: str) -> Column:
+    """End of the interval of a prefix: the prefix and a byte that no UTF-8 text has."""
+    return F.concat(key, F.unhex(F.lit("FF")))
 
 
 def host_and_path(url: Column) -> tuple[Column, Column]:
@@ -71,7 +74,7 @@ def _reach(rules: DataFrame, bounds: list) -> DataFrame:
     last = F.array(*(F.lit(b["last"]) for b in bounds))
     bins = F.array(*(F.lit(b["bin"]) for b in bounds))
     begin = F.size(F.filter(last, lambda x: x < F.col("key")))
-    end = F.size(F.filter(first, lambda x: x < F.concat("key", _END)))
+    end = F.size(F.filter(first, lambda x: x < _end("key")))
     hit = F.when(begin < end, F.slice(bins, begin + 1, end - begin))
     return rules.withColumn("bin", F.explode(hit))
 
@@ -82,7 +85,7 @@ def _breaks(rules: DataFrame) -> DataFrame:
     Depths come from counting begins and ends; the rule around another is the last one
     that began at the depth above.
     """
-    ends = rules.withColumn("at", F.concat("key", _END)).withColumn("step", F.lit(-1))
+    ends = rules.withColumn("at", _end("key")).withColumn("step", F.lit(-1))
     begins = rules.withColumn("at", F.col("key")).withColumn("step", F.lit(1))
     by_key = Window.partitionBy("bin").orderBy("at", "step").rowsBetween(Window.unboundedPreceding, 0)
     events = begins.unionByName(ends).withColumn("depth", F.sum("step").over(by_key))
