@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import bpe, chains, divergence, mixing, pagediff, pivots, simhash, urlrules, warc
+from voxloom.llm import bpe, chains, divergence, mixing, pagediff, pivots, plm, simhash, urlrules, warc
 from voxloom.session import scratch_path
 
 
@@ -48,6 +48,11 @@ def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op5_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return plm.score(documents, plm.fit(documents))
+
+
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -95,6 +100,7 @@ QUERIES = [
     op2_warc,
     op3_bpe,
     op4_embeddings,
+    op5_likelihood,
     op6_simhash,
     op7_quality,
     op8_url_rules,
