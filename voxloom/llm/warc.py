@@ -187,7 +187,7 @@ class _Writer:
 
     def _begin(self) -> None:
         self.name = f"{uuid.uuid4().hex}.warc.zst"
-        self.out = self.fs.open_output_stream(f"{self.path}/{self.name}")
+        self.out = self.fs.open_output_stream(f"{self.path}/{self.name}", compression=None)
         dictionary = dictionary_of(self.samples)
         content = dictionary.as_bytes()
         self.out.write(struct.pack("<II", DICTIONARY_FRAME, len(content)) + content)
@@ -313,7 +313,7 @@ def read_archives(manifest: DataFrame, payloads: bool = True, open_folder: Calla
         for batch in batches:
             for path in batch.column(0).to_pylist():
                 fs, name = open_folder(path)
-                with fs.open_input_stream(name) as stream:
+                with fs.open_input_stream(name, compression=None) as stream:
                     try:
                         for number, data in frames(stream):
                             row = parsed(data)
