@@ -26,9 +26,9 @@ from voxloom.streaming import incremental as I
 def test_numeric_minimums(spark):
     rows = [(0.03, 400, "a"), (0.0299, 400, "a"), (1.0, 399, "a"), (None, 400, "a"), (math.nan, 400, "a"), (1.0, None, "a")]
     df = spark.createDataFrame(rows, "duration double, n_samples int, text string")
-    assert [r.keep for r in Z.mark_usable(df).collect()] == [True] + [False] * 5
+    assert [r[Z.KEEP] for r in Z.mark_usable(df).collect()] == [True] + [False] * 5
     text_numbers = spark.createDataFrame([("29.9",), ("30",), ("abc",)], "duration_ms string")
-    assert [r.keep for r in Z.mark_usable(text_numbers).collect()] == [False, True, False]
+    assert [r[Z.KEEP] for r in Z.mark_usable(text_numbers).collect()] == [False, True, False]
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
         Z.mark_usable(text_numbers, strict=True).collect()
     bare = spark.createDataFrame([(1,)], "x int")

@@ -49,19 +49,24 @@ def test_evaluate(spark, tmp_path, monkeypatch, small):
     samples = V.read_samples(spark, str(tmp_path / "in"), run)
     counts = V.evaluate(spark, samples, run, str(tmp_path / "out"), f"{tmp_path}/clips")
     assert {r.status: r.samples for r in counts.collect()} == {
-        "ok": 3,
+        "ok": 2,
         "too_long": 1,
         "decode_failed": 2,
+        "recognition_failed": 1,
     }
     name = "my_card_lug_asr_test"
+    errors = spark.read.json(str(tmp_path / "out" / f"{name}.errors.jsonl")).collect()
+    assert [r.id for r in errors] == ["5"] and errors[0].error
+    strict = V.Run(sizes, "strict", "LUG", "set", max_samples=6, max_failed_share=0.3)
+    with pytest.raises(RuntimeError, match="failed on 33.3%"):
+        V.evaluate(spark, samples, strict, str(tmp_path / "out"), f"{tmp_path}/clips")
     rows = spark.read.json(str(tmp_path / "out" / f"{name}.jsonl")).orderBy("id").collect()
     assert [(r.id, r.reference, r.prediction) for r in rows] == [
         ("0", "the cat", "the cat"),
         ("3", "the dog", "the cat"),
-        ("5", "lost", None),
     ]
     metrics = spark.read.json(str(tmp_path / "out" / f"{name}.metrics.json")).first()
-    assert (metrics.num_samples, metrics.wer) == (3, 2 / 5)
+    assert (metrics.num_samples, metrics.wer) == (2, 1 / 4)
 
 
 def test_fill_submission(spark, tmp_path):
@@ -108,9 +113,13 @@ def test_select_and_report(spark, runs):
         "## Training Summary",
         "",
         "Best checkpoint: step_20",
+        "",
         "Checkpoint selection source: validation_ctc_loss",
+        "",
         "Best validation CTC Loss: 0.6000",
+        "",
         "Best validation WER: ",
+        "",
         f"Best validation UER: {12.125:.2f}",
         "",
         "## Validation Metrics",

@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voxloom import constants as C
 
@@ -100,6 +101,19 @@ def with_wav_metadata(df: DataFrame, data: Column, name: str = "wav") -> DataFra
     return read.drop("wav_header", "wav_size", "wav_plain")
 
 
+def array_metadata(audio: Column, kind: T.StructType) -> Column:
+    """The same struct for decoded audio: ``array`` of samples, or of frames, and ``sampling_rate``."""
+    frames = audio["array"]
+    by_frame = isinstance(kind["array"].dataType.elementType, T.ArrayType)
+    channels = F.size(F.get(frames, F.lit(0))) if by_frame else F.lit(1)
+    known = frames.isNotNull()
+    return F.struct(
+        F.when(known, audio["sampling_rate"]).cast("long").alias("sample_rate"),
+        F.when(known, channels).cast("long").alias("channels"),
+        F.when(known, F.size(frames)).cast("long").alias("n_samples"),
+    )
+
+
 def duration_seconds(n_samples: Column, sample_rate: Column) -> Column:
     """Seconds of audio, or null when the rate or count is unusable."""
     return F.when(sample_rate > 0, F.try_divide(n_samples.cast("double"), sample_rate.cast("double")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -45,6 +47,11 @@ def slug(column: Column) -> Column:
     return F.regexp_replace(column, "[^A-Za-z0-9_.-]+", "_")
 
 
+def slug_text(text: str) -> str:
+    """``slug`` of a Python string."""
+    return re.sub("[^A-Za-z0-9_.-]+", "_", text)
+
+
 def language_base(column: Column) -> Column:
     """The part of a language label before the first underscore."""
     return F.substring_index(column, "_", 1)

@@ -7,15 +7,32 @@ from pyspark.sql import functions as F
 
 from voxloom import constants as C
 from voxloom.functions.audio import duration_seconds, duration_status
+from voxloom.operators.joins import RESERVED
 from voxloom.session import as_lookup, cut_lineage
 from voxloom.sources.tables import require_columns
 
 STATUS = "status"
+RECOGNITION_FAILED = "recognition_failed"
 
 
 def cap_samples(df: DataFrame, order: list[str], limit: int | None) -> DataFrame:
-    """The first ``limit`` rows in the given order; taken before any filter."""
-    return df if limit is None else df.orderBy(*order).limit(limit)
+    """The first ``limit`` rows in the given order; taken before any filter.
+
+    ``order`` tells all rows apart. Only these columns are sorted, for the key of the
+    last row to take; the rows themselves, with their audio, are filtered where they are.
+    """
+    if limit is None:
+        return df
+    key = F.struct(*order)
+    first = df.select(key.alias("key")).orderBy("key").limit(limit)
+    last = first.agg(F.max("key").alias("key"), F.count(F.lit(1)).alias("rows"))
+    bound = cut_lineage(df.sparkSession, last.where(F.col("rows") == limit), "last-of-sample")
+    if bound.isEmpty():
+        return df if limit else df.limit(0)
+    # One row: the bound.
+    bound = F.broadcast(bound.select(F.col("key").alias(f"{RESERVED}last"), F.lit(1).alias(f"{RESERVED}one")))
+    joined = df.withColumn(f"{RESERVED}one", F.lit(1)).join(bound, f"{RESERVED}one")
+    return joined.where(key <= F.col(f"{RESERVED}last")).drop(f"{RESERVED}one", f"{RESERVED}last")
 
 
 def with_duration_status(

@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 _PLAIN = (T.StringType, T.IntegralType, T.FractionalType)
 _SPREAD = 4096
 
+#: Helper columns begin with this, so that they clash with no column of the user.
+RESERVED = "_vx_"
+
 
 def plain_columns(df: DataFrame) -> list[str]:
     """Names of the text and number columns."""

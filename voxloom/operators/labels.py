@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voxloom import constants as C
 from voxloom.functions.parsing import language_base
+from voxloom.operators.joins import RESERVED
 from voxloom.session import as_lookup
 
 
@@ -16,9 +17,14 @@ def two_corpus_splits(spark: SparkSession) -> DataFrame:
     )
 
 
-def map_two_corpus_splits(df: DataFrame) -> DataFrame:
-    """Add ``destination_split`` by (source, split); other splits are left out."""
-    return df.join(F.broadcast(two_corpus_splits(df.sparkSession)), ["source", "split"])
+def map_two_corpus_splits(
+    df: DataFrame, source: str = "source", name: str = "destination_split"
+) -> DataFrame:
+    """Add ``name``, the split to write to, by source and split; others are left out."""
+    splits = two_corpus_splits(df.sparkSession).select(
+        F.col("source").alias(source), "split", F.col("destination_split").alias(name)
+    )
+    return df.join(F.broadcast(splits), [source, "split"])
 
 
 def merged_split(split: Column) -> Column:
@@ -48,8 +54,11 @@ def harmonize_language(df: DataFrame, lookup: DataFrame, name: str = "language")
 
     ``lookup`` comes from ``label_lookup``. Unmatched languages keep their own label.
     """
-    joined = df.withColumn("base", language_base(F.col(name))).join(lookup, "base", "left")
-    return joined.withColumn(name, F.coalesce("label", name)).drop("base", "label")
+    base, label = f"{RESERVED}base", f"{RESERVED}label"
+    joined = df.withColumn(base, language_base(F.col(name))).join(
+        lookup.select(F.col("base").alias(base), F.col("label").alias(label)), base, "left"
+    )
+    return joined.withColumn(name, F.coalesce(label, name)).drop(base, label)
 
 
 def companion_corpus(df: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -10,11 +10,12 @@ from pyspark.sql import types as T
 
 from voxloom import constants as C
 from voxloom.functions import parsing as P
-from voxloom.operators.joins import plain_columns, spread_nulls
-from voxloom.session import cut_lineage, within_bounds
+from voxloom.operators.joins import RESERVED, plain_columns, spread_nulls
+from voxloom.session import as_lookup, cut_lineage, within_bounds
 from voxloom.sources.corpus import SOURCE_FILE, union_all
 
 RESOLVED = "resolved_paths"
+FOUND = f"{RESERVED}found_path"
 
 
 def base_folders(folder: Column, root: Column) -> Column:
@@ -25,7 +26,7 @@ def base_folders(folder: Column, root: Column) -> Column:
 
 
 def resolve_keys(keys: DataFrame, inventory: DataFrame) -> DataFrame:
-    """(folder, relative, resolved) for each distinct key that has an existing file.
+    """(folder, relative, resolved, rank) for each distinct key that has an existing file.
 
     ``keys`` has folder, relative and root; ``inventory`` has path.
     """
@@ -42,7 +43,8 @@ def resolve_keys(keys: DataFrame, inventory: DataFrame) -> DataFrame:
     return (
         candidates.join(inventory.select("path"), "path", "left_semi")
         .groupBy("folder", "relative")
-        .agg(F.min(F.struct("rank", "path"))["path"].alias("resolved"))
+        .agg(F.min(F.struct("rank", "path")).alias("best"))
+        .select("folder", "relative", F.col("best.path").alias("resolved"), F.col("best.rank").alias("rank"))
     )
 
 
@@ -53,6 +55,16 @@ class PathLookup:
     keys: DataFrame
     columns: list[str]
     small: bool
+    root: Column | None = None
+    tried: DataFrame | None = None
+
+    def folder_ranks(self) -> DataFrame:
+        """Per folder, the one rank at which all its paths exist, or -1."""
+        at = self.keys.select("folder", "relative", "rank")
+        all_keys = self.tried.select("folder", "relative").distinct().join(at, ["folder", "relative"], "left")
+        one = (F.min("rank") == F.max("rank")) & (F.count("rank") == F.count(F.lit(1)))
+        ranks = all_keys.groupBy("folder").agg(F.when(one, F.min("rank")).otherwise(-1).alias("rank"))
+        return cut_lineage(self.keys.sparkSession, ranks, "path-folders")
 
     def attach(self, df: DataFrame, path: Column, name: str) -> DataFrame:
         """Add the resolved path of each row as ``name``, null where there is none."""
@@ -61,10 +73,13 @@ class PathLookup:
         key = F.when(P.is_resolvable(path), path)
         if not self.small:
             key = spread_nulls(key, *plain_columns(df))
-        keyed = df.withColumns({"folder": P.parent(F.col(SOURCE_FILE)), "relative": key})
-        side = F.broadcast(self.keys) if self.small else self.keys
-        joined = keyed.join(side, ["folder", "relative"], "left")
-        return joined.withColumnRenamed("resolved", name).drop("folder", "relative")
+        folder, relative = f"{RESERVED}folder", f"{RESERVED}relative"
+        keyed = df.withColumns({folder: P.parent(F.col(SOURCE_FILE)), relative: key})
+        side = self.keys.select(
+            F.col("folder").alias(folder), F.col("relative").alias(relative), F.col("resolved").alias(name)
+        )
+        side = F.broadcast(side) if self.small else side
+        return keyed.join(side, [folder, relative], "left").drop(folder, relative)
 
 
 def path_lookup(df: DataFrame, inventory: DataFrame, root: Column) -> PathLookup:
@@ -85,30 +100,62 @@ def path_lookup(df: DataFrame, inventory: DataFrame, root: Column) -> PathLookup
     resolved = cut_lineage(df.sparkSession, resolve_keys(keys, inventory), "resolved-paths")
     if resolved.isEmpty():
         columns = []
-    return PathLookup(resolved, columns, within_bounds(resolved))
+    return PathLookup(resolved, columns, within_bounds(resolved), root, keys)
 
 
 def replace_paths(df: DataFrame, lookup: PathLookup) -> DataFrame:
     """Put resolved paths in; null, blank, absolute and unmatched paths stay."""
+    if lookup.small:
+        return _replaced_by_join(df, lookup)
+    return df if not lookup.columns else _replaced_by_folder(df, lookup)
+
+
+def _replaced_by_join(df: DataFrame, lookup: PathLookup) -> DataFrame:
     for name in lookup.columns:
-        found = F.col("found_path")
-        updated = F.when(found.isNotNull(), F.col(name).withField("path", found))
-        df = lookup.attach(df, F.col(name)["path"], "found_path")
-        df = df.withColumn(name, updated.otherwise(F.col(name))).drop("found_path")
+        df = lookup.attach(df, F.col(name)["path"], FOUND)
+        df = _with_found(df, name).drop(FOUND)
     return df
 
 
+def _with_found(df: DataFrame, name: str) -> DataFrame:
+    found = F.col(FOUND)
+    updated = F.when(found.isNotNull(), F.col(name).withField("path", found))
+    return df.withColumn(name, updated.otherwise(F.col(name)))
+
+
+def _replaced_by_folder(df: DataFrame, lookup: PathLookup) -> DataFrame:
+    """As ``replace_paths`` with more keys than can be broadcast, without moving audio.
+
+    Nearly always all paths of a folder exist at one base, so a row per folder says
+    where, and paths are put together by expression. Only rows of the other folders
+    are joined with the keys.
+    """
+    folder, rank = f"{RESERVED}at", f"{RESERVED}rank"
+    ranks = lookup.folder_ranks().select(F.col("folder").alias(folder), F.col("rank").alias(rank))
+    ranks = as_lookup(ranks, "path-folders")
+    df = df.withColumn(folder, P.parent(F.col(SOURCE_FILE))).join(ranks, folder, "left")
+    mixed = F.coalesce(F.col(rank) < 0, F.lit(False))
+    same = df.where(~mixed)
+    for name in lookup.columns:
+        given = F.col(name)["path"]
+        base = F.get(base_folders(F.col(folder), lookup.root), F.col(rank))
+        found = F.when(P.is_resolvable(given), P.join_path(base, given))
+        same = _with_found(same.withColumn(FOUND, found), name).drop(FOUND)
+    apart = _replaced_by_join(df.where(mixed), lookup)
+    return same.unionByName(apart).drop(folder, rank)
+
+
 def count_replacements(df: DataFrame, lookup: PathLookup, columns: list[str]) -> DataFrame:
     """The given columns with the number of paths ``replace_paths`` changes in each row.
 
     Paths are taken out of their structs first, so no audio bytes are read.
     """
-    paths = [F.col(name)["path"].alias(f"{name}_path") for name in lookup.columns]
+    paths = [F.col(name)["path"].alias(f"{RESERVED}{name}_path") for name in lookup.columns]
     counted = df.select(*columns, *paths).withColumn(RESOLVED, F.lit(0).cast("long"))
     for name in lookup.columns:
-        counted = lookup.attach(counted, F.col(f"{name}_path"), "found_path")
-        changed = F.col("found_path").isNotNull().cast("long")
-        counted = counted.withColumn(RESOLVED, F.col(RESOLVED) + changed).drop("found_path")
+        counted = lookup.attach(counted, F.col(f"{RESERVED}{name}_path"), FOUND)
+        changed = F.col(FOUND).isNotNull().cast("long")
+        counted = counted.withColumn(RESOLVED, F.col(RESOLVED) + changed).drop(FOUND)
     return counted.select(*columns, RESOLVED)
 
 

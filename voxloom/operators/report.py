@@ -85,7 +85,11 @@ def full_report(best: DataFrame, valid_log: DataFrame, train_log: DataFrame) ->
     def logged(section: int, lines: DataFrame) -> DataFrame:
         return lines.withColumns({"section": F.lit(section), "position": F.lit(0)})
 
-    summary = summary_lines(best).withColumn("section", F.lit(1))
+    said = summary_lines(best)
+    # Each line about the checkpoint is followed by a blank one.
+    blank = said.select("run", (2 * F.col("position") + 1).alias("position"), F.lit("").alias("line"))
+    said = said.withColumn("position", 2 * F.col("position")).unionByName(blank)
+    summary = said.withColumn("section", F.lit(1))
     train = metric_lines(train_log, TRAIN_COLUMNS).join(
         as_lookup(best.select("run")), "run", "left_semi"
     )
@@ -94,7 +98,7 @@ def full_report(best: DataFrame, valid_log: DataFrame, train_log: DataFrame) ->
         logged(5, train),
         fixed(0, ["# Fine-tuned model", "", "## Training Summary", ""]),
         summary,
-        fixed(2, ["", "## Validation Metrics", "", *table_heading(VALID_HEADING)]),
+        fixed(2, ["## Validation Metrics", "", *table_heading(VALID_HEADING)]),
         fixed(4, ["", "## Training Metrics", "", *table_heading(TRAIN_HEADING)]),
     ]
     lines = union_all(parts)

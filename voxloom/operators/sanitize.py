@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from voxloom import constants as C
 from voxloom.functions.text import has_text
+from voxloom.operators.joins import RESERVED
 
-KEEP = "keep"
+KEEP = f"{RESERVED}keep"
 
 
 def text_present(df: DataFrame, columns: list[str] = C.TEXT_COLUMNS) -> Column:
@@ -48,7 +49,7 @@ def keep_condition(
 def mark_usable(
     df: DataFrame, text_columns: list[str] = C.TEXT_COLUMNS, strict: bool = False
 ) -> DataFrame:
-    """Add the never-null flag ``keep``; one scan then serves counting and filtering."""
+    """Add the never-null flag ``KEEP``; one scan then serves counting and filtering."""
     return df.withColumn(KEEP, keep_condition(df, text_columns, strict))
 
 

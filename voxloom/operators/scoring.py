@@ -74,5 +74,12 @@ def run_summary(
 
 
 def pair_by_id(references: DataFrame, predictions: DataFrame) -> DataFrame:
-    """References with the predictions of the same id."""
-    return references.join(predictions.select("id", "prediction"), "id")
+    """Every reference with the prediction of its id, null where there is none.
+
+    Ids have to be unique on both sides; a repeated one is an error.
+    """
+    for name, side in (("references", references), ("predictions", predictions)):
+        twice = side.groupBy("id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").take(3)
+        if twice:
+            raise ValueError(f"repeated ids in the {name}: {[row.id for row in twice]}")
+    return references.join(predictions.select("id", "prediction"), "id", "left")

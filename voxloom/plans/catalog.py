@@ -40,7 +40,7 @@ BATCH_ROWS = 250
 
 
 def sanitize_keep(spark: SparkSession, sf: str) -> DataFrame:
-    return Z.mark_usable(V.utterances(spark, sf)).select("doc_id", "keep")
+    return Z.mark_usable(V.utterances(spark, sf)).select("doc_id", F.col(Z.KEEP).alias("keep"))
 
 
 def sanitized_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -153,18 +153,18 @@ def compose_corpus(spark: SparkSession, sf: str) -> DataFrame:
     roots = []
     for name, rows in (("first", V.first_corpus(spark, sf)), ("second", V.second_corpus(spark, sf))):
         rows = rows.withColumn("origin", F.col("corpus")).withColumn("corpus", F.lit(name))
-        roots.append(_written(spark, rows.drop("source"), name, *S.PARTITION_KEYS))
+        roots.append(_written(spark, rows, name, *S.PARTITION_KEYS))
     composition = compose.compose_two(spark, roots[0], "first", roots[1], "second")
     out = scratch_path(spark, "combined")
     compose.write_composition(composition, out, roots)
     return S.read_partitioned(spark, out).select(
-        "doc_id", "corpus", "split", "language", "source_split", "origin", "text", "quality"
+        "doc_id", "corpus", "split", "language", "source_split", "origin", "text", "quality", "source"
     )
 
 
 def compose_many(spark: SparkSession, sf: str) -> DataFrame:
-    first = V.first_corpus(spark, sf).drop("source")
-    second = V.second_corpus(spark, sf).drop("source")
+    first = V.first_corpus(spark, sf)
+    second = V.second_corpus(spark, sf)
     roots = [_written(spark, rows, "root", *S.PARTITION_KEYS) for rows in (first, second)]
     rows = compose.compose_roots(spark, roots).manifest()
     keys = ["corpus", "source_split", "destination_split", "source_language", "language"]
@@ -252,6 +252,72 @@ def evaluation_split(spark: SparkSession, sf: str) -> DataFrame:
     return D.evaluation_split(table, language=" FR ").select("doc_id", "config", "split", "text")
 
 
+def _put_files(files: DataFrame, root: str) -> None:
+    """Write ``content`` to ``place`` below ``root`` for each row."""
+
+    def put(frames):
+        for frame in frames:
+            for place, content in zip(frame["place"], frame["content"]):
+                system, path = S.open_files(f"{root}/{place}")
+                system.create_dir(path.rpartition("/")[0], recursive=True)
+                with system.open_output_stream(path, compression=None) as out:
+                    out.write(content)
+            yield frame[["place"]]
+
+    written = files.select("place", F.encode("content", "utf-8").alias("content"))
+    written.mapInPandas(put, "place string").write.format("noop").mode("overwrite").save()
+
+
+def _audio_tree(spark: SparkSession, sf: str) -> str:
+    """A partitioned corpus with audio files beside it at every level above the rows."""
+    clip = F.concat(F.lit("clips/"), "doc_id", F.lit(".wav"))
+    audio = F.struct(F.lit(None).cast("binary").alias("bytes"), clip.alias("path"))
+    rows = V.utterances(spark, sf).withColumns({"audio": audio, "source": F.lit("mine")})
+    root = _written(spark, rows, "audio-tree", *S.PARTITION_KEYS)
+    corpus = F.concat(F.lit("corpus="), "corpus", F.lit("/"))
+    split = F.concat(corpus, F.lit("split="), "split", F.lit("/"))
+    leaf = F.concat(split, F.lit("language="), "language", F.lit("/"))
+    level = F.col("doc_id") % 5
+    folder = F.when(level == 0, leaf).when(level == 1, split).when(level == 2, corpus).otherwise("")
+    files = rows.where(level < 4).select(F.concat(folder, clip).alias("place"), F.lit("RIFF").alias("content"))
+    _put_files(files, root)
+    return root
+
+
+def hours_files(spark: SparkSession, sf: str) -> DataFrame:
+    return H.hours(S.read_any_layout(spark, _audio_tree(spark, sf))).orderBy(*S.PARTITION_KEYS)
+
+
+def resolve_paths_files(spark: SparkSession, sf: str) -> DataFrame:
+    root = _audio_tree(spark, sf)
+    composition = compose.compose_roots(spark, [root])
+    out = scratch_path(spark, "combined")
+    # Without the gates: some languages have no usable row here.
+    W.write_corpus(composition.corpus(), out)
+    found = S.read_partitioned(spark, out)
+    place = F.replace(F.col("audio.path"), F.lit(compose.plain_root(root)), F.lit(""))
+    return found.select("doc_id", place.alias("path"), "source")
+
+
+def schema_groups(spark: SparkSession, sf: str) -> DataFrame:
+    rows = V.utterances(spark, sf)
+    root = scratch_path(spark, "schemas")
+    for k, absent in enumerate(([], ["text"], ["duration"])):
+        part = rows.where(F.col("doc_id") % 3 == k).drop(*absent)
+        part.write.mode("append").partitionBy(*S.PARTITION_KEYS).parquet(root)
+    marked = S.union_all([Z.mark_usable(frame) for frame in S.read_by_schema(spark, root)])
+    return marked.select("doc_id", F.col(Z.KEEP).alias("keep"))
+
+
+def audio_files(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_path(spark, "audio-files")
+    docs = V.table(spark, sf, "documents").where("text <> ''")
+    place = F.concat(F.lit("d"), "doc_id", F.lit(".wav"))
+    _put_files(docs.select(place.alias("place"), F.col("text").alias("content")), root)
+    sizes = S.file_inventory(spark, root, "*.wav").select("path", F.col("length").alias("bytes"))
+    return D.read_audio_index(spark, root).join(sizes, "path").select("stem", "bytes")
+
+
 # Statistics
 
 
@@ -368,8 +434,11 @@ def pair_by_id(spark: SparkSession, sf: str) -> DataFrame:
     references = turns.select(row_id, F.col("text").alias("reference"))
     heard = turns.where("role = 'assistant'")
     heard = heard.select(row_id, F.replace("text", F.lit("e"), F.lit("")).alias("prediction"))
-    totals = Q.score_totals(Q.score_rows(Q.pair_by_id(references, heard)))
-    return totals.select("num_samples", "char_edits")
+    pairs = cut_lineage(spark, Q.pair_by_id(references, heard), "pairs")
+    found = pairs.where("prediction is not null")
+    totals = Q.score_totals(Q.score_rows(found)).select(F.col("num_samples").alias("heard"), "char_edits")
+    counted = pairs.agg(F.count(F.lit(1)).alias("num_samples")).withColumn("one", F.lit(1))
+    return counted.join(totals.withColumn("one", F.lit(1)), "one").drop("one")
 
 
 def slug(spark: SparkSession, sf: str) -> DataFrame:
@@ -419,7 +488,10 @@ def text_of_wav():
     def predict(batch, hints):
         datas = [item["bytes"] for item in batch]
         starts = [data.index(b"data", 36) + 8 for data in datas]
-        return [data[at:].decode().replace("e", "") for data, at in zip(datas, starts)]
+        texts = [data[at:].decode() for data, at in zip(datas, starts)]
+        if any("ou" in text for text in texts):
+            raise ValueError("unheard")
+        return [text.replace("e", "") for text in texts]
 
     return predict
 
@@ -449,6 +521,17 @@ def evaluation_run(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(schema).json(f"{out}/a_card_en_asr_test.jsonl")
 
 
+def evaluation_errors(spark: SparkSession, sf: str) -> DataFrame:
+    _, out = _evaluated(spark, sf)
+    return spark.read.schema("id string, error string").json(f"{out}/a_card_en_asr_test.errors.jsonl")
+
+
+def evaluation_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    _, out = _evaluated(spark, sf)
+    fields = "dataset string, config string, split string, num_samples long, model_card string"
+    return spark.read.schema(fields).json(f"{out}/a_card_en_asr_test.metrics.json")
+
+
 def evaluation_skips(spark: SparkSession, sf: str) -> DataFrame:
     return _evaluated(spark, sf)[0]
 
@@ -458,6 +541,18 @@ def wav_metadata(spark: SparkSession, sf: str) -> DataFrame:
     return read.select("doc_id", "wav.sample_rate", "wav.channels", "wav.n_samples")
 
 
+def array_audio(spark: SparkSession, sf: str) -> DataFrame:
+    vectors = V.table(spark, sf, "embeddings")
+    mirrored = F.zip_with("embedding", F.reverse("embedding"), lambda a, b: F.array(a, b))
+    mono = F.transform("embedding", lambda a: F.array(a))
+    frames = F.when(F.col("vec_id") % 2 == 0, mono).otherwise(mirrored)
+    rate = F.when(F.col("vec_id") % 7 == 0, 0).otherwise(C.SAMPLE_RATE)
+    audio = F.struct(frames.alias("array"), rate.cast("long").alias("sampling_rate"))
+    read = evaluate.with_sample_metadata(vectors.withColumn("audio", audio))
+    timed = E.with_duration_status(read, F.col("wav.n_samples"), F.col("wav.sample_rate"), 0.003)
+    return timed.select("vec_id", "wav.sample_rate", "wav.channels", "wav.n_samples", "status")
+
+
 def mono_mix(spark: SparkSession, sf: str) -> DataFrame:
     vectors = V.table(spark, sf, "embeddings")
     frames = F.arrays_zip("embedding", F.reverse("embedding").alias("mirror"))
@@ -586,13 +681,14 @@ def stream_predictions(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_totals(spark: SparkSession, sf: str) -> DataFrame:
     staged = scratch_path(spark, "pairs")
-    pairs = V.turn_pairs(spark, sf).select("role", "reference", "prediction")
+    status = F.when(F.col("conv_id") % 5 == 0, "too_long").otherwise("ok").alias("status")
+    pairs = V.turn_pairs(spark, sf).select("role", "reference", "prediction", status)
     pairs.repartition(6).write.parquet(staged)
     stream = I.read_new_files(spark, staged, spark.read.parquet(staged).schema, files_per_trigger=2)
     out = scratch_path(spark, "totals")
     I.keep_totals(stream, ["role"], out, scratch_path(spark, "totals-state")).awaitTermination()
     rates = Q.with_rates(spark.read.parquet(out))
-    return rates.select("role", "num_samples", *Q.COUNTS, "wer", "cer")
+    return rates.select("role", "num_samples", *Q.COUNTS, "wer", "cer", "skipped")
 
 
 QUERIES = [
@@ -619,6 +715,10 @@ QUERIES = [
     log_scan,
     submission_scan,
     audio_index,
+    audio_files,
+    hours_files,
+    resolve_paths_files,
+    schema_groups,
     evaluation_split,
     hours,
     sanitized_hours,
@@ -646,6 +746,9 @@ QUERIES = [
     infer_batches,
     evaluation_run,
     evaluation_skips,
+    evaluation_errors,
+    evaluation_metrics,
+    array_audio,
     wav_metadata,
     mono_mix,
     unique_ids,

@@ -233,7 +233,7 @@ summary AS (
 HEADINGS = """headings AS (
   SELECT run, section, unnest(lines) AS line, (generate_subscripts(lines, 1) - 1)::INTEGER AS position
   FROM best, (VALUES (0, ['# Fine-tuned model', '', '## Training Summary', '']),
-    (2, ['', '## Validation Metrics', '', '| Step | CTC Loss | WER | UER |', '|---|---|---|---|']),
+    (2, ['## Validation Metrics', '', '| Step | CTC Loss | WER | UER |', '|---|---|---|---|']),
     (4, ['', '## Training Metrics', '', '| Step | CTC Loss | UER | WER | Learning Rate |', '|---|---|---|---|---|']))
     AS t(section, lines))"""
 
@@ -267,7 +267,7 @@ places AS (
 found AS (SELECT doc_id, arg_min(place, rank) AS place FROM places WHERE place IN (SELECT path FROM inventory) GROUP BY 1)
 SELECT doc_id, coalesce(place, path) AS path, place IS NOT NULL AS replaced FROM named LEFT JOIN found USING (doc_id)""",
     "compose_corpus": f"""WITH {COMPOSED} SELECT doc_id, source AS corpus, destination_split AS split, language,
-split AS source_split, corpus AS origin, text, quality FROM sources JOIN split_pairs USING (source, split)
+split AS source_split, corpus AS origin, text, quality, source FROM sources JOIN split_pairs USING (source, split)
 WHERE {KEEP} AND (source = 'second' OR num_samples >= 400)""",
     "compose_many": f"""WITH {COMPOSED} SELECT corpus, split AS source_split,
 CASE WHEN split IN ('validation', 'dev') THEN 'validation' ELSE 'train' END AS destination_split,
@@ -328,8 +328,8 @@ sum(word_total)::BIGINT AS word_total, {WER_SUM} AS wer FROM word_scores""",
 sum(char_total)::BIGINT AS char_total, {CER_SUM} AS cer FROM char_scores GROUP BY role""",
     "run_summary": f"""{ALL_SCORES} SELECT 'turns' AS dataset, role || '_asr' AS config, 'test' AS split, count(*) AS num_samples,
 'm' AS model_card, NULL::VARCHAR AS omni_lang, {WER_SUM} AS wer, {CER_SUM} AS cer FROM scores GROUP BY role""",
-    "pair_by_id": """SELECT count(*) AS num_samples, sum(length(text) - length(replace(text, 'e', '')))::BIGINT AS char_edits
-FROM conversations WHERE role = 'assistant'""",
+    "pair_by_id": """SELECT count(*) AS num_samples, count(*) FILTER (role = 'assistant') AS heard,
+sum(length(text) - length(replace(text, 'e', ''))) FILTER (role = 'assistant')::BIGINT AS char_edits FROM conversations""",
     "slug": "SELECT page_id, regexp_replace(url, '[^A-Za-z0-9_.-]+', '_', 'g') AS slug FROM pages",
     "prediction_rows": PREDICTION_ROWS,
     "predictions_json": PREDICTION_ROWS,
@@ -337,9 +337,15 @@ FROM conversations WHERE role = 'assistant'""",
 CASE WHEN contains(text, '|') THEN 'unreadable' END AS error FROM documents""",
     "evaluation_run": """SELECT doc_id::VARCHAR AS id, lang AS language, 'en_asr' AS config, 'test' AS split, text AS reference,
 replace(text, 'e', '') AS prediction, 'a card' AS model_card FROM documents
-WHERE lang <> 'es' AND (strlen(text) // (doc_id % 2 + 1)) / (CASE WHEN lang = 'fr' THEN 8000e0 ELSE 16000e0 END) <= 0.1""",
+WHERE lang <> 'es' AND (strlen(text) // (doc_id % 2 + 1)) / (CASE WHEN lang = 'fr' THEN 8000e0 ELSE 16000e0 END) <= 0.1 AND NOT contains(text, 'ou')""",
+    "evaluation_errors": """SELECT doc_id::VARCHAR AS id, 'unheard' AS error FROM documents WHERE lang <> 'es' AND contains(text, 'ou')
+AND (strlen(text) // (doc_id % 2 + 1)) / (CASE WHEN lang = 'fr' THEN 8000e0 ELSE 16000e0 END) <= 0.1""",
+    "evaluation_metrics": """SELECT 'docs' AS dataset, 'en_asr' AS config, 'test' AS split, count(*) AS num_samples, 'a card' AS model_card
+FROM documents WHERE lang <> 'es' AND NOT contains(text, 'ou')
+AND (strlen(text) // (doc_id % 2 + 1)) / (CASE WHEN lang = 'fr' THEN 8000e0 ELSE 16000e0 END) <= 0.1""",
     "evaluation_skips": """SELECT CASE WHEN lang = 'es' THEN 'decode_failed'
-  WHEN (strlen(text) // (doc_id % 2 + 1)) / (CASE WHEN lang = 'fr' THEN 8000e0 ELSE 16000e0 END) > 0.1 THEN 'too_long' ELSE 'ok' END AS status,
+  WHEN (strlen(text) // (doc_id % 2 + 1)) / (CASE WHEN lang = 'fr' THEN 8000e0 ELSE 16000e0 END) > 0.1 THEN 'too_long'
+  WHEN contains(text, 'ou') THEN 'recognition_failed' ELSE 'ok' END AS status,
 count(*) AS samples FROM documents GROUP BY 1""",
     "wav_metadata": """SELECT doc_id, CASE WHEN lang <> 'es' THEN CASE WHEN lang = 'fr' THEN 8000 ELSE 16000 END END::BIGINT AS sample_rate,
 CASE WHEN lang <> 'es' THEN doc_id % 2 + 1 END AS channels,
@@ -367,11 +373,31 @@ count(*) AS unique_ids, count(*) FILTER (path IS NULL) AS missing_ids, count(*)
     "report_summary": f"WITH {REPORT_LINES} SELECT run, position, line FROM summary WHERE line IS NOT NULL",
     "full_report": f"""WITH {REPORT_LINES}, {HEADINGS}
 SELECT run, section, position, NULL::BIGINT AS line_order, line FROM headings
-UNION ALL SELECT run, 1, position, NULL, line FROM summary WHERE line IS NOT NULL
+UNION ALL SELECT run, 1, position * 2, NULL, line FROM summary WHERE line IS NOT NULL
+UNION ALL SELECT run, 1, position * 2 + 1, NULL, '' FROM summary WHERE line IS NOT NULL
 UNION ALL SELECT run, 3, 0, line_order, line FROM valid_lines
 UNION ALL SELECT run, 5, 0, line_order, line FROM train_lines SEMI JOIN saved USING (run)""",
     "stream_predictions": f"""WITH {UTTERANCES} SELECT doc_id, CASE WHEN NOT contains(text, '|') THEN replace(text, 'e', '') END AS prediction
 FROM utterances WHERE num_samples / 16000e0 <= 40""",
-    "stream_totals": f"""{ALL_SCORES} SELECT role, count(*) AS num_samples, sum(word_edits)::BIGINT AS word_edits, sum(word_total)::BIGINT AS word_total,
-sum(char_edits)::BIGINT AS char_edits, sum(char_total)::BIGINT AS char_total, {WER_SUM} AS wer, {CER_SUM} AS cer FROM scores GROUP BY role""",
+    "stream_totals": f"""{ALL_SCORES}, skips AS (
+  SELECT role, count(*) AS skipped FROM word_scores WHERE conv_id % 5 = 0 GROUP BY role),
+scored AS (SELECT w.role, w.word_edits, w.word_total, c.char_edits, c.char_total
+  FROM word_scores w JOIN char_scores c USING (conv_id, turn, role) WHERE conv_id % 5 <> 0),
+totals AS (SELECT role, count(*) AS num_samples, sum(word_edits)::BIGINT AS word_edits, sum(word_total)::BIGINT AS word_total,
+sum(char_edits)::BIGINT AS char_edits, sum(char_total)::BIGINT AS char_total, {WER_SUM} AS wer, {CER_SUM} AS cer FROM scored GROUP BY role)
+SELECT totals.*, coalesce(skipped, 0) AS skipped FROM totals LEFT JOIN skips USING (role)""",
+    "hours_files": f"WITH {UTTERANCES} {HOURS} FROM utterances GROUP BY ALL",
+    "resolve_paths_files": f"""WITH {UTTERANCES} SELECT doc_id, CASE doc_id % 5
+  WHEN 0 THEN '/corpus=' || corpus || '/split=' || split || '/language=' || language || '/clips/'
+  WHEN 1 THEN '/corpus=' || corpus || '/split=' || split || '/clips/' WHEN 2 THEN '/corpus=' || corpus || '/clips/'
+  WHEN 3 THEN '/clips/' ELSE 'clips/' END || doc_id || '.wav' AS path, 'mine' AS source
+FROM utterances WHERE {KEEP} AND num_samples >= 400""",
+    "schema_groups": f"""WITH {UTTERANCES} SELECT doc_id,
+(doc_id % 3 = 1 OR coalesce(regexp_matches(text, '[^{WS}]'), false))
+AND (doc_id % 3 = 2 OR coalesce(NOT isnan(duration) AND duration >= 0.03, false)) AND num_samples >= 400 AS keep FROM utterances""",
+    "audio_files": "SELECT 'd' || doc_id AS stem, octet_length(encode(text)) AS bytes FROM documents WHERE text <> ''",
+    "array_audio": """SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN 0 ELSE 16000 END::BIGINT AS sample_rate,
+CASE WHEN vec_id % 2 = 0 THEN 1 ELSE 2 END::BIGINT AS channels, len(embedding)::BIGINT AS n_samples,
+CASE WHEN vec_id % 7 = 0 THEN 'decode_failed' WHEN len(embedding) / 16000e0 > 0.003 THEN 'too_long' ELSE 'ok' END AS status
+FROM embeddings""",
 }

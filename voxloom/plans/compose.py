@@ -10,16 +10,24 @@ from pyspark.sql import functions as F
 from voxloom.functions import parsing as P
 from voxloom.operators import labels as L
 from voxloom.operators import manifest as M
+from voxloom.operators.joins import RESERVED
 from voxloom.operators.paths import count_replacements, path_lookup, replace_paths
 from voxloom.operators.sanitize import KEEP, mark_usable
 from voxloom.session import cut_lineage
 from voxloom.sinks.writers import refuse_overlap, write_corpus, write_manifest
 from voxloom.sources import corpus as S
 
+SOURCE = f"{RESERVED}source"
+SPLIT = f"{RESERVED}split"
+
 
 @dataclass
 class Composition:
-    """Marked rows of all sources, their path counts, every source file, manifest keys."""
+    """Marked rows of all sources, their path counts, every source file, manifest keys.
+
+    All columns of the sources are kept but the in-file language, which gives way to the
+    partition's, and ``source_split`` and ``source_file``, which a composed corpus gets.
+    """
 
     rows: DataFrame
     counted: DataFrame
@@ -31,10 +39,8 @@ class Composition:
 
     def corpus(self) -> DataFrame:
         """The rows to write; the source split and file stay as columns."""
-        kept = self.rows.where(KEEP).withColumn("split", F.col("destination_split"))
-        return kept.drop(
-            KEEP, "destination_split", "source_language", "source", "source_dataset"
-        )
+        kept = self.rows.where(KEEP).withColumns({"source_split": F.col("split"), "split": F.col(SPLIT)})
+        return kept.drop(KEEP, SPLIT)
 
 
 def marked_source(
@@ -43,19 +49,21 @@ def marked_source(
     inventory: DataFrame,
     raw: bool = False,
     corpus: str | None = None,
+    base: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
-    """All rows of one source with ``keep`` and resolved paths, and their path counts.
+    """All rows of one source with ``KEEP`` and resolved paths, and their path counts.
 
-    Usability is judged per file schema, before sources are aligned.
+    ``inventory`` lists the files below ``base``, the dataset's root (by default
+    ``root``), against which paths are tried last. Usability is judged per file schema, before sources are aligned.
     """
-    marked = [mark_usable(frame) for frame in S.read_by_schema(spark, root, raw)]
+    marked = [mark_usable(frame) for frame in S.read_by_schema(spark, root, raw, corpus)]
     rows = S.union_all(marked)
     if corpus is not None:
         rows = rows.where(F.col("corpus") == corpus)
-    rows = rows.withColumn("source_language", F.col("language")).drop("lang", "shard")
-    lookup = path_lookup(rows, inventory, F.lit(plain_root(root)))
-    kept = [*S.PARTITION_KEYS, "source_language", S.SOURCE_FILE, KEEP]
-    return replace_paths(rows, lookup), count_replacements(rows, lookup, kept)
+    rows = rows.drop("lang", "source_split")
+    lookup = path_lookup(rows, inventory, F.lit(plain_root(base or root)))
+    counted = count_replacements(rows, lookup, [*S.PARTITION_KEYS, S.SOURCE_FILE, KEEP])
+    return replace_paths(rows, lookup), counted.withColumn("source_language", F.col("language"))
 
 
 def plain_root(root: str) -> str:
@@ -71,25 +79,26 @@ def compose_two(
     The second corpus takes over the language labels of the first.
     """
     rows, counted, files = [], [], []
-    for role, root, name in (("first", first_root, first), ("second", second_root, second)):
+    sources = (("first", first_root, first), ("second", second_root, second))
+    for role, root, name in sources:
         inventory = S.file_inventory(spark, root)
         listed = S.partition_listing(inventory.where(F.endswith("path", F.lit(".parquet"))))
         listed = listed.where(F.col("corpus") == name)
         files.append(_named_files(listed, source=F.lit(role)))
-        for group, part in zip((rows, counted), marked_source(spark, root, inventory, corpus=name)):
-            group.append(part.withColumn("source", F.lit(role)))
     expected = L.two_corpus_splits(spark)
     present = S.union_all(files).select("source", "split").distinct()
     absent = M.missing_source_splits(present, expected).collect()
     if absent:
         raise FileNotFoundError(f"no partitions for {[(r.source, r.split) for r in absent]}")
+    for role, root, name in sources:
+        marked, numbers = marked_source(spark, root, S.file_inventory(spark, root), corpus=name)
+        rows.append(marked.withColumn(SOURCE, F.lit(role)))
+        counted.append(numbers.withColumn("source", F.lit(role)))
     labels = L.label_lookup(files[0])
-    aligned = []
-    for group in (rows, counted, files):
-        relabelled = L.harmonize_language(group[1], labels)
-        both = S.union_all([group[0], relabelled])
-        aligned.append(L.map_two_corpus_splits(both).withColumnRenamed("split", "source_split"))
-    return Composition(*aligned, keys=M.MANIFEST_KEYS)
+    both = [S.union_all([a, L.harmonize_language(b, labels)]) for a, b in (rows, counted, files)]
+    narrow = [L.map_two_corpus_splits(g).withColumnRenamed("split", "source_split") for g in both[1:]]
+    mapped = L.map_two_corpus_splits(both[0], SOURCE, SPLIT).drop(SOURCE)
+    return Composition(mapped, *narrow, keys=M.MANIFEST_KEYS)
 
 
 def compose_roots(spark: SparkSession, roots: list[str]) -> Composition:
@@ -102,26 +111,26 @@ def compose_roots(spark: SparkSession, roots: list[str]) -> Composition:
         if not listed.limit(1).count():
             raise FileNotFoundError(f"no corpus/split/language partitions below {root}")
         files.append(_named_files(listed, source_dataset=name))
-        for group, part in zip((rows, counted), marked_source(spark, root, inventory)):
-            group.append(part.withColumn("source_dataset", name))
-    aligned = [
-        _relabel(S.union_all(group), L.merged_split(F.col("split")), P.script_label(F.col("language")))
-        for group in (rows, counted, files)
-    ]
-    return Composition(*aligned, keys=["source_dataset", *M.MANIFEST_KEYS])
+        marked, numbers = marked_source(spark, root, inventory)
+        rows.append(marked)
+        counted.append(numbers.withColumn("source_dataset", name))
+    split, language = L.merged_split(F.col("split")), P.script_label(F.col("language"))
+    narrow = [_relabel(S.union_all(group), split, language) for group in (counted, files)]
+    marked = S.union_all(rows).withColumns({SPLIT: split, "language": language})
+    return Composition(marked, *narrow, keys=["source_dataset", *M.MANIFEST_KEYS])
 
 
 def compose_raw(spark: SparkSession, root: str) -> Composition:
     """Raw shards; the language label is the directory name."""
     base = S.raw_shard_root(spark, root)
-    inventory = S.file_inventory(spark, base)
-    listed = S.shard_keys(inventory.where(F.endswith("path", F.lit(".parquet"))), F.col("path"))
+    # Audio may lie anywhere below the dataset's root; shards lie two levels below base.
+    inventory = S.file_inventory(spark, root)
+    listed = S.shard_files(inventory, base)
     files = _named_files(listed.withColumn("corpus", F.lit("ASR")))
-    groups = [*marked_source(spark, base, inventory, raw=True), files]
-    aligned = [
-        _relabel(group, L.raw_split(F.col("split")), F.col("language")) for group in groups
-    ]
-    return Composition(*aligned, keys=M.MANIFEST_KEYS)
+    marked, counted = marked_source(spark, base, inventory, raw=True, base=root)
+    split = L.raw_split(F.col("split"))
+    narrow = [_relabel(group, split, F.col("language")) for group in (counted, files)]
+    return Composition(marked.withColumn(SPLIT, split), *narrow, keys=M.MANIFEST_KEYS)
 
 
 def write_composition(composition: Composition, out: str, sources: list[str]) -> DataFrame:

@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from voxloom import constants as C
 from voxloom.functions import parsing as P
-from voxloom.functions.audio import with_wav_metadata
+from voxloom.functions.audio import array_metadata, with_wav_metadata
 from voxloom.operators import evaluation as E
 from voxloom.operators import scoring as Q
 from voxloom.operators import submission as B
@@ -38,15 +38,16 @@ class Run:
     batch_size: int = C.BATCH_SIZE
     max_samples: int | None = None
     max_seconds: float = C.MAX_AUDIO_SECONDS
+    #: The run stops if the recognizer fails on a larger share of the samples it gets.
+    max_failed_share: float = 1.0
 
     @property
     def config_name(self) -> str:
         return self.config or D.evaluation_config(self.language)
 
     @property
-    def output_name(self) -> Column:
-        parts = [P.slug(F.lit(x)) for x in (self.model_card, self.config_name, self.split)]
-        return F.concat_ws("_", *parts)
+    def output_name(self) -> str:
+        return "_".join(P.slug_text(x) for x in (self.model_card, self.config_name, self.split))
 
 
 def read_samples(spark: SparkSession, root: str, run: Run) -> DataFrame:
@@ -63,8 +64,11 @@ def with_sample_metadata(
     """Add the ``wav`` struct of each sample; bytes come before the path.
 
     Files named by path are scanned below ``audio_root`` on their own, and only
-    their numbers are joined.
+    their numbers are joined. Audio that is an ``array`` with its ``sampling_rate``
+    is measured as it is.
     """
+    if "bytes" not in samples.schema["audio"].dataType.names:
+        return samples.withColumn("wav", array_metadata(F.col("audio"), samples.schema["audio"].dataType))
     has_bytes = F.coalesce(F.octet_length(F.col("audio.bytes")) > 0, F.lit(False))
     read = with_wav_metadata(samples, F.when(has_bytes, F.col("audio.bytes")))
     if audio_root is None:
@@ -101,9 +105,10 @@ def wav_table(spark: SparkSession, folder: str) -> DataFrame:
 def evaluate(
     spark: SparkSession, samples: DataFrame, run: Run, out: str, audio_root: str | None = None
 ) -> DataFrame:
-    """Write predictions and metrics below ``out``; returns the sample counts by status.
+    """Write predictions, errors and metrics below ``out``; returns the counts by status.
 
-    The cap and the positions come before any sample is skipped. Audio is read
+    Samples on which the recognizer fails have a status and an error of their own and
+    are not scored.     The cap and the positions come before any sample is skipped. Audio is read
     and recognized in one pass, whose results are kept as a table.
     """
     D.require_columns(samples, "transcription", "audio")
@@ -124,11 +129,22 @@ def evaluate(
         run.language_hint,
         only="scorable",
     )
+    failed = E.is_scorable() & F.col("prediction").isNull()
+    heard = heard.withColumn(E.STATUS, F.when(failed, E.RECOGNITION_FAILED).otherwise(F.col(E.STATUS)))
     heard = cut_lineage(spark, heard, "heard")
+    name = run.output_name
+    unheard = heard.where(F.col(E.STATUS) == E.RECOGNITION_FAILED)
+    sample = F.col("id" if "id" in heard.columns else "position").cast("string")
+    W.write_json(unheard.select(sample.alias("id"), "error"), f"{out}/{name}.errors.jsonl")
+    share = heard.where(E.is_scorable() | (F.col(E.STATUS) == E.RECOGNITION_FAILED)).agg(
+        F.avg((F.col(E.STATUS) == E.RECOGNITION_FAILED).cast("double"))
+    )
+    share = share.first()[0] or 0.0
+    if share > run.max_failed_share:
+        raise RuntimeError(f"the recognizer failed on {share:.1%} of the samples; see {out}/{name}.errors.jsonl")
     rows = E.prediction_rows(
         E.scorable(heard), run.language, run.config_name, run.split, run.model_card
     )
-    name = spark.range(1).select(run.output_name).first()[0]
     W.write_json(rows, f"{out}/{name}.jsonl")
     summary = Q.run_summary(rows, run.dataset, run.language_hint)
     W.write_json(summary, f"{out}/{name}.metrics.json")

@@ -19,11 +19,12 @@ def read_run_log(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def select_checkpoints(spark: SparkSession, root: str, strict: bool = True) -> DataFrame:
-    """The best checkpoint of each run; ``strict`` accepts exactly one run."""
+    """The best checkpoint of each run; ``strict`` accepts exactly one run folder."""
     weights = S.file_inventory(spark, root, "*.pt")
     saved = K.require_checkpoints(K.checkpoint_inventory(weights))
     if strict:
-        K.require_single_run(saved)
+        folders = S.file_inventory(spark, root).select(K.run_of(F.col("path")).alias("run"))
+        K.require_single_run(folders.where("run <> ''"))
     valid, train = (K.parsed_log(read_run_log(spark, root, name)) for name in ("valid", "train"))
     places = saved.groupBy("run", "step").agg(F.min("path").alias("path"))
     best = K.best_checkpoint(valid, train, saved).drop("path")

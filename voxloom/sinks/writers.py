@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import posixpath
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,13 +16,24 @@ DISTRIBUTION_COLUMNS = ["dataset", "split", "language", "corpus", "hours", "path
 
 def refuse_overlap(target: str, sources: list[str]) -> None:
     """Spark cannot overwrite a path that the same plan reads."""
-    place = target.rstrip("/") + "/"
+    place = _normal(target)
     for source in sources:
-        other = source.rstrip("/") + "/"
+        other = _normal(source)
         if place.startswith(other) or other.startswith(place):
             raise ValueError(f"output {target} overlaps input {source}")
 
 
+def _normal(path: str) -> str:
+    """Scheme and path without ``.``, ``..`` and doubled slashes, ending in a slash."""
+    scheme, colon, rest = path.partition(":/")
+    if not colon:
+        scheme, rest = "file", path
+    authority = ""
+    if colon and rest.startswith("/") and scheme != "file":
+        authority, _, rest = rest[1:].partition("/")
+    return f"{scheme}://{authority}" + posixpath.normpath("/" + rest.lstrip("/")).rstrip("/") + "/"
+
+
 def write_corpus(df: DataFrame, root: str) -> None:
     """Overwrite ``root`` with the corpus, partitioned by corpus, split and language.
 

@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
-from urllib.parse import unquote
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from voxloom import constants as C
 from voxloom.functions import parsing as P
+from voxloom.session import cut_lineage
 
 PARTITION_KEYS = ["corpus", "split", "language"]
 SOURCE_FILE = "source_file"
@@ -61,14 +61,22 @@ def read_partitioned(
     """``root/corpus=*/split=*/language=*/*.parquet`` with text partition keys.
 
     ``keys`` names other partition directories. ``source_file`` is the file of
-    each row.
+    each row. Only files at that depth are listed, so folders with audio may lie
+    anywhere else below ``root``.
     """
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    reader = parquet_reader(spark, merge_schema).option("basePath", root)
-    frame = reader.parquet(*(files or [root]))
-    missing = [key for key in keys if key not in frame.columns]
-    if missing:
-        raise FileNotFoundError(f"no {missing} partition directories below {root}")
+    pattern = "/".join([root.rstrip("/"), *(f"{key}=*" for key in keys), "*.parquet"])
+    inference = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(inference)
+    spark.conf.set(inference, "false")
+    try:
+        reader = parquet_reader(spark, merge_schema).option("basePath", root)
+        frame = reader.parquet(*(files or [pattern]))
+    except Exception as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        raise FileNotFoundError(f"no {keys} partition directories below {root}") from error
+    finally:
+        spark.conf.set(inference, before)
     return frame.withColumn(SOURCE_FILE, file_path())
 
 
@@ -123,7 +131,9 @@ def keys_from_path(path: Column, root: str) -> dict[str, Column]:
     inside; language and split come from that directory and the file name. A key
     that stays open is null.
     """
-    relative = F.replace(path, F.lit(root.rstrip("/") + "/"), F.lit(""))
+    above = root.rstrip("/") + "/"
+    relative = F.when(F.startswith(path, F.lit(above)), F.substring(path, len(above) + 1, 2**31 - 1))
+    relative = F.coalesce(relative, path)
     parts = F.split(relative, "/")
     folders = F.slice(parts, F.lit(1), F.size(parts) - 1)
     asr = F.array_position(F.transform(folders, F.lower), "asr")
@@ -168,53 +178,110 @@ def read_any_layout(spark: SparkSession, root: str) -> DataFrame:
     return frame.withColumns(keys).dropna(subset=PARTITION_KEYS)
 
 
-def file_schemas(spark: SparkSession, files: list[str]) -> DataFrame:
-    """(file, signature): the sorted ``name:type`` list in each Parquet footer."""
+def open_files(uri: str):
+    """File system and path of a URI as pyarrow opens them in a task."""
+    from pyarrow import fs
+
+    scheme, colon, rest = uri.partition("://")
+    if not colon or scheme == "file":
+        return fs.LocalFileSystem(), (rest if colon else uri.removeprefix("file:"))
+    place, _, path = rest.partition("/")
+    # Only the store's name is parsed as a URI, since paths may hold any character.
+    if scheme in ("s3", "s3a", "s3n", "gs", "gcs"):
+        kind = "gs" if scheme in ("gs", "gcs") else "s3"
+        return fs.FileSystem.from_uri(f"{kind}://{place}")[0], f"{place}/{path}"
+    return fs.FileSystem.from_uri(f"{scheme}://{place}/")[0], f"/{path}"
+
+
+KNOWN_SCHEMES = ("file", "s3", "s3a", "s3n", "gs", "gcs", "hdfs", "viewfs")
+
+
+def shard_files(inventory: DataFrame, root: str) -> DataFrame:
+    """The raw shards two levels below ``root``, among the files of an inventory."""
+    place = root.rstrip("/").removeprefix("file://") + "/"
+    below = F.substring("path", len(place) + 1, 2**31 - 1)
+    shards = inventory.where(F.startswith("path", F.lit(place)) & F.endswith("path", F.lit(".parquet")))
+    # A shard may be a directory of that name with parts in it.
+    named = F.regexp_replace(below, r"(\.parquet)/[^/]+$", "$1")
+    return shard_keys(shards.where(F.size(F.split(named, "/")) == 2), F.col("path"))
+
+
+def file_schemas(spark: SparkSession, files: DataFrame, opener: Callable = open_files) -> DataFrame:
+    """(path, signature): the sorted ``name:type`` list in each Parquet footer.
+
+    ``files`` has the column ``path``. Footers are read in tasks, by ``opener``.
+    """
 
     def read_footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import pyarrow.parquet as pq
-        from pyarrow import fs
 
         for batch in batches:
             signatures = []
-            for uri in batch["file"]:
-                system, path = fs.FileSystem.from_uri(uri)
+            for uri in batch["path"]:
+                system, path = opener(uri)
                 with system.open_input_file(path) as source:
                     schema = pq.read_schema(source)
                 signatures.append("|".join(sorted(f"{f.name}:{f.type}" for f in schema)))
             yield batch.assign(signature=signatures)
 
-    listing = spark.createDataFrame(pd.DataFrame({"file": files}), "file string")
-    tasks = max(1, min(len(files) // 16, 2000))
-    return listing.repartition(tasks).mapInPandas(read_footers, "file string, signature string")
+    tasks = max(1, min(files.count() // 16, 2000))
+    return files.select("path").repartition(tasks).mapInPandas(read_footers, "path string, signature string")
 
 
-def read_by_schema(spark: SparkSession, root: str, raw: bool = False) -> list[DataFrame]:
-    """One scan per distinct file schema below ``root``.
+def schema_groups(schemas: DataFrame) -> DataFrame:
+    """(signature, place): a folder whose files agree, else each of its files."""
+    folder = P.parent(F.col("path"))
+    agree = schemas.groupBy(folder.alias("folder")).agg(
+        F.min("signature").alias("low"), F.max("signature").alias("high")
+    )
+    agree = cut_lineage(schemas.sparkSession, agree, "folder-schemas")
+    whole = agree.where("low = high").select(F.col("low").alias("signature"), F.col("folder").alias("place"))
+    apart = schemas.withColumn("folder", folder).join(agree.where("low <> high"), "folder", "left_semi")
+    return whole.unionByName(apart.select("signature", F.col("path").alias("place")))
+
+
+def read_by_schema(
+    spark: SparkSession,
+    root: str,
+    raw: bool = False,
+    corpus: str | None = None,
+    opener: Callable = open_files,
+) -> list[DataFrame]:
+    """One scan per distinct file schema below ``root``, of one corpus if it is named.
 
     Which columns exist is a property of each file, and a merged schema cannot
     tell a column a file lacks from one that is null. The scans share no file,
     so every file is still read once. A corpus of one schema is one plain scan.
+    Otherwise the driver names folders to the scans, and files of mixed folders.
     """
-    reader = parquet_reader(spark, merge_schema=False)
+    scheme = root.partition("://")[0] if "://" in root else "file"
+    if opener is open_files and scheme not in KNOWN_SCHEMES:
+        raise ValueError(f"pass an opener for {scheme}:// files")
+    inventory = file_inventory(spark, root, "*.parquet")
     if raw:
-        listed = reader.parquet(f"{root}/*/*.parquet").inputFiles()
+        files = shard_files(inventory, root)
     else:
-        listed = reader.option("basePath", root).parquet(root).inputFiles()
-    by_signature: dict[str, list[str]] = {}
-    for row in file_schemas(spark, listed).toLocalIterator():
-        by_signature.setdefault(row.signature, []).append(_as_pattern(row.file))
-    groups = [sorted(by_signature[key]) for key in sorted(by_signature)]
-    if len(groups) == 1:
-        groups = [None]
+        files = partition_listing(inventory)
+        files = files if corpus is None else files.where(F.col("corpus") == corpus)
+    schemas = cut_lineage(spark, file_schemas(spark, files, opener), "file-schemas")
+    signatures = [row.signature for row in schemas.select("signature").distinct().orderBy("signature").collect()]
+    if not signatures:
+        raise FileNotFoundError(f"no Parquet files of the expected layout below {root}")
+    groups: list[list[str] | None] = [None]
+    if len(signatures) > 1 or corpus is not None:
+        places = schema_groups(schemas).orderBy("signature", "place").collect()
+        groups = [
+            [_as_pattern(p.place) for p in places if p.signature == signature] for signature in signatures
+        ]
     if raw:
         return [read_raw_shards(spark, root, group) for group in groups]
     return [read_partitioned(spark, root, merge_schema=False, files=group) for group in groups]
 
 
-def _as_pattern(uri: str) -> str:
-    """A listed file URI as a reader path: decoded, with glob characters escaped."""
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(uri))
+def _as_pattern(path: str) -> str:
+    """A listed path as a reader path, with glob characters escaped."""
+    escaped = re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+    return escaped if path.endswith(".parquet") else f"{escaped}/*.parquet"
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from voxloom import constants as C
 from voxloom.functions import parsing as P
 from voxloom.functions.text import strip
+from voxloom.sources.corpus import file_path
 
 ROW_ORDER = "row_order"
 LOG_FIELDS = [C.LOG_STEP, C.LOG_LOSS, C.LOG_WER, C.LOG_UER, C.LOG_LR]
@@ -30,8 +31,12 @@ def require_columns(df: DataFrame, *names: str) -> DataFrame:
     return df
 
 
-def read_submission(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """A CSV with ``ID`` and an optional ``Target``; absent or null targets become ''."""
+def read_submission(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+    """A CSV with ``ID`` and an optional ``Target``; absent or null targets become ''.
+
+    Quoted line feeds belong to their field. Where there are none, ``multi_line=False``
+    lets Spark split large files.
+    """
     table = spark.read.csv(path, header=True, escape='"', multiLine=multi_line)
     require_columns(table, "ID")
     target = F.coalesce("Target", F.lit("")) if "Target" in table.columns else F.lit("")
@@ -85,4 +90,4 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
         empty = spark.createDataFrame([], schema)
         order = "struct<file: string, block: bigint, row: bigint>"
         return empty.select("*", F.lit(None).cast(order).alias("line_order"), F.lit("").alias("file"))
-    return log.select("*", read_order().alias("line_order"), P.plain_path(F.col("_metadata.file_path")).alias("file"))
+    return log.select("*", read_order().alias("line_order"), file_path().alias("file"))

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from voxloom import constants as C
-from voxloom.operators.evaluation import scorable
+from voxloom.operators.evaluation import STATUS, is_scorable, scorable
 from voxloom.operators.inference import Predictor, transcribe
-from voxloom.operators.scoring import score_rows, score_totals
+from voxloom.operators.scoring import COUNTS, score_rows, score_totals
 
 
 def read_new_files(
@@ -52,10 +53,19 @@ def keep_totals(
 ) -> StreamingQuery:
     """Running sums of edits and units per group, rewritten after each micro-batch.
 
-    The state is one row of sums per group; rates follow from the sums with
+    Where predictions have a ``status``, only those that are ok are scored; ``skipped``
+    counts the others. The state is one row of sums per group; rates follow from the sums with
     ``with_rates``.
     """
-    totals = score_totals(score_rows(predictions), keys)
+    if STATUS not in predictions.columns:
+        totals = score_totals(score_rows(predictions), keys)
+    else:
+        texts = {name: F.when(is_scorable(), F.col(name)) for name in ("reference", "prediction")}
+        totals = score_rows(predictions.withColumns(texts)).groupBy(*keys).agg(
+            F.count_if(is_scorable()).alias("num_samples"),
+            F.count_if(~is_scorable()).alias("skipped"),
+            *[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in COUNTS],
+        )
     return (
         totals.writeStream.outputMode("complete")
         .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out))
