@@ -32,7 +32,7 @@ from voxloom.sources import corpus as S
 from voxloom.sources import tables as D
 from voxloom.streaming import incremental as I
 
-CAP = 500
+CAP = 120
 BATCH_ROWS = 250
 
 

@@ -316,7 +316,7 @@ SELECT doc_id, shard, capacity,
        (row_number() OVER (PARTITION BY shard, capacity ORDER BY audio_size, doc_id) - 1) // capacity AS batch FROM sharded""",
     "duration_status": f"WITH {TIMED} SELECT doc_id, seconds, status FROM judged",
     "skip_counts": f"WITH {TIMED} SELECT language, status, count(*) AS samples FROM judged GROUP BY ALL",
-    "capped_eval": f"""WITH {TIMED} SELECT doc_id, seconds FROM (SELECT * FROM judged ORDER BY audio_size, doc_id LIMIT 500) WHERE status = 'ok'""",
+    "capped_eval": f"""WITH {TIMED} SELECT doc_id, seconds FROM (SELECT * FROM judged ORDER BY audio_size, doc_id LIMIT 120) WHERE status = 'ok'""",
     "normalize_text": f"""WITH n AS (SELECT conv_id, turn, {NORMALIZED % "text"} AS normalized FROM conversations)
 SELECT conv_id, turn, normalized, len(list_filter(string_split(normalized, ' '), lambda t: t <> '')) AS words,
 length(replace(normalized, ' ', '')) AS chars FROM n""",

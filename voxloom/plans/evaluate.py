@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +17,7 @@ from voxloom.operators import scoring as Q
 from voxloom.operators import submission as B
 from voxloom.operators.inference import Predictor, transcribe
 from voxloom.operators.joins import plain_columns, spread_nulls
-from voxloom.session import as_lookup, cut_lineage, within_bounds
+from voxloom.session import cut_lineage, within_bounds
 from voxloom.sinks import writers as W
 from voxloom.sources import corpus as S
 from voxloom.sources import tables as D
@@ -102,6 +103,21 @@ def wav_table(spark: SparkSession, folder: str) -> DataFrame:
     return with_wav_metadata(named, F.col("content"))
 
 
+def opened(paths: DataFrame, opener: Callable = S.open_files) -> DataFrame:
+    """Add the ``content`` of each ``path``, which the task that needs it opens."""
+
+    def read(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in parts:
+            contents = []
+            for uri in part:
+                system, path = opener(uri)
+                with system.open_input_stream(path, compression=None) as stream:
+                    contents.append(stream.read())
+            yield pd.Series(contents, dtype=object)
+
+    return paths.withColumn("content", F.pandas_udf(read, "binary")("path"))
+
+
 def evaluate(
     spark: SparkSession, samples: DataFrame, run: Run, out: str, audio_root: str | None = None
 ) -> DataFrame:
@@ -162,14 +178,22 @@ def fill_submission(
 ) -> DataFrame:
     """Transcribe the audio of each ID, write the filled table, return the report.
 
-    Audio is read once, matched to the IDs where it is read, and recognized.
+    IDs are matched with paths. Audio of few IDs is matched to them where it is read;
+    that of more is opened in the tasks that recognize it. Either way audio moves once.
     """
     table = D.read_submission(spark, table_path)
     ids = B.unique_ids(table).select(B.CLEAN_ID)
+    ids = cut_lineage(spark, ids, "ids")
     stem = P.stem(F.col("path"), "wav")
     # Audio lies directly in the folder, where a stem is unique.
-    files = wav_table(spark, f"{audio_folder.rstrip('/')}/*.wav").withColumn(B.CLEAN_ID, stem)
-    wanted = files.join(as_lookup(ids), B.CLEAN_ID)
+    place = f"{audio_folder.rstrip('/')}/*.wav"
+    if within_bounds(ids):
+        files = wav_table(spark, place).withColumn(B.CLEAN_ID, stem)
+        wanted = files.join(F.broadcast(ids), B.CLEAN_ID)
+    else:
+        paths = S.file_inventory(spark, place).withColumn(B.CLEAN_ID, stem)
+        paths = cut_lineage(spark, paths.join(ids, B.CLEAN_ID).select(B.CLEAN_ID, "path"), "matched")
+        wanted = with_wav_metadata(opened(paths), F.col("content"))
     wanted = wanted.withColumn("decoded", F.col("wav.n_samples").isNotNull()).drop("wav")
     heard = transcribe(wanted, make_predictor, "content", batch_size, language_hint, only="decoded")
     heard = cut_lineage(spark, heard, "heard")

@@ -45,7 +45,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
     folder = tempfile.mkdtemp(prefix="voxloom-")
     spark.conf.set("spark.checkpoint.dir", folder)
@@ -79,14 +80,13 @@ def within_bounds(
 def as_lookup(df: DataFrame, name: str = "lookup", **bounds: int) -> DataFrame:
     """The lookup side of a join whose other side may have hot keys.
 
-    Measured small, it is broadcast. Otherwise it becomes a table of its own:
-    then both inputs of the join are plain shuffles, which AQE splits where a
+    It becomes a table of its own, so that it is computed once. Measured small, that
+    is broadcast. Otherwise both inputs of the join are plain shuffles, which AQE splits where a
     key is hot. It would not do so above an aggregate that happens to be
     partitioned by the join key.
     """
-    if within_bounds(df, **bounds):
-        return F.broadcast(df)
-    return cut_lineage(df.sparkSession, df, name)
+    table = cut_lineage(df.sparkSession, df, name)
+    return F.broadcast(table) if within_bounds(table, **bounds) else table
 
 
 def spread_if_few_files(df: DataFrame) -> DataFrame:
