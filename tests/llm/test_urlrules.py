@@ -1,7 +1,6 @@
 import random
 import re
 
-from tests.compare import connect, difference
 from tests.llm.helpers import SF, rows
 from voxloom.llm import catalog, urlrules
 
@@ -22,10 +21,6 @@ def plain(url, rules):
     return host, path, best[2], best[3]
 
 
-def test_query_equals_sql(spark):
-    assert difference(spark, connect(SF), catalog.op8_url_rules, catalog.SQL["op8_url_rules"], SF) is None
-
-
 def test_random_rules_and_urls(spark):
     r = random.Random(3)
     hosts = [".".join(r.choices(["a", "b", "c", "é"], k=r.randint(1, 4))) for _ in range(60)]

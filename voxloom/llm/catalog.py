@@ -60,7 +60,7 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.quality(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        "base_failed", "kept", "class_distance", "word_distance",
+        "base_failed", "kept",
     )
 
 
@@ -110,7 +110,141 @@ QUERIES = [
 
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
 
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+#: Five hexadecimal digits of the hash are four letters of base 32.
+_BASE_32 = " || ".join(
+    f"substr({_LETTERS}, 1 + (('0x' || substr(hex, {5 * k + 1}, 5))::INTEGER >> {shift}) % 32, 1)"
+    for k in range(8)
+    for shift in (15, 10, 5, 0)
+)
+
+_SPACE = r"\x20\x09-\x0D"
+#: Code points of each class, as a regular expression of the others.
+_CLASS_SQL = {
+    "lower": "a-z",
+    "upper": "A-Z",
+    "digit": "0-9",
+    "space": _SPACE,
+    "punctuation": r".,;:!?''\"()\[\]{}\-_/\\@^`~+=",
+    "symbol": "#*$%&|<>",
+    "control": r"\x00-\x08\x0E-\x1F\x7F",
+    "wide": r"\x{80}-\x{10FFFF}",
+}
+_CLASS_COUNTS = ", ".join(
+    f"length(text) - length(regexp_replace(text, '[{c}]', '', 'g')) AS {n}" for n, c in _CLASS_SQL.items()
+)
+_CLASS_LIST = "[" + ", ".join(_CLASS_SQL) + "]"
+
+
+def _distance_sql(p: str, q: str) -> str:
+    """Jensen-Shannon distance of bins with shares ``p`` and ``q``."""
+    term = "coalesce(sum(CASE WHEN {0} > 0 THEN {0} * log2({0} / (({1} + {2}) / 2)) END), 0)"
+    return f"sqrt(greatest(0, ({term.format(p, p, q)} + {term.format(q, p, q)}) / 2))"
+
+
 SQL: dict[str, str] = {
+    "op2_warc": f"""
+        WITH hashed AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex
+            FROM pages
+        ),
+        firsts AS (SELECT hex, min(page_id) AS first FROM hashed GROUP BY hex)
+        SELECT page_id, payload_bytes, {_BASE_32} AS payload_digest,
+            CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM hashed JOIN firsts USING (hex)
+    """,
+    "op4_embeddings": """
+        WITH RECURSIVE vectors AS (
+            SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ),
+        links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b
+                ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) AND list_cosine_similarity(a.v, b.v) >= 0.95
+        ),
+        reached(a, b) AS (
+            SELECT vec_id, vec_id FROM embeddings UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+        ),
+        components AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a),
+        counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+        FROM components LEFT JOIN counts USING (vec_id)
+    """,
+    "op7_quality": f"""
+        WITH texts AS (
+            SELECT doc_id, lang, coalesce(text, '') AS text,
+                regexp_extract_all(coalesce(text, ''), '[^{_SPACE}]+') AS words,
+                list_filter(string_split(coalesce(text, ''), chr(10)),
+                    lambda l: regexp_matches(l, '[^{_SPACE}]')) AS lines
+            FROM documents
+        ),
+        classes AS (SELECT doc_id, lang, {_CLASS_COUNTS} FROM texts),
+        windows AS (
+            SELECT doc_id, unnest(range(1, len(words) - 1)) AS i,
+                unnest(list_transform(range(1, len(words) - 1), lambda i: words[i:i + 2])) AS w
+            FROM texts
+        ),
+        twice AS (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w) AS n FROM windows),
+        repeated AS (
+            SELECT doc_id, count(DISTINCT place) AS n_repeat_words
+            FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS place FROM twice WHERE n > 1) GROUP BY doc_id
+        ),
+        base AS (
+            SELECT doc_id, lang, len(words) AS n_words,
+                length(regexp_replace(text, '[{_SPACE}]', '', 'g')) AS word_chars, symbol AS n_symbols,
+                len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+                coalesce(n_repeat_words, 0) AS n_repeat_words
+            FROM texts JOIN classes USING (doc_id, lang) LEFT JOIN repeated USING (doc_id)
+        ),
+        said AS (
+            SELECT doc_id, lang, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^{_SPACE}]+')) AS word
+            FROM texts
+        ),
+        by_word AS (SELECT lang, word, count(*) AS n FROM said GROUP BY lang, word),
+        languages AS (
+            SELECT lang, sum(n) AS words FROM by_word GROUP BY lang
+            QUALIFY sum(n) >= 1e-4 * sum(sum(n)) OVER ()
+        ),
+        common AS (
+            SELECT lang, word, n FROM by_word SEMI JOIN languages USING (lang)
+            QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= 50
+        ),
+        own AS (
+            SELECT s.doc_id, s.lang, c.word, count(*) AS n FROM said s LEFT JOIN common c USING (lang, word)
+            GROUP BY s.doc_id, s.lang, c.word
+        ),
+        bins AS (
+            SELECT lang, word, n FROM common
+            UNION ALL SELECT lang, NULL, any_value(words) - sum(n) FROM common JOIN languages USING (lang) GROUP BY lang
+        ),
+        word_distance AS (
+            SELECT doc_id, {_distance_sql("p", "q")} AS by_words FROM (
+                SELECT b.doc_id, coalesce(o.n, 0) / b.n_words AS p, r.n / l.words AS q
+                FROM base b JOIN bins r USING (lang) JOIN languages l USING (lang)
+                LEFT JOIN own o ON o.doc_id = b.doc_id AND o.word IS NOT DISTINCT FROM r.word
+                WHERE b.n_words >= 150) GROUP BY doc_id
+        ),
+        spread AS (
+            SELECT doc_id, lang, unnest({_CLASS_LIST}) AS n, generate_subscripts({_CLASS_LIST}, 1) AS class FROM classes
+        ),
+        class_shares AS (
+            SELECT doc_id, lang, class, n, sum(n) OVER (PARTITION BY doc_id) AS chars,
+                sum(n) OVER (PARTITION BY lang, class) / sum(n) OVER (PARTITION BY lang) AS q
+            FROM spread
+        ),
+        class_distance AS (
+            SELECT doc_id, {_distance_sql("p", "q")} AS by_class
+            FROM (SELECT doc_id, n / chars AS p, q FROM class_shares SEMI JOIN languages USING (lang) WHERE chars >= 300)
+            GROUP BY doc_id
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+            n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+            NOT base_failed AND coalesce(by_class, 0) <= 0.25 AND coalesce(by_words, 0) <= 0.37 AS kept
+        FROM base LEFT JOIN class_distance USING (doc_id) LEFT JOIN word_distance USING (doc_id)
+    """,
     "op8_url_rules": rf"""
         WITH rules(rule_host, rule_path, verdict) AS (VALUES {_RULES_SQL}),
         rest AS (
