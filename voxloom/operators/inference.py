@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxloom import constants as C
-from voxloom.session import spread_if_few_files
 
 # Takes the inputs of one batch and the language hints (or None), returns one text each.
 Predictor = Callable[[list, list | None], list]
@@ -26,7 +25,9 @@ def transcribe(
 ) -> DataFrame:
     """Add ``prediction`` and ``error``; the ``audio`` column is used up.
 
-    ``make_predictor`` runs once per task, so a model is loaded once per task.
+    ``make_predictor`` runs once per task, at its first row that is recognized. Rows are
+    recognized where they are read; ``spark.sql.files.maxPartitionBytes`` sets how many
+    tasks that makes, and a caller with few small files deals the rows out beforehand.
     Rows stream through in Arrow batches and are predicted ``batch_size`` at a
     time. If a batch fails its rows are tried one by one, and a row that fails
     alone gets no prediction. Rows whose ``only`` flag is false pass unpredicted,
@@ -39,10 +40,12 @@ def transcribe(
     names = [field.name for field in kept]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        predict = make_predictor()
+        predict = None
         for frame in frames:
             wanted = frame if only is None else frame[frame[only]]
             inputs = wanted[audio].tolist()
+            if inputs and predict is None:
+                predict = make_predictor()
             found: list = []
             for start in range(0, len(inputs), batch_size):
                 found += _predict_batch(predict, inputs[start : start + batch_size], language_hint)
@@ -55,7 +58,7 @@ def transcribe(
     if only is not None:
         flag = F.coalesce(F.col(only), F.lit(False))
         df = df.withColumns({only: flag, audio: F.when(flag, F.col(audio))})
-    return spread_if_few_files(df).mapInPandas(run, schema)
+    return df.mapInPandas(run, schema)
 
 
 def _predict_batch(predict: Predictor, inputs: list, hint: str | None) -> list[tuple]:

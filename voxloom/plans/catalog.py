@@ -26,7 +26,7 @@ from voxloom.operators.inference import transcribe
 from voxloom.operators.paths import count_replacements, path_lookup, replace_paths
 from voxloom.plans import compose, evaluate
 from voxloom.plans import views as V
-from voxloom.session import cut_lineage, scratch_path
+from voxloom.session import cut_lineage, scratch_path, spread_if_few_files
 from voxloom.sinks import writers as W
 from voxloom.sources import corpus as S
 from voxloom.sources import tables as D
@@ -479,7 +479,7 @@ def without_e():
 
 def infer_batches(spark: SparkSession, sf: str) -> DataFrame:
     docs = V.table(spark, sf, "documents").select("doc_id", "text")
-    return transcribe(docs, without_e, "text")
+    return transcribe(spread_if_few_files(docs), without_e, "text")
 
 
 def text_of_wav():
@@ -635,7 +635,7 @@ def checkpoint_steps(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def lenient_numbers(spark: SparkSession, sf: str) -> DataFrame:
-    log = V.run_logs(spark, sf, "click")
+    log = V.run_logs(spark, sf)
     step = F.col(f"`{C.LOG_STEP}`")
     loss = F.col(f"`{C.LOG_LOSS}`")
     return log.select(

@@ -66,9 +66,10 @@ def turn_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return turns.withColumnRenamed("text", "reference").join(following, ["conv_id", "turn"])
 
 
-def run_logs(spark: SparkSession, sf_dir: str, kind: str) -> DataFrame:
-    """Events of one type as training-log lines: user is the run, event id the line."""
-    events = table(spark, sf_dir, "events").where(F.col("event_type") == kind)
+def run_logs(spark: SparkSession, sf_dir: str, kind: str | None = None) -> DataFrame:
+    """Events, of one type or all, as training-log lines: user is the run, event id the line."""
+    events = table(spark, sf_dir, "events")
+    events = events if kind is None else events.where(F.col("event_type") == kind)
     step = F.floor(F.col("value")).cast("string")
     return events.select(
         run_name().alias("run"),
