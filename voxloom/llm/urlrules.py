@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import RESERVED, checked, id_hash, with_columns
+from voxloom.llm.common import RESERVED, checked, with_columns
 from voxloom.session import as_lookup, cut_lineage
 
 #: The verdict on URLs that no rule fits.
@@ -112,6 +112,12 @@ def swept(keys: DataFrame, rules: DataFrame) -> DataFrame:
     return rows.where("probe = 1").withColumn("top", F.col("change.rule.top")).drop("change", "probe")
 
 
+def _target(id_column: str) -> Column:
+    """What a row's keys are called by: 96 bits that stand for its id, host and path."""
+    row = [F.col(f"`{id_column}`"), F.col("host"), F.col("path")]
+    return F.struct(F.xxhash64(*row).alias("a"), F.hash(*row).alias("b"))
+
+
 def judge(df: DataFrame, rules: DataFrame, id_column: str = "page_id", url_column: str = "url",
           default: str = DEFAULT) -> DataFrame:
     """Add ``host``, ``path``, ``rule`` and ``verdict`` to each row.
@@ -130,7 +136,7 @@ def judge(df: DataFrame, rules: DataFrame, id_column: str = "page_id", url_colum
     judged = with_columns(df, {"host": host, "path": path})
     depths = sorted(r[0] for r in rules.select("labels").distinct().collect())
     probes = judged.select(
-        id_hash(id_column, "host", "path").alias("target"),
+        _target(id_column).alias("target"),
         "path",
         F.split("host", r"\.").alias("labels"),
     )
@@ -162,7 +168,7 @@ def judge(df: DataFrame, rules: DataFrame, id_column: str = "page_id", url_colum
         found = found.groupBy("target").agg(F.max("top").alias(f"{RESERVED}top"))
         found = found.where(F.col(f"{RESERVED}top").isNotNull())
         found = cut_lineage(spark, found.withColumnRenamed("target", f"{RESERVED}target"), "judged")
-        judged = judged.withColumn(f"{RESERVED}target", id_hash(id_column, "host", "path"))
+        judged = judged.withColumn(f"{RESERVED}target", _target(id_column))
         judged = judged.join(found, f"{RESERVED}target", "left").drop(f"{RESERVED}target")
     else:
         judged = judged.withColumn(f"{RESERVED}top", F.lit(None).cast(found_type))
