@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tests.llm.helpers import SF, rows
 from voxloom.llm import catalog, warc
+from voxloom.sources.corpus import open_files
 
 
 def plain(pages):
@@ -50,7 +51,7 @@ def test_edges(spark, tmp_path):
 
 
 def archive(tmp_path, records):
-    writer = warc._Writer(str(tmp_path), warc.file_system, 1 << 30)
+    writer = warc._Writer(str(tmp_path), open_files, 1 << 30)
     for r in records:
         writer.add(r)
     writer.close()
@@ -84,6 +85,7 @@ def test_damage_is_found(spark, tmp_path):
         warc.read_archives(cut).collect()
 
 
-def test_schemes():
-    assert warc.file_system("/a/b")[1] == "/a/b"
-    assert warc.file_system("file:///a/b")[1] == "/a/b"
+def test_folders_with_odd_names(spark, tmp_path):
+    df = spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string")
+    manifest = warc.write_archives(df, f"file://{tmp_path}/a b %20+")
+    assert warc.read_archives(manifest).count() == 1

@@ -17,13 +17,13 @@ from collections.abc import Callable, Iterator
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
-import pyarrow.fs
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.llm.common import checked
 from voxloom.session import as_lookup, cut_lineage
+from voxloom.sources.corpus import open_files
 
 #: Fixed values of the formats.
 DICTIONARY_FRAME = 0x184D2A5D
@@ -50,14 +50,6 @@ class ArchiveError(ValueError):
     """An archive is not as it should be."""
 
 
-def file_system(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
-    """File system and path of a URI, as workers open it."""
-    for scheme in ("s3a://", "s3n://"):
-        if uri.startswith(scheme):
-            uri = "s3://" + uri.removeprefix(scheme)
-    return pyarrow.fs.FileSystem.from_uri(uri if ":/" in uri else f"file://{uri}")
-
-
 def digest(data: bytes) -> str:
     """SHA-1 in base 32."""
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
@@ -218,7 +210,7 @@ MANIFEST = "path string, records long, bytes long"
 
 def write_archives(df: DataFrame, folder: str, id_column: str = "page_id", url_column: str = "url",
                    payload_column: str = "html", min_revisit_bytes: int = MIN_REVISIT_BYTES,
-                   archive_bytes: int = ARCHIVE_BYTES, open_folder: Callable = file_system) -> DataFrame:
+                   archive_bytes: int = ARCHIVE_BYTES, open_folder: Callable = open_files) -> DataFrame:
     """Write a record for each row and return the manifest: path, records and bytes.
 
     Of the rows with one payload of at least ``min_revisit_bytes`` bytes, that with
@@ -299,7 +291,7 @@ _RECORDS = pa.schema(
 )
 
 
-def read_archives(manifest: DataFrame, payloads: bool = True, open_folder: Callable = file_system) -> DataFrame:
+def read_archives(manifest: DataFrame, payloads: bool = True, open_folder: Callable = open_files) -> DataFrame:
     """The records of the archives that ``path`` names, validated; see ``RECORDS``.
 
     Keys are texts. A record that is not as its header says, or a cut-off archive,
