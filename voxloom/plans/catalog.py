@@ -634,6 +634,20 @@ def checkpoint_steps(spark: SparkSession, sf: str) -> DataFrame:
     return K.checkpoint_steps(V.checkpoints(spark, sf)).orderBy("run", "step")
 
 
+def run_folders(spark: SparkSession, sf: str) -> DataFrame:
+    root = scratch_path(spark, "runs")
+    logs = V.run_logs(spark, sf, "view").groupBy("run").agg(F.count(F.lit(1)).alias("lines"))
+    place = F.concat("run", F.lit("/metrics/train.jsonl")).alias("place")
+    _put_files(logs.select(place, F.col("lines").cast("string").alias("content")), root)
+    found = S.file_inventory(spark, root).select(K.run_of(F.col("path")).alias("run"))
+    try:
+        K.require_single_run(found)
+        refused = False
+    except RuntimeError:
+        refused = True
+    return found.agg(F.countDistinct("run").alias("runs")).withColumn("refused", F.lit(refused))
+
+
 def lenient_numbers(spark: SparkSession, sf: str) -> DataFrame:
     log = V.run_logs(spark, sf)
     step = F.col(f"`{C.LOG_STEP}`")
@@ -761,6 +775,7 @@ QUERIES = [
     valid_with_checkpoint,
     checkpoint_losses,
     checkpoint_steps,
+    run_folders,
     lenient_numbers,
     metrics_report,
     train_report,

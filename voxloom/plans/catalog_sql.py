@@ -368,6 +368,7 @@ count(*) AS unique_ids, count(*) FILTER (path IS NULL) AS missing_ids, count(*)
     "valid_with_checkpoint": f"WITH {RUNS} SELECT run, line_order, step, loss FROM valid SEMI JOIN saved USING (run, step)",
     "checkpoint_losses": f"WITH {RUNS} SELECT run, step, train_loss FROM saved LEFT JOIN last_loss USING (run, step)",
     "checkpoint_steps": f"WITH {RUNS} SELECT run, step FROM saved",
+    "run_folders": f"WITH {log_lines('train_all', 'view')} SELECT count(DISTINCT run) AS runs, count(DISTINCT run) <> 1 AS refused FROM train_all",
     "lenient_numbers": f"""WITH {log_lines("every")} SELECT line_order, step, trunc(loss)::BIGINT AS whole, loss, {shown("loss", 4)} AS shown FROM every""",
     "metrics_report": f"WITH {REPORT_LINES} SELECT * FROM valid_lines",
     "train_report": f"WITH {REPORT_LINES} SELECT * FROM train_lines",
