@@ -32,6 +32,11 @@ def test_shared_lines_go():
     assert text(inside.format(1), inside.format(2)) == "Quoted\nOwn 1"
 
 
+def test_lines_beside_an_article_stay_unless_shared():
+    page = "<div>Site</div><h1>Head {0}</h1><article><p>Teaser</p></article><div>Body {0}</div><div>Rights</div>"
+    assert text(page.format(1), page.format(2)) == "Head 1\nTeaser\nBody 1"
+
+
 def test_markup():
     assert text("<p>A &lt;b&gt; &amp; c<br>d</p><div>e <i>f</i>g</div>") == "A <b> & c d\ne fg"
     assert text("<title>t</title><script>if(a<b){'</p>'}</script><style>x</style><p>y</p>") == "y"

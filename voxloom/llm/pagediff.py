@@ -200,14 +200,16 @@ def shared_lines(lines: list[str], others: list[str]) -> set[int]:
 
 
 def main_text(page: Page, other: Page | None) -> str:
-    """The lines of the article, or those that the other page does not share."""
+    """The lines that the other page does not share, and all of an article.
+
+    Without another page nothing tells template from text but the article, if there is
+    one.
+    """
     shared = shared_lines(page.lines, other.lines) if other else set()
     shown = [i for i, out in enumerate(page.left_out) if not out]
-    article = [i for i in shown if page.inside[i]]
-    if not article:
-        # Of a page that the other repeats line by line nothing would be left.
-        article = [i for i in shown if i not in shared] or shown
-    return "\n".join(page.lines[i] for i in article)
+    kept = [i for i in shown if page.inside[i] or (other and i not in shared)]
+    # Of a page that the other repeats line by line nothing would be left.
+    return "\n".join(page.lines[i] for i in kept or shown)
 
 
 def nearest(page: Page, before: Page | None, after: Page | None) -> Page | None:
