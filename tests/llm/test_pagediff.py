@@ -48,6 +48,16 @@ def test_markup():
     assert text("") == text("<!-- x") == text("<script>") == ""
 
 
+def test_marks_spare_the_text():
+    for outer in ("div class='content no-sidebar'", "div id=page class=sidebar", "form", "div class=search-results"):
+        tag = outer.split()[0]
+        assert text(f"<{outer}><nav>n</nav><main><p>Body</p></main></{tag}>") == "Body", outer
+        assert text(f"<{outer}><nav>n</nav><div>Body</div></{tag}>") == "Body", outer
+    assert text("<article class='post comments search'><p>Body</p></article>") == "Body"
+    assert text("<main class='menu'><p>Body</p><div class='menu'>m</div></main>") == "Body"
+    assert text("<main><p>Body</p><div class=comments><article>reader</article></div></main>") == "Body"
+
+
 def longest(a, b):
     table = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
     for i, x in enumerate(a):

@@ -34,13 +34,15 @@ BLOCKS = frozenset(
 SILENT = frozenset("head script style template noscript iframe object svg math canvas audio video".split())
 #: Elements around the text rather than in it.
 AROUND = frozenset("nav aside footer form menu button select textarea input dialog".split())
-#: Words of a class, id or role that say the same.
+#: Classes, ids and roles that say the same. Only whole ones: of others, differencing decides.
 MARKS = frozenset(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs comment comments cookie cookies "
     "consent contentinfo disqus footer header masthead menu modal nav navbar navigation newsletter notice "
     "notices popup promo promoted related replies search share sharing sidebar skip social sponsor "
     "sponsored subscribe toolbar widget".split()
 )
+#: Those of them whose elements hold articles that are not the page's own.
+OTHERS = frozenset("comment comments disqus related replies".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE = frozenset(["article", "main"])
 
@@ -52,16 +54,15 @@ _TOKEN = re.compile(
 )
 _RAW_END = {n: re.compile(rf"</{n}\b[^>]*(?:>|\Z)", re.I) for n in ("script", "style", "textarea", "title")}
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_WORD = re.compile(r"[a-z]+")
 
 
 @dataclass
 class Page:
-    """Lines of a page: text, whether it is left out by markup, whether in an article."""
+    """Lines of a page: text, how surely it is left out by markup, whether in an article."""
 
     key: tuple = ()
     lines: list[str] = field(default_factory=list)
-    left_out: list[bool] = field(default_factory=list)
+    left_out: list[int] = field(default_factory=list)
     inside: list[bool] = field(default_factory=list)
 
 
@@ -91,42 +92,69 @@ def _tokens(text: str) -> list[tuple[str, str, str]]:
     return found
 
 
-def _marked(rest: str) -> bool:
-    return any(
-        not MARKS.isdisjoint(_WORD.findall((a or b or c).lower())) for a, b, c in _NAMED.findall(rest)
-    )
+def _marks(rest: str) -> set[str]:
+    names = {x for a, b, c in _NAMED.findall(rest) for x in (a or b or c).lower().split()}
+    return names & MARKS
+
+
+def _closings(tokens: list) -> dict[int, int]:
+    """The token that closes each opened element, where there is one."""
+    opened: dict[str, list[int]] = {}
+    found = {}
+    for i, (kind, name, _) in enumerate(tokens):
+        if kind == "open":
+            opened.setdefault(name, []).append(i)
+        elif kind == "close" and opened.get(name):
+            found[opened[name].pop()] = i
+    return found
 
 
-def _closing(tokens: list, at: int) -> int | None:
-    """The token that closes the element opened at ``at``, if there is one."""
-    name, depth = tokens[at][1], 0
-    for i in range(at, len(tokens)):
-        kind, other, _ = tokens[i]
-        if other == name:
-            depth += {"open": 1, "close": -1}[kind]
-            if depth == 0:
-                return i
-    return None
+#: How surely a line is left out: named so by a class or a form, or by its element.
+NAMED, SURE = 1, 2
 
 
 def page_of(text: str) -> Page:
-    """The lines of a page. An element left out that never closes ends with its line."""
+    """The lines of a page. An element left out that never closes ends with its line.
+
+    An article or main element is never left out by a mark or a form on it or around it,
+    unless the mark says that it holds what others wrote.
+    """
     page, tokens = Page(), _tokens(text)
+    closings = _closings(tokens)
+    articles = [i for i, (kind, name, _) in enumerate(tokens) if kind == "open" and name in ARTICLE]
+    mains = [i for i in articles if tokens[i][1] == "main"]
     parts: list[str] = []
-    out_until, article_until, line_out = -1, [], False
+    out_until, out, article_until, line_out = -1, 0, [], 0
+    outer: list[tuple[int, int]] = []
+
+    def holds(places: list[int], end: int | None) -> bool:
+        k = bisect_left(places, at)
+        return end is not None and k < len(places) and places[k] < end
+
+    def left_out(name: str, rest: str, end: int | None) -> int:
+        own_header = name == "header" and article_until
+        if name == "header" and not own_header or name in AROUND and name != "form":
+            return 0 if holds(mains, end) else SURE
+        marks = set() if name in ("html", "body") or own_header else _marks(rest)
+        if not marks and name != "form":
+            return 0
+        own = mains if marks & OTHERS and name not in ARTICLE else articles
+        return 0 if holds(own, end) or name in ARTICLE else NAMED
 
     def flush() -> None:
         nonlocal line_out
         line = " ".join(html.unescape("".join(parts)).split())
         if line:
             page.lines.append(line)
-            page.left_out.append(line_out or at <= out_until)
+            page.left_out.append(max(line_out, out if at <= out_until else 0))
             page.inside.append(bool(article_until))
         parts.clear()
-        line_out = False
+        line_out = 0
 
     at = 0
     while at < len(tokens):
+        while outer and at > out_until:
+            out_until, out = outer.pop()
         kind, name, rest = tokens[at]
         if kind == "text":
             parts.append(rest)
@@ -135,26 +163,31 @@ def page_of(text: str) -> Page:
         else:
             if name in BLOCKS or name in SILENT:
                 flush()
+            end = closings.get(at)
             if kind == "open" and name in SILENT:
-                end = _closing(tokens, at)
                 at = at + 1 if end is None else end + 1
                 continue
             while article_until and at >= article_until[-1]:
                 article_until.pop()
-            if kind == "open" and name not in VOID and at > out_until:
-                own_header = name == "header" and article_until
-                around = name in AROUND or (name == "header" and not own_header)
-                if around or (name not in ("html", "body") and not own_header and _marked(rest)):
-                    end = _closing(tokens, at)
+            # Within what is only named so, elements that are surely left out still are.
+            if kind == "open" and name not in VOID and (at > out_until or out == NAMED):
+                found = left_out(name, rest, end)
+                if found > (out if at <= out_until else 0):
                     if end is None:
-                        line_out = True
+                        line_out = found
+                    elif at <= out_until:
+                        # The rest of the outer element is looked at again after it.
+                        outer.append((out_until, out))
+                        out_until, out = end, found
                     else:
-                        out_until = end
-                elif name in ARTICLE:
-                    end = _closing(tokens, at)
+                        out_until, out = end, found
+                elif name in ARTICLE and at > out_until:
                     article_until.append(len(tokens) if end is None else end)
         at += 1
     flush()
+    # A page of which nothing else is left was named by its wrapper: differencing decides.
+    if page.left_out and 0 not in page.left_out:
+        page.left_out = [0 if n == NAMED else n for n in page.left_out]
     return page
 
 
