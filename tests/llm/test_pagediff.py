@@ -90,3 +90,37 @@ def test_neighbours(spark):
     assert got[(None, None, "")] == 1 and got[(20, "", "")] == 1
     assert sum(got.values()) == len(data)
     assert pagediff.extract(df.limit(0)).count() == 0
+
+
+def test_neighbours_do_not_depend_on_ranges(spark):
+    page = "<div>Top of the site</div><div>Own words of page {}</div>"
+    data = [(k, f"http://a/p/{k:02}", page.format(k)) for k in range(40)]
+    df = spark.createDataFrame(data, "page_id long, url string, html string").repartition(4)
+    for n in ("1", "7", "40", "97"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            got = {r.page_id: r.text for r in pagediff.extract(df).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        assert got == {k: f"Own words of page {k}" for k in range(40)}, n
+
+
+def test_copies_are_no_neighbours(spark):
+    body = "".join(f"<div>Sentence {k} of page {{0}}</div>" for k in range(8))
+    page = f"<div>Top of the site</div>{body}<div>Edit {{1}}</div>"
+    data = [(k, f"http://a/p/1?v={k}", page.format(1, k // 2)) for k in range(12)]
+    data.append((50, "http://a/p/2", page.format(2, 99)))
+    df = spark.createDataFrame(data, "page_id long, url string, html string").repartition(4)
+    for n in ("1", "9"):
+        spark.conf.set("spark.sql.shuffle.partitions", n)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            got = {r.page_id: r.text.split("\n") for r in pagediff.extract(df).collect()}
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "8")
+            spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        for k in range(12):
+            assert got[k] == [f"Sentence {j} of page 1" for j in range(8)] + [f"Edit {k // 2}"], n
+        assert got[50] == [f"Sentence {j} of page 2" for j in range(8)] + ["Edit 99"], n

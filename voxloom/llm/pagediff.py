@@ -2,7 +2,7 @@
 
 Pages of a host that lie side by side in the order of their paths mostly share a
 template. Each page is paired with the neighbour whose path has more in common with
-its own, the text lines of both are aligned by their longest common subsequence, and
+its own and that is no near copy of it, the text lines of both are aligned by their longest common subsequence, and
 the lines they share are deleted. What no neighbour shares but markup names as menu,
 advert, form and the like is left out too. Lines in an explicit article are content
 even if the neighbour has them: copies and quoted passages are no template.
@@ -15,7 +15,7 @@ import os
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from voxloom.llm.common import checked
 from voxloom.llm.urlrules import host_and_path
+from voxloom.session import cut_lineage
 
 #: Elements that begin and end a line of text.
 BLOCKS = frozenset(
@@ -45,6 +46,8 @@ MARKS = frozenset(
 OTHERS = frozenset("comment comments disqus related replies".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 ARTICLE = frozenset(["article", "main"])
+#: Pages that have this share of each other's characters, by equal lines, are near copies.
+COPY = 0.75
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -252,6 +255,146 @@ def nearest(page: Page, before: Page | None, after: Page | None) -> Page | None:
     return same[common.index(max(common))] if same else None
 
 
+def near_copy(page: Page, other: Page) -> bool:
+    """Whether each page has most of the other's text that markup does not leave out."""
+    a, b = ([x for x, out in zip(p.lines, p.left_out, strict=True) if not out] for p in (page, other))
+    known = set(b)
+    most = max(sum(map(len, a)), sum(map(len, b)))
+    return sum(len(x) for x in a if x in known) >= COPY * most
+
+
+@dataclass
+class _Row:
+    id: object
+    url: str | None
+    html: str
+    page: Page
+
+
+#: What a range gives: finished pages, those with a neighbour in another range, and its edges.
+_PARTS = "part string, side string, pos int, bin int, host string, path string, html string, text string"
+
+
+def _in_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of the pages between the first and the last run of copies in a range.
+
+    Pages of these two runs are open; edges are the heads of the first two runs and the
+    last pages of the last two, at 0 to 3. A run's equal pages are held once.
+    """
+    run: list[_Row] = []
+    before: _Row | None = None
+    count, bin_, held = 0, 0, {}
+    kinds: list = []
+    out: list[tuple] = []
+
+    def edge(row: _Row, pos: int) -> None:
+        out.append((None, None, "edge", None, pos, bin_, *row.page.key, row.html, None))
+
+    def open_(side: str) -> None:
+        for r in run:
+            out.append((r.id, r.url, "open", side, None, bin_, *r.page.key, r.html, None))
+
+    def flush() -> pa.RecordBatch:
+        names = ["id", "url", "part", "side", "pos", "bin", "host", "path", "html", "text"]
+        types = [*kinds, pa.string(), pa.string(), pa.int32(), pa.int32(), *[pa.string()] * 4]
+        columns = [pa.array([r[i] for r in out], type=t) for i, t in enumerate(types)]
+        out.clear()
+        return pa.RecordBatch.from_arrays(columns, names)
+
+    for batch in batches:
+        kinds = [batch.schema.field(0).type, pa.string()]
+        for i in range(batch.num_rows):
+            id_, url, html_, host, path, bin_ = (batch.column(k)[i].as_py() for k in range(6))
+            html_, page = held.get(html_) or (html_, page_of(html_))
+            row = _Row(id_, url, html_, replace(page, key=(host, path)))
+            if run and not (run[0].page.key[0] == host and near_copy(page, run[0].page)):
+                if count == 1:
+                    edge(run[0], 0)
+                    edge(row, 1)
+                    open_("first")
+                else:
+                    for r in run:
+                        near = nearest(r.page, before.page, row.page)
+                        text = main_text(r.page, near)
+                        out.append((r.id, r.url, "done", None, None, bin_, None, None, None, text))
+                before, run, held = run[-1], [], {}
+            count += not run
+            run.append(row)
+            held[html_] = html_, page
+        if out:
+            yield flush()
+    if run:
+        if count == 1:
+            edge(run[0], 0)
+        else:
+            edge(before, 2)
+        edge(run[-1], 3)
+        open_("only" if count == 1 else "last")
+        yield flush()
+
+
+_AROUND = "bin int, side string, " + ", ".join(f"{n} struct<host: string, path: string, html: string>" for n in ("before", "after"))
+
+
+def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The neighbours of the open pages of each range, from the edges of all ranges in order."""
+    edges: dict[int, dict[int, tuple]] = {}
+    for batch in batches:
+        for r in batch.to_pylist():
+            page = replace(page_of(r["html"]), key=(r["host"], r["path"]))
+            edges.setdefault(r["bin"], {})[r["pos"]] = page, r["html"]
+    bins = sorted(edges)
+
+    def beyond(own: Page, others: Iterator[int], order: tuple[int, int]) -> tuple | None:
+        for b in others:
+            for pos in order:
+                if pos in edges[b]:
+                    page, text = edges[b][pos]
+                    if page.key[0] != own.key[0]:
+                        return None
+                    if not near_copy(page, own):
+                        return page, text
+        return None
+
+    def struct(found: tuple | None) -> dict | None:
+        return found and {"host": found[0].key[0], "path": found[0].key[1], "html": found[1]}
+
+    rows = []
+    for k, b in enumerate(bins):
+        own = edges[b]
+        before = beyond(own[0][0], (bins[j] for j in range(k - 1, -1, -1)), (3, 2))
+        after = beyond(own[3][0], (bins[j] for j in range(k + 1, len(bins))), (0, 1))
+        if 1 in own:
+            rows += [(b, "first", before, own[1]), (b, "last", own[2], after)]
+        else:
+            rows.append((b, "only", before, after))
+    kind = pa.struct([("host", pa.string()), ("path", pa.string()), ("html", pa.string())])
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array([r[0] for r in rows], type=pa.int32()),
+            pa.array([r[1] for r in rows], type=pa.string()),
+            pa.array([struct(r[2]) for r in rows], type=kind),
+            pa.array([struct(r[3]) for r in rows], type=kind),
+        ],
+        ["bin", "side", "before", "after"],
+    )
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of open pages beside their neighbours."""
+
+    def known(r: dict | None) -> Page | None:
+        return r and replace(page_of(r["html"]), key=(r["host"], r["path"]))
+
+    for batch in batches:
+        texts = []
+        for r in batch.select(["host", "path", "html", "before", "after"]).to_pylist():
+            page = known(r)
+            texts.append(main_text(page, nearest(page, known(r["before"]), known(r["after"]))))
+        columns = [batch.column("id"), batch.column("url"), pa.array(texts, type=pa.string())]
+        yield pa.RecordBatch.from_arrays(columns, ["id", "url", "text"])
+
+
 def extract(df: DataFrame, id_column: str = "page_id", url_column: str = "url",
             html_column: str = "html") -> DataFrame:
     """``id_column``, ``url_column``, ``text`` and ``n_chars`` (code points) per row.
@@ -263,8 +406,9 @@ def extract(df: DataFrame, id_column: str = "page_id", url_column: str = "url",
     returned.
 
     Pages are dealt by range of host, path and id, so a host of any size spreads over
-    tasks, which stream them and hold three at a time. At the edge of a range a page's
-    neighbour is the one within it.
+    tasks, which stream them. Pages beside each other that are near copies form a run,
+    and neighbours are those of the run. Runs at the edges of a range find theirs in
+    other ranges: edges are read in one task, a few pages of each range.
     """
     checked(df, id_column, url_column, html_column)
     host, path = host_and_path(F.col(f"`{url_column}`"))
@@ -277,42 +421,18 @@ def extract(df: DataFrame, id_column: str = "page_id", url_column: str = "url",
     )
     kind = rows.schema["id"].dataType.simpleString()
     rows = rows.repartitionByRange("host", "path", "id").sortWithinPartitions("host", "path", "id")
-
-    def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = page = None
-        ids: list = []
-        texts: list[str] = []
-        for batch in batches:
-            # Ids and URLs of the rows whose texts are still open wait with them.
-            columns = [batch.column(i) for i in (0, 1)]
-            for i in range(batch.num_rows):
-                after = page_of(batch.column(2)[i].as_py())
-                after.key = (batch.column(3)[i].as_py(), batch.column(4)[i].as_py())
-                if page:
-                    texts.append(main_text(page, nearest(page, before, after)))
-                before, page = page, after
-            ids.append(columns)
-            yield from _ready(ids, texts)
-        if page:
-            texts.append(main_text(page, nearest(page, before, None)))
-            yield from _ready(ids, texts)
-
-    found = rows.mapInArrow(apply, f"id {kind}, url string, text string")
+    rows = rows.withColumn("bin", F.spark_partition_id())
+    # The written table fixes the ranges.
+    parts = cut_lineage(df.sparkSession, rows.mapInArrow(_in_range, f"id {kind}, url string, {_PARTS}"), "pages")
+    edges = parts.where("part = 'edge'").select("bin", "pos", "host", "path", "html")
+    around = edges.repartition(1).sortWithinPartitions("bin", "pos").mapInArrow(_around, _AROUND)
+    around = cut_lineage(df.sparkSession, around, "neighbours")
+    opened = parts.where("part = 'open'").select("id", "url", "bin", "side", "host", "path", "html")
+    opened = opened.join(around, ["bin", "side"], "left")
+    found = parts.where("part = 'done'").select("id", "url", "text").unionAll(
+        opened.mapInArrow(_joined, f"id {kind}, url string, text string")
+    )
     return found.select(
         F.col("id").alias(id_column), F.col("url").alias(url_column), "text",
         F.length("text").cast("long").alias("n_chars"),
     )
-
-
-def _ready(ids: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
-    """Rows whose text is known; the last row read always waits for the next."""
-    while ids and texts:
-        columns = ids[0]
-        n = min(len(columns[0]), len(texts))
-        parts = [c.slice(0, n) for c in columns]
-        yield pa.RecordBatch.from_arrays([*parts, pa.array(texts[:n])], ["id", "url", "text"])
-        del texts[:n]
-        if n == len(columns[0]):
-            ids.pop(0)
-        else:
-            ids[0] = [c.slice(n) for c in columns]
