@@ -22,7 +22,7 @@ cloudpickle.register_pickle_by_value(voxloom)
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
     apply_settings(spark)
-    return docs.where(divergence.kept(docs))
+    return divergence.keep(docs)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

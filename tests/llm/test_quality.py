@@ -68,6 +68,23 @@ def test_junk_goes_and_prose_stays(spark):
     assert {100, 101} <= failed and not failed & set(range(30))
 
 
+def test_small_languages_are_judged_too(spark, monkeypatch):
+    r = random.Random(2)
+    words = "the of and stone river walks under a bright early morning".split() + [f"{a}{b}" for a in "bdlm" for b in ("ane", "old", "int", "ush")]
+    prose = lambda: " ".join(r.choices(words, k=300)) + "."
+    data = [(k, prose(), lang) for k, lang in enumerate(["en"] * 80 + ["xx"] * 10 + [None] * 10)]
+    data += [(k, prose().upper(), lang) for k, lang in ((100, "en"), (101, "xx"), (102, None))]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    want = {x.doc_id: (x.class_distance, x.word_distance, x.kept) for x in divergence.quality(df).collect()}
+    assert {k for k, x in want.items() if not x[2]} >= {100, 101, 102}
+    monkeypatch.setattr(divergence, "MIN_LANGUAGE_SHARE", 0.5)
+    got = divergence.quality(df)
+    assert got.columns[:3] == df.columns
+    assert {x.doc_id: (x.class_distance, x.word_distance, x.kept) for x in got.collect()} == want
+    kept = divergence.keep(df)
+    assert kept.columns == df.columns and {x.doc_id for x in kept.collect()} == {k for k, x in want.items() if x[2]}
+
+
 def test_edges(spark):
     data = [(1, None, "en"), (None, "", None), (3, "word " * 60, "xx"), (3, "word " * 60, "xx")]
     df = spark.createDataFrame(data, "doc_id long, text string, Kept string").withColumnRenamed("Kept", "lang")

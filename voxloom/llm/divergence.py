@@ -7,8 +7,10 @@ distance. Documents too short for a histogram to mean anything are not judged by
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from voxloom.llm.common import checked, utf8, with_columns
-from voxloom.session import cut_lineage
+from voxloom.session import as_lookup, cut_lineage
 
 #: Base rules.
 MIN_WORDS = 50
@@ -29,8 +31,9 @@ MIN_COMMON_WORDS = 150
 #: Distances (0 to 1) above which a document is rejected.
 MAX_CLASS_DISTANCE = 0.25
 MAX_WORD_DISTANCE = 0.37
-#: A language has a reference if it has this share of all words. So there are at most
-#: as many references as the share's inverse, which bounds what goes to the driver.
+#: References of languages with this share of all words go to every task; those of all
+#: others stay a table that rows are joined with. So there are at most as many of the
+#: former as the share's inverse, which bounds what goes to the driver.
 MIN_LANGUAGE_SHARE = 1e-4
 #: Words counted side by side in a task before it passes them on.
 HELD_WORDS = 100_000
@@ -143,12 +146,8 @@ def _partial_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     yield flush()
 
 
-def references(df: DataFrame, text_column: str = "text", language_column: str = "lang") -> dict:
-    """Reference of each language, from all rows; null is a language of its own.
-
-    Words are counted over the whole corpus by Spark; what reaches the driver is the
-    common words of the languages that have a reference.
-    """
+def _all_references(df: DataFrame, text_column: str, language_column: str) -> tuple[DataFrame, int]:
+    """A table of the reference of each language, from all rows, and the count of all words."""
     language = F.col(f"`{language_column}`").cast("string")
     stats = df.select(language, F.col(f"`{text_column}`")).mapInArrow(_partial_counts, _STATS)
     by_word = stats.groupBy("language", "word").agg(
@@ -157,25 +156,38 @@ def references(df: DataFrame, text_column: str = "text", language_column: str =
     )
     by_word = cut_lineage(df.sparkSession, by_word, "words")
     totals = by_word.groupBy("language").agg(
-        F.coalesce(F.sum("count"), F.lit(0)).alias("words"), *(F.sum(c).alias(c) for c in CLASSES)
+        F.coalesce(F.sum("count"), F.lit(0)).alias("words"), F.array(*(F.sum(c) for c in CLASSES)).alias("classes")
     )
-    overall = totals.agg(F.sum("words")).first()[0] or 0
-    if not overall:
-        return {}
-    large = totals.where(F.col("words") >= F.lit(MIN_LANGUAGE_SHARE * overall)).collect()
     order = Window.partitionBy("language").orderBy(F.desc("count"), "word")
     top = by_word.where("word is not null").withColumn("rank", F.row_number().over(order))
-    top = top.where(F.col("rank") <= COMMON_WORDS).select("language", "word", "count")
-    named = [r.language for r in large if r.language is not None]
-    unnamed = any(r.language is None for r in large)
-    top = top.where(F.coalesce(F.col("language").isin(named), F.lit(unnamed)))
-    common: dict = {}
-    for r in top.collect():
-        common.setdefault(r.language, []).append((r.word, r["count"]))
-    return {
-        r.language: Reference([r[c] for c in CLASSES], common.get(r.language, []), r.words)
-        for r in large
-    }
+    top = top.where(F.col("rank") <= COMMON_WORDS).groupBy("language").agg(
+        F.sort_array(F.collect_list(F.struct("rank", "word", "count"))).alias("top")
+    )
+    found = totals.where("words > 0").join(
+        top.withColumnRenamed("language", "of"), F.col("language").eqNullSafe(F.col("of"))
+    )
+    value = F.to_json(F.struct("classes", "top", "words"))
+    found = cut_lineage(df.sparkSession, found.select("language", "words", value.alias("reference")), "references")
+    return found, found.agg(F.sum("words")).first()[0] or 0
+
+
+def _reference(value: str) -> Reference:
+    r = json.loads(value)
+    return Reference(r["classes"], [(x["word"], x["count"]) for x in r["top"]], r["words"])
+
+
+def references(df: DataFrame, text_column: str = "text", language_column: str = "lang") -> dict:
+    """Reference of each language with a large share of the words; null is a language of its own.
+
+    Words are counted over the whole corpus by Spark; what reaches the driver is the
+    common words of these languages.
+    """
+    return _large(*_all_references(df, text_column, language_column))
+
+
+def _large(table: DataFrame, overall: int) -> dict:
+    large = table.where(F.col("words") >= F.lit(MIN_LANGUAGE_SHARE * overall)).collect()
+    return {r.language: _reference(r.reference) for r in large}
 
 
 _RESULT = pa.struct(
@@ -214,40 +226,50 @@ def quality(df: DataFrame, text_column: str = "text", language_column: str = "la
             max_word_distance: float = MAX_WORD_DISTANCE) -> DataFrame:
     """Add the figures of each row, ``base_failed`` and ``kept``.
 
-    A null text has no words. Documents under the minimum lengths, and those of a
-    language without reference, have null distances and are judged by the base rules
-    alone. Repeated rows are judged each for itself; an empty table stays empty.
+    A null text has no words. Documents under the minimum lengths have null distances
+    and are judged by the base rules alone. Repeated rows are judged each for itself; an empty table stays empty.
     Columns of the input with the names of the results are replaced.
     """
-    df = df.withColumn("_llm_q", _judged(df, text_column, language_column))
+    df, judged = _judged(df, text_column, language_column)
+    df = df.withColumn("_llm_q", judged)
     new = {f.name: F.col(f"_llm_q.{f.name}") for f in _RESULT}
     verdict = _verdict(F.col("_llm_q"), max_class_distance, max_word_distance)
-    return with_columns(df, new | verdict).drop("_llm_q")
+    return with_columns(df, new | verdict).drop("_llm_q", "_llm_language", "_llm_reference")
 
 
-def kept(df: DataFrame, text_column: str = "text", language_column: str = "lang",
+def keep(df: DataFrame, text_column: str = "text", language_column: str = "lang",
          max_class_distance: float = MAX_CLASS_DISTANCE,
-         max_word_distance: float = MAX_WORD_DISTANCE) -> Column:
-    """The verdict of ``quality`` on each row of ``df``, as a condition."""
-    judged = _judged(df, text_column, language_column)
-    return _verdict(judged, max_class_distance, max_word_distance)["kept"]
+         max_word_distance: float = MAX_WORD_DISTANCE) -> DataFrame:
+    """The rows of ``df`` that ``quality`` keeps."""
+    rows, judged = _judged(df, text_column, language_column)
+    rows = rows.where(_verdict(judged, max_class_distance, max_word_distance)["kept"])
+    return rows.drop("_llm_language", "_llm_reference")
 
 
-def _judged(df: DataFrame, text_column: str, language_column: str) -> Column:
+def _judged(df: DataFrame, text_column: str, language_column: str) -> tuple[DataFrame, Column]:
+    """Rows, beside the reference of their language if tasks do not have it, and their figures."""
     checked(df, text_column, language_column)
-    known = references(df, text_column, language_column)
-
-    def apply(texts: pa.Array, languages: pa.Array) -> pa.Array:
-        rows = zip(utf8(texts), languages.to_pylist(), strict=True)
-        found = [measure(t, known.get(k)) for t, k in rows]
+    table, overall = _all_references(df, text_column, language_column)
+    known = _large(table, overall)
+    small = table.where(F.col("words") < F.lit(MIN_LANGUAGE_SHARE * overall))
+    joined = F.lit(None).cast("string")
+    if not small.isEmpty():
+        small = small.select(F.col("language").alias("_llm_language"), F.col("reference").alias("_llm_reference"))
+        same = F.col(f"`{language_column}`").cast("string").eqNullSafe(F.col("_llm_language"))
+        df, joined = df.join(as_lookup(small, "small-references"), same, "left"), F.col("_llm_reference")
+
+    def apply(texts: pa.Array, languages: pa.Array, others: pa.Array) -> pa.Array:
+        parsed = lru_cache(maxsize=256)(_reference)
+        rows = zip(utf8(texts), languages.to_pylist(), others.to_pylist(), strict=True)
+        found = [measure(t, known.get(k) if v is None else parsed(v)) for t, k, v in rows]
         columns = zip(*found, strict=True) if found else [[] for _ in _RESULT]
         return pa.StructArray.from_arrays(
             [pa.array(c, type=f.type) for c, f in zip(columns, _RESULT, strict=True)], fields=list(_RESULT)
         )
 
-    apply.__annotations__ = {"texts": pa.Array, "languages": pa.Array, "return": pa.Array}
-    return F.arrow_udf(apply, _RESULT_DDL)(
-        F.col(f"`{text_column}`"), F.col(f"`{language_column}`").cast("string")
+    apply.__annotations__ = {"texts": pa.Array, "languages": pa.Array, "others": pa.Array, "return": pa.Array}
+    return df, F.arrow_udf(apply, _RESULT_DDL)(
+        F.col(f"`{text_column}`"), F.col(f"`{language_column}`").cast("string"), joined
     )
 
 
