@@ -15,5 +15,5 @@ def test_query_equals_sql(spark, name):
 
 def test_all_are_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in names] == list(range(1, 14))
     assert "pipeline" in entry.queries()

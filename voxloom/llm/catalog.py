@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import bpe, chains, divergence, mixing, pagediff, pivots, plm, simhash, urlrules, warc
+from voxloom.llm import bpe, chains, divergence, merkle, mixing, pagediff, pivots, plm, simhash, urlrules, warc
 from voxloom.session import scratch_path
 
 
@@ -95,6 +95,23 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+#: Columns of a document's leaf, in order.
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hit = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    text = F.when(hit, F.translate("text", _UPPER, _LOWER)).otherwise(F.col("text"))
+    tampered = F.when(hit, merkle.leaf(*(F.col(c) for c in LEAF[:-1]), text))
+    found = merkle.witnesses(table(spark, sf_dir, "documents"), LEAF, carry={"tampered": tampered})
+    found = found.withColumn("folded_root", merkle.fold(F.coalesce("tampered", "leaf"), F.col("steps")))
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("steps")), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
 QUERIES = [
     op1_mixing,
     op2_warc,
@@ -106,6 +123,7 @@ QUERIES = [
     op8_url_rules,
     op9_html,
     op10_toxicity,
+    op11_merkle,
 ]
 
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
@@ -142,7 +160,82 @@ def _distance_sql(p: str, q: str) -> str:
     return f"sqrt(greatest(0, ({term.format(p, p, q)} + {term.format(q, p, q)}) / 2))"
 
 
+def _leaf_sql(text: str) -> str:
+    values = [*(f"{c}::VARCHAR" for c in LEAF[:-1]), text]
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({v})) || ':' || {v}, '-')" for v in values) + ")"
+
+
+#: A tree of runs of 16 above rows (tree, pos, n, digest).
+_TREE_SQL = """
+    SELECT tree, 0 AS level, pos, n, digest FROM {0}
+    UNION ALL
+    SELECT tree, level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos))
+    FROM {1} WHERE n > 1 GROUP BY tree, level, pos // 16, n
+"""
+#: Digests beside each node's ancestor at each level, left and right of it.
+_STEPS_SQL = """
+    SELECT a.tree, a.pos, b.level,
+        coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos < a.pos // 16 ** b.level), '') AS left_ones,
+        coalesce(string_agg(b.digest, '' ORDER BY b.pos) FILTER (b.pos > a.pos // 16 ** b.level), '') AS right_ones
+    FROM {0} a JOIN {1} b ON a.tree = b.tree AND b.n > 1
+        AND b.pos // 16 = (a.pos // (16 ** b.level)::BIGINT) // 16
+    GROUP BY a.tree, a.pos, b.level
+""".replace("16 ** b.level)", "(16 ** b.level)::BIGINT)")
+
+
 SQL: dict[str, str] = {
+    "op11_merkle": f"""
+        WITH RECURSIVE bits(doc_id, k, crc) AS (
+            SELECT doc_id, 0, 4294967295::BIGINT FROM documents
+            UNION ALL
+            SELECT doc_id, k + 1, list_reduce([xor(crc, ascii(substr(doc_id::VARCHAR, k + 1, 1)))] || range(8),
+                lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))
+            FROM bits WHERE k < length(doc_id::VARCHAR)
+        ),
+        hit AS (
+            SELECT doc_id FROM bits WHERE k = length(doc_id::VARCHAR) AND xor(crc, 4294967295) % 5 = 0
+        ),
+        leaves AS (
+            SELECT doc_id, source, {_leaf_sql("text")} AS digest,
+                CASE WHEN doc_id IN (FROM hit) THEN {_leaf_sql(f"translate(text, '{_UPPER}', '{_LOWER}')")} END AS other
+            FROM documents
+        ),
+        nodes AS (
+            SELECT *, dense_rank() OVER (ORDER BY encode(source) NULLS FIRST) - 1 AS tree,
+                row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos,
+                count(*) OVER (PARTITION BY source) AS n
+            FROM leaves
+        ),
+        grown(tree, level, pos, n, digest) AS ({_TREE_SQL.format("nodes", "grown")}),
+        groups AS (
+            SELECT 0 AS tree, tree AS pos, (SELECT count(DISTINCT tree) FROM nodes) AS n, digest FROM grown WHERE n = 1
+        ),
+        over(tree, level, pos, n, digest) AS ({_TREE_SQL.format("groups", "over")}),
+        own AS ({_STEPS_SQL.format("nodes", "grown")}),
+        upper_steps AS ({_STEPS_SQL.format("groups", "over")}),
+        steps AS (
+            SELECT tree, pos, level, left_ones, right_ones FROM own
+            UNION ALL
+            SELECT nodes.tree, nodes.pos, 100 + level, left_ones, right_ones
+            FROM nodes JOIN upper_steps u ON u.pos = nodes.tree
+        ),
+        lists AS (
+            SELECT tree, pos, sha256(string_agg(left_ones || right_ones, '' ORDER BY level)) AS proof,
+                list({{'l': left_ones, 'r': right_ones}} ORDER BY level) AS steps
+            FROM steps GROUP BY tree, pos
+        ),
+        folded(tree, pos, k, digest) AS (
+            SELECT tree, pos, 0, coalesce(other, digest) FROM nodes
+            UNION ALL
+            SELECT f.tree, f.pos, k + 1, sha256(steps[k + 1].l || f.digest || steps[k + 1].r)
+            FROM folded f JOIN lists USING (tree, pos) WHERE k < len(steps)
+        )
+        SELECT n.doc_id, n.digest AS leaf, g.digest AS subroot, o.digest AS root,
+            coalesce(l.proof, sha256('')) AS proof_sha256, f.digest AS folded_root, f.digest = o.digest AS verified
+        FROM nodes n JOIN groups g ON g.pos = n.tree JOIN over o ON o.n = 1
+        LEFT JOIN lists l ON l.tree = n.tree AND l.pos = n.pos
+        JOIN folded f ON f.tree = n.tree AND f.pos = n.pos AND f.k = coalesce(len(l.steps), 0)
+    """,
     "op2_warc": f"""
         WITH hashed AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex
