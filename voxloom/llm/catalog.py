@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import bpe, chains, divergence, merkle, mixing, pagediff, pivots, plm, simhash, urlrules, warc
+from voxloom.llm import audit, bpe, chains, divergence, merkle, mixing, pagediff, pivots, plm, simhash, urlrules, warc
 from voxloom.session import scratch_path
 
 
@@ -112,6 +112,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = [
     op1_mixing,
     op2_warc,
@@ -124,6 +128,7 @@ QUERIES = [
     op9_html,
     op10_toxicity,
     op11_merkle,
+    op13_divergence,
 ]
 
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in URL_RULES)
@@ -338,6 +343,45 @@ SQL: dict[str, str] = {
             NOT base_failed AND coalesce(by_class, 0) <= 0.25 AND coalesce(by_words, 0) <= 0.37 AS kept
         FROM base LEFT JOIN class_distance USING (doc_id) LEFT JOIN word_distance USING (doc_id)
     """,
+    "op13_divergence": rf"""
+        WITH texts AS (
+            SELECT doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{audit.TERM}')) AS term
+            FROM documents
+        ),
+        kept AS (
+            SELECT lang, term, count(*)::HUGEINT AS n FROM texts GROUP BY lang, term HAVING count(DISTINCT doc_id) >= 3
+        ),
+        langs AS (SELECT lang, count(*) AS v, sum(n)::HUGEINT AS total FROM kept GROUP BY lang),
+        groups AS (SELECT DISTINCT coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM documents),
+        counts AS (
+            SELECT lang, source, term, count(*)::HUGEINT AS n FROM texts SEMI JOIN kept USING (lang, term) GROUP BY ALL
+        ),
+        spread AS (
+            SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n, k.n AS lang_n, l.total AS lang_total, v,
+                sum(coalesce(c.n, 0)) OVER (PARTITION BY g.lang, g.source) AS total
+            FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+            LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+        ),
+        shares AS (
+            SELECT lang, source, term, n, 1 + (1000000000::HUGEINT * (n + 1)) // (total + v)::HUGEINT AS p,
+                1 + (1000000000::HUGEINT * (lang_n + 1)) // (lang_total + v)::HUGEINT AS q
+            FROM spread
+        ),
+        sums AS (
+            SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+            FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+        ),
+        items AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, (((p - q) * (p - q)) // q)::BIGINT FROM shares WHERE n > 0 AND p > q
+        )
+        SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item))::INTEGER AS rank
+        FROM items QUALIFY part = 'pair' OR rank <= 200
+    """,
     "op8_url_rules": rf"""
         WITH rules(rule_host, rule_path, verdict) AS (VALUES {_RULES_SQL}),
         rest AS (
