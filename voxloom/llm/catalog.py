@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from voxloom.llm import audit, bpe, chains, divergence, merkle, mixing, pagediff, pivots, plm, simhash, urlrules, warc
+from voxloom.llm import audit, bpe, chains, divergence, merkle, mixing, pagediff, permutation, pivots, plm, simhash, urlrules, warc
 from voxloom.session import scratch_path
 
 
@@ -112,6 +112,10 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(table(spark, sf_dir, "documents"))
 
@@ -128,6 +132,7 @@ QUERIES = [
     op9_html,
     op10_toxicity,
     op11_merkle,
+    op12_neighbours,
     op13_divergence,
 ]
 
