@@ -125,7 +125,7 @@ def test_wav_metadata(spark):
         (b"\0" * 60, None),
     ]
     df = spark.createDataFrame([(i, b) for i, (b, _) in enumerate(cases)], "i int, content binary")
-    for row in A.with_wav_metadata(df, F.col("content")).collect():
+    for row in A.with_audio_metadata(df, F.col("content")).collect():
         want = cases[row.i][1]
         got = (row.wav.sample_rate, row.wav.channels, row.wav.n_samples)
         assert got == want or (want is None and got[2] is None), row.i

@@ -1,9 +1,8 @@
-"""Audio expressions: WAV headers, durations, mono mix."""
+"""Audio expressions: headers, durations, mono mix."""
 
 from __future__ import annotations
 
-import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from voxloom import constants as C
+from voxloom.functions import containers as N
 
 _HEADER_BYTES = 44
-_METADATA = "sample_rate long, channels long, n_samples long"
 
 
 def _little_endian(header: Column, start: int, size: int) -> Column:
@@ -56,59 +55,114 @@ def plain_wav_metadata(header: Column, size: Column) -> Column:
     )
 
 
-def _walk_chunks(data: bytes) -> tuple[int, int, int] | None:
-    """Rate, channels and samples of a PCM WAV with chunks in any order."""
-    if len(data) < 12 or data[:4] != b"RIFF" or data[8:12] != b"WAVE":
-        return None
-    at, block, rate, channels = 12, 0, 0, 0
-    while at + 8 <= len(data):
-        tag, size = data[at : at + 4], struct.unpack_from("<I", data, at + 4)[0]
-        body = at + 8
-        if tag == b"fmt " and body + 16 <= len(data):
-            _, channels, rate, _, block, _ = struct.unpack_from("<HHIIHH", data, body)
-        elif tag == b"data":
-            payload = min(size, len(data) - body)
-            return (rate, channels, payload // block) if block else None
-        at = body + size + size % 2
-    return None
-
-
-def _walk_batches(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    columns = ["sample_rate", "channels", "n_samples"]
-    for series in parts:
-        rows = [_walk_chunks(x) if x is not None else None for x in series]
-        frame = pd.DataFrame([r or (None, None, None) for r in rows], columns=columns)
-        yield frame.astype("Int64")
-
-
-def with_wav_metadata(df: DataFrame, data: Column, name: str = "wav") -> DataFrame:
+def with_audio_metadata(df: DataFrame, data: Column, name: str = "wav") -> DataFrame:
     """Add a struct of sample_rate, channels and n_samples; null fields where unreadable.
 
-    Plain headers are read by expressions. Only the bytes of other files are
-    sent to Python, where their chunks are walked.
+    ``data`` is the whole file. Only its head goes to Python where chunks are walked, and
+    all of it only if the head does not reach far enough or no header counts the samples.
     """
-    header, size, plain = F.col("wav_header"), F.col("wav_size"), F.col("wav_plain")
-    staged = df.withColumns(
-        {
-            "wav_header": F.hex(F.substring(data, 1, _HEADER_BYTES)),
-            "wav_size": F.octet_length(data).cast("long"),
-        }
-    ).withColumn("wav_plain", is_plain_wav(header))
-    walked = F.pandas_udf(_walk_batches, _METADATA)(F.when(~plain, data))
-    metadata = F.when(plain, plain_wav_metadata(header, size)).otherwise(walked)
+    skipped = F.when(N.id3_bytes(data) > 0, F.substring(data, N.id3_bytes(data) + 1, F.octet_length(data))).otherwise(data)
+    staged = _ranged(df.withColumn("_vx_body", skipped), F.col("_vx_body"), F.octet_length("_vx_body"))
+    return _read_ranges(staged, F.col("_vx_body"), name).drop("_vx_body")
+
+
+def with_file_metadata(df: DataFrame, path: Column, opener: Callable, name: str = "wav") -> DataFrame:
+    """The same of the files that ``path`` names, of which tasks read head and tail.
+
+    A null path, and a file that cannot be opened, give null fields. ``opener`` gives the
+    file system and the path of a URI.
+    """
+
+    def ranges(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            rows = [_file_ranges(uri, opener) if uri is not None else (None, None, None) for uri in part]
+            yield pd.DataFrame(rows, columns=["head", "tail", "size"], dtype=object)
+
+    def whole(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in parts:
+            yield pd.Series([_file_body(uri, opener) if uri is not None else None for uri in part], dtype=object)
+
+    read = F.pandas_udf(ranges, "head binary, tail binary, size long")
+    staged = df.withColumn("_vx_path", path)
+    staged = staged.select("*", F.explode(F.array(read("_vx_path"))).alias("_vx_ranges"))
+    staged = _ranged(staged, F.col("_vx_ranges.head"), F.col("_vx_ranges.size"), F.col("_vx_ranges.tail"))
+    body = F.pandas_udf(whole, "binary")(F.when(F.col("_vx_whole"), F.col("_vx_path")))
+    return _read_ranges(staged, body, name).drop("_vx_path", "_vx_ranges")
+
+
+def _ranged(df: DataFrame, body: Column, size: Column, tail: Column | None = None) -> DataFrame:
+    """Head, size and kind of each file, and what expressions read of it."""
+    head = F.substring(body, 1, N.HEAD_BYTES)
+    staged = df.withColumns({"_vx_head": head, "_vx_size": size.cast("long")})
+    staged = staged.withColumns({
+        "_vx_kind": N.container(F.col("_vx_head")), "_vx_hex": F.hex(F.substring("_vx_head", 1, _HEADER_BYTES)),
+    })
+    # Only Ogg tells its length at the end.
+    if tail is None:
+        tail = F.substring(body, F.greatest(F.lit(1), size - N.TAIL_BYTES + 1), F.lit(N.TAIL_BYTES))
+    tail = F.when(F.col("_vx_kind") == "ogg", tail)
+    plain = F.when(is_plain_wav(F.col("_vx_hex")), plain_wav_metadata(F.col("_vx_hex"), F.col("_vx_size")))
+    fixed = F.coalesce(plain, N.fixed_metadata(F.col("_vx_kind"), F.col("_vx_head"), tail, F.col("_vx_size")))
+    staged = staged.select("*", F.explode(F.array(fixed)).alias("_vx_fixed"))
+    rest = F.col("_vx_fixed").isNull() & F.col("_vx_kind").isNotNull()
+    walked = F.pandas_udf(N.walk_batches, N.METADATA)(
+        "_vx_kind", F.when(rest & N.head_suffices(F.col("_vx_kind")), F.col("_vx_head")), "_vx_size"
+    )
+    staged = staged.select("*", F.explode(F.array(walked)).alias("_vx_walked"))
+    beyond = ~N.head_suffices(F.col("_vx_kind")) | (F.col("_vx_size") > N.HEAD_BYTES)
+    open_ = rest & F.col("_vx_walked.sample_rate").isNull() & beyond & (F.col("_vx_kind") != "ogg")
+    return staged.withColumn("_vx_whole", F.coalesce(open_, F.lit(False)))
+
+
+def _read_ranges(df: DataFrame, body: Column, name: str) -> DataFrame:
+    last = F.pandas_udf(N.walk_batches, N.METADATA)("_vx_kind", F.when(F.col("_vx_whole"), body), "_vx_size")
+    metadata = F.when(F.col("_vx_fixed").isNotNull(), F.col("_vx_fixed")).when(~F.col("_vx_whole"), F.col("_vx_walked")).otherwise(last)
     # A one-element explode keeps filters on the result from repeating its parsing.
-    read = staged.select("*", F.explode(F.array(metadata)).alias(name))
-    return read.drop("wav_header", "wav_size", "wav_plain")
+    read = df.select("*", F.explode(F.array(metadata)).alias(name))
+    return read.drop("_vx_head", "_vx_size", "_vx_kind", "_vx_hex", "_vx_fixed", "_vx_walked", "_vx_whole")
+
+
+def _after_id3(start: bytes) -> int:
+    if start[:3] != b"ID3" or len(start) < 10:
+        return 0
+    size = start[6] << 21 | start[7] << 14 | start[8] << 7 | start[9]
+    return size + 10 + (10 if start[5] & 16 else 0)
+
+
+def _file_ranges(uri: str, opener: Callable) -> tuple[bytes | None, bytes | None, int | None]:
+    try:
+        system, path = opener(uri)
+        with system.open_input_file(path) as source:
+            begin = _after_id3(source.read(10))
+            size = max(0, source.size() - begin)
+            source.seek(begin)
+            head = source.read(N.HEAD_BYTES)
+            source.seek(begin + max(0, size - N.TAIL_BYTES))
+            return head, source.read(N.TAIL_BYTES) if head[:4] == b"OggS" else None, size
+    except OSError:
+        return None, None, None
+
+
+def _file_body(uri: str, opener: Callable) -> bytes:
+    system, path = opener(uri)
+    with system.open_input_file(path) as source:
+        data = source.read()
+    return data[_after_id3(data[:10]) :]
 
 
 def array_metadata(audio: Column, kind: T.StructType) -> Column:
-    """The same struct for decoded audio: ``array`` of samples, or of frames, and ``sampling_rate``."""
+    """The same struct for decoded audio: ``array`` of samples, or of frames, and its rate.
+
+    The rate is ``sampling_rate``, or ``sample_rate`` where there is none.
+    """
     frames = audio["array"]
     by_frame = isinstance(kind["array"].dataType.elementType, T.ArrayType)
     channels = F.size(F.get(frames, F.lit(0))) if by_frame else F.lit(1)
+    rates = [audio[name] for name in ("sampling_rate", "sample_rate") if name in kind.names]
+    rate = F.coalesce(*rates) if rates else F.lit(None)
     known = frames.isNotNull()
     return F.struct(
-        F.when(known, audio["sampling_rate"]).cast("long").alias("sample_rate"),
+        F.when(known, rate).cast("long").alias("sample_rate"),
         F.when(known, channels).cast("long").alias("channels"),
         F.when(known, F.size(frames)).cast("long").alias("n_samples"),
     )

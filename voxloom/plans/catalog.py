@@ -537,10 +537,16 @@ def evaluation_skips(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def wav_metadata(spark: SparkSession, sf: str) -> DataFrame:
-    read = A.with_wav_metadata(V.wav_files(spark, sf), F.col("content"))
+    read = A.with_audio_metadata(V.wav_files(spark, sf), F.col("content"))
     return read.select("doc_id", "wav.sample_rate", "wav.channels", "wav.n_samples")
 
 
+def audio_containers(spark: SparkSession, sf: str) -> DataFrame:
+    read = A.with_audio_metadata(V.container_files(spark, sf), F.col("content"))
+    timed = E.with_duration_status(read, F.col("wav.n_samples"), F.col("wav.sample_rate"), 1.0)
+    return timed.select("doc_id", "wav.sample_rate", "wav.channels", "wav.n_samples", "status")
+
+
 def array_audio(spark: SparkSession, sf: str) -> DataFrame:
     vectors = V.table(spark, sf, "embeddings")
     mirrored = F.zip_with("embedding", F.reverse("embedding"), lambda a, b: F.array(a, b))
@@ -763,6 +769,7 @@ QUERIES = [
     evaluation_errors,
     evaluation_metrics,
     array_audio,
+    audio_containers,
     wav_metadata,
     mono_mix,
     unique_ids,

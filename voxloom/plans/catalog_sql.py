@@ -402,4 +402,14 @@ AND (doc_id % 3 = 2 OR coalesce(NOT isnan(duration) AND duration >= 0.03, false)
 CASE WHEN vec_id % 2 = 0 THEN 1 ELSE 2 END::BIGINT AS channels, len(embedding)::BIGINT AS n_samples,
 CASE WHEN vec_id % 7 = 0 THEN 'decode_failed' WHEN len(embedding) / 16000e0 > 0.003 THEN 'too_long' ELSE 'ok' END AS status
 FROM embeddings""",
+    "audio_containers": """WITH made AS (
+  SELECT doc_id, lang, CASE doc_id % 8 WHEN 0 THEN 22050 WHEN 1 THEN 8000 WHEN 2 THEN 16000 WHEN 3 THEN 44100
+      WHEN 4 THEN 48000 WHEN 5 THEN 44100 WHEN 6 THEN 48000 ELSE 16000 END::BIGINT AS rate,
+    CASE WHEN doc_id % 8 IN (2, 3, 4) THEN 2 ELSE 1 END::BIGINT AS channels,
+    CASE doc_id % 8 WHEN 0 THEN strlen(text) // 4 WHEN 1 THEN least(n_chars + 1, (strlen(text) + 255) // 256 * 505)
+      WHEN 2 THEN strlen(text) // 2 WHEN 3 THEN n_chars WHEN 4 THEN n_chars * 100 WHEN 5 THEN n_chars * 1152
+      WHEN 6 THEN (n_chars % 50 + 2) * 1152 ELSE n_chars END::BIGINT AS samples FROM documents)
+SELECT doc_id, CASE WHEN lang <> 'es' THEN rate END AS sample_rate, CASE WHEN lang <> 'es' THEN channels END AS channels,
+  CASE WHEN lang <> 'es' THEN samples END AS n_samples,
+  CASE WHEN lang = 'es' THEN 'decode_failed' WHEN samples > rate THEN 'too_long' ELSE 'ok' END AS status FROM made""",
 }

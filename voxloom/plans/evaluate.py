@@ -11,12 +11,11 @@ from pyspark.sql import functions as F
 
 from voxloom import constants as C
 from voxloom.functions import parsing as P
-from voxloom.functions.audio import array_metadata, with_wav_metadata
+from voxloom.functions.audio import array_metadata, with_audio_metadata, with_file_metadata
 from voxloom.operators import evaluation as E
 from voxloom.operators import scoring as Q
 from voxloom.operators import submission as B
 from voxloom.operators.inference import Predictor, transcribe
-from voxloom.operators.joins import plain_columns, spread_nulls
 from voxloom.session import cut_lineage, within_bounds
 from voxloom.sinks import writers as W
 from voxloom.sources import corpus as S
@@ -60,35 +59,31 @@ def read_samples(spark: SparkSession, root: str, run: Run) -> DataFrame:
 
 
 def with_sample_metadata(
-    samples: DataFrame, audio_root: str | None = None
+    samples: DataFrame, audio_root: str | None = None, opener: Callable = S.open_files
 ) -> DataFrame:
-    """Add the ``wav`` struct of each sample; bytes come before the path.
+    """Add the ``wav`` struct of each sample, row by row: of its bytes, else of its path, else of its array.
 
-    Files named by path are scanned below ``audio_root`` on their own, and only
-    their numbers are joined. Audio that is an ``array`` with its ``sampling_rate``
-    is measured as it is.
+    Files are named by their paths, relative ones below ``audio_root``; without it none
+    is opened. Tasks read the head and tail of the files of their own rows. Audio that is
+    an ``array`` with its ``sampling_rate`` or ``sample_rate`` is measured as it is.
     """
-    if "bytes" not in samples.schema["audio"].dataType.names:
-        return samples.withColumn("wav", array_metadata(F.col("audio"), samples.schema["audio"].dataType))
-    has_bytes = F.coalesce(F.octet_length(F.col("audio.bytes")) > 0, F.lit(False))
-    read = with_wav_metadata(samples, F.when(has_bytes, F.col("audio.bytes")))
-    if audio_root is None:
-        return read
-    spark = samples.sparkSession
-    files = wav_table(spark, audio_root).select("path", F.col("wav").alias("file_wav"))
-    files = cut_lineage(spark, files, "audio-files")
-
-    def attach(rows: DataFrame, side: DataFrame) -> DataFrame:
-        named = F.when(~has_bytes, P.plain_path(F.col("audio.path")))
-        keyed = rows.withColumn("path", spread_nulls(named, *plain_columns(samples)))
-        joined = keyed.join(side, "path", "left")
-        wav = F.when(has_bytes, F.col("wav")).otherwise(F.col("file_wav"))
-        return joined.withColumn("wav", wav).drop("path", "file_wav")
-
-    if within_bounds(files):
-        return attach(read, F.broadcast(files))
-    # Only the rows without bytes, which are short, are shuffled.
-    return read.where(has_bytes).unionByName(attach(read.where(~has_bytes), files))
+    kind, audio = samples.schema["audio"].dataType, F.col("audio")
+    array = array_metadata(audio, kind) if "array" in kind.names else None
+    if "bytes" not in kind.names:
+        return samples.withColumn("wav", array)
+    has_bytes = F.coalesce(F.octet_length("audio.bytes") > 0, F.lit(False))
+    read = with_audio_metadata(samples, F.when(has_bytes, F.col("audio.bytes")))
+    has_path = P.has_text(F.col("audio.path")) if "path" in kind.names else F.lit(False)
+    has_path = F.coalesce(has_path, F.lit(False))
+    wav = F.when(has_bytes, F.col("wav"))
+    if audio_root is not None and "path" in kind.names:
+        named = F.col("audio.path")
+        named = F.when(P.is_resolvable(named), P.join_path(F.lit(audio_root), named)).otherwise(P.plain_path(named))
+        read = with_file_metadata(read, F.when(~has_bytes & has_path, named), opener, "file_wav")
+        wav = wav.when(has_path, F.col("file_wav"))
+    if array is not None:
+        wav = wav.when(~has_path, array)
+    return read.withColumn("wav", wav).drop("file_wav")
 
 
 def wav_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -100,7 +95,7 @@ def wav_table(spark: SparkSession, folder: str) -> DataFrame:
         .load(folder)
     )
     named = files.select(P.plain_path(F.col("path")).alias("path"), "content")
-    return with_wav_metadata(named, F.col("content"))
+    return with_audio_metadata(named, F.col("content"))
 
 
 def opened(paths: DataFrame, opener: Callable = S.open_files) -> DataFrame:
@@ -193,7 +188,7 @@ def fill_submission(
     else:
         paths = S.file_inventory(spark, place).withColumn(B.CLEAN_ID, stem)
         paths = cut_lineage(spark, paths.join(ids, B.CLEAN_ID).select(B.CLEAN_ID, "path"), "matched")
-        wanted = with_wav_metadata(opened(paths), F.col("content"))
+        wanted = with_audio_metadata(opened(paths), F.col("content"))
     wanted = wanted.withColumn("decoded", F.col("wav.n_samples").isNotNull()).drop("wav")
     heard = transcribe(wanted, make_predictor, "content", batch_size, language_hint, only="decoded")
     heard = cut_lineage(spark, heard, "heard")
