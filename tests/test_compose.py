@@ -179,12 +179,11 @@ def test_scans_by_schema_find_odd_file_names(spark, tmp_path):
     folder = tmp_path / "corpus=a" / "split=s x" / "language=l"
     put(folder / "p q%20+{x}[1].parquet", text=["a"])
     put(folder / "plain.parquet", text=["b"], duration=[1.0])
-    frames = S.read_by_schema(spark, str(tmp_path))
-    assert sorted(sorted(f.columns) for f in frames) == [
-        ["corpus", "duration", "language", "source_file", "split", "text"],
-        ["corpus", "language", "source_file", "split", "text"],
-    ]
-    rows = S.union_all(frames).collect()
+    (scan,) = S.read_by_schema(spark, str(tmp_path))
+    assert sorted(scan.frame.drop(S.SCHEMA).columns) == ["corpus", "duration", "language", "source_file", "split", "text"]
+    assert list(scan.present) == ["duration"]
+    assert {r.text for r in scan.frame.where(scan.present["duration"]).collect()} == {"b"}
+    rows = scan.frame.collect()
     assert {(r.text, r.source_file) for r in rows} == {
         ("a", f"{folder}/p q%20+{{x}}[1].parquet"),
         ("b", f"{folder}/plain.parquet"),

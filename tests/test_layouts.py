@@ -105,14 +105,90 @@ def test_groups_of_schemas(spark, tmp_path):
         folder = tmp_path / "corpus=c" / "split=train" / f"language=l{k}"
         put(folder / "a.parquet", text=["a"], duration=[1.0])
         put(folder / "b [x] %20+.parquet", **({"duration": [2.0]} if k else {"text": ["b"], "duration": [2.0]}))
-    frames = S.read_by_schema(spark, str(tmp_path))
-    assert sorted("text" in f.columns for f in frames) == [False, True]
-    assert sum(f.count() for f in frames) == 4
+    (scan,) = S.read_by_schema(spark, str(tmp_path))
+    assert list(scan.present) == ["text"]
+    assert scan.frame.count() == 4 and scan.frame.where(scan.present["text"]).count() == 3
     files = S.partition_listing(S.file_inventory(spark, str(tmp_path), "*.parquet"))
     places = [r.place for r in S.schema_groups(S.file_schemas(spark, files)).collect()]
     assert len(places) == 3 and sum(p.endswith(".parquet") for p in places) == 2
 
 
+def test_files_that_disagree_on_types(spark, tmp_path):
+    folder = tmp_path / "corpus=c" / "split=train"
+    put(folder / "language=a" / "a.parquet", text=["a", " "], duration=[1.0, 1.0])
+    put(folder / "language=b" / "b.parquet", text=["b", "c"], duration=pa.array([1, 0], pa.int32()))
+    put(folder / "language=b" / "c.parquet", duration=[0.0])
+    scans = S.read_by_schema(spark, str(tmp_path))
+    assert len(scans) == 3 and sum(s.frame.count() for s in scans) == 5
+    manifest = P.compose_roots(spark, [str(tmp_path)]).manifest().orderBy("language").collect()
+    assert [(r.rows_before, r.rows_after) for r in manifest] == [(2, 1), (3, 1)]
+
+
+def test_a_lookup_of_schemas_too_large_to_broadcast(spark, tmp_path, monkeypatch):
+    from voxloom import session
+
+    folder = tmp_path / "corpus=c" / "split=train" / "language=l"
+    for k in range(9):
+        columns = {"text": ["x", " "], "duration": [1.0, 0.0]}
+        put(folder / f"{k}.parquet", **{n: v for i, (n, v) in enumerate(columns.items()) if k % 3 != i})
+    few = P.compose_roots(spark, [str(tmp_path)]).manifest().collect()
+    monkeypatch.setattr(session, "within_bounds", lambda table, **bounds: False)
+    assert P.compose_roots(spark, [str(tmp_path)]).manifest().collect() == few
+    assert (few[0].rows_before, few[0].rows_after) == (18, 9)
+
+
+def test_inventory_lists_what_spark_lists(spark, tmp_path):
+    names = ["a.wav", "b c%20+.wav", "x/y/z/d.wav", "x/_hidden/e.wav", "_k=1/f.wav", ".g.wav", "x/_h.wav", "é/i.wav", "j.txt", "[k].wav"]
+    names += [f"many/{k % 7}/{k}.wav" for k in range(40)]
+    for name in names:
+        wav(tmp_path / name)
+    (tmp_path / "zero.wav").write_bytes(b"")
+    (tmp_path / "nothing" / "here").mkdir(parents=True)
+    (tmp_path / "link").symlink_to(tmp_path / "x")
+    for pattern, depth in (("*", None), ("*.wav", None), ("*.wav", 0), ("*.wav", 1)):
+        got = S.file_inventory(spark, str(tmp_path), pattern, depth).collect()
+        want = S._listed_by_spark(spark, str(tmp_path), pattern, depth).collect()
+        assert sorted(got) == sorted(want) and len(got) == len(set(got)) >= 3
+    assert S.file_inventory(spark, f"{tmp_path}/nothing").isEmpty()
+    with pytest.raises(FileNotFoundError):
+        S.file_inventory(spark, f"{tmp_path}/none")
+
+
+def test_inventory_by_an_opener_of_another_store(spark, tmp_path):
+    wav(tmp_path / "a" / "b.wav")
+
+    def opener(uri):
+        from pyarrow import fs
+
+        return fs.SubTreeFileSystem("/", fs.LocalFileSystem()), uri
+
+    got = S.file_inventory(spark, f"file://{tmp_path}", opener=opener).collect()
+    assert [(r.path, r.length) for r in got] == [(f"{tmp_path}/a/b.wav", 4)]
+
+
+def test_a_root_is_listed_once(spark, tmp_path, monkeypatch):
+    for split in ("train", "dev", "test", "validation"):
+        for name in ("c", "d"):
+            put(tmp_path / f"corpus={name}" / f"split={split}" / "language=lug" / "a.parquet", text=["t"])
+    calls = []
+    inventory = S.file_inventory
+    monkeypatch.setattr(S, "file_inventory", lambda *a, **k: calls.append(a[1]) or inventory(*a, **k))
+    P.compose_two(spark, str(tmp_path), "c", str(tmp_path), "d")
+    assert calls == [str(tmp_path)]
+
+
+def test_paths_are_qualified(spark, tmp_path):
+    assert S.qualified(spark, str(tmp_path)) == f"file:{tmp_path}"
+    conf = spark._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    conf.set("fs.defaultFS", "viewfs://other/")
+    conf.set("fs.viewfs.mounttable.other.link./data", f"file://{tmp_path}")
+    try:
+        assert S.qualified(spark, "/data/x") == "viewfs://other/data/x"
+    finally:
+        conf.set("fs.defaultFS", before)
+
+
 def test_schemes(spark):
     with pytest.raises(ValueError, match="opener"):
         S.read_by_schema(spark, "odd://x/y")

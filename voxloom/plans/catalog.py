@@ -305,7 +305,8 @@ def schema_groups(spark: SparkSession, sf: str) -> DataFrame:
     for k, absent in enumerate(([], ["text"], ["duration"])):
         part = rows.where(F.col("doc_id") % 3 == k).drop(*absent)
         part.write.mode("append").partitionBy(*S.PARTITION_KEYS).parquet(root)
-    marked = S.union_all([Z.mark_usable(frame) for frame in S.read_by_schema(spark, root)])
+    scans = S.read_by_schema(spark, root)
+    marked = S.union_all([Z.mark_usable(scan.frame, present=scan.present) for scan in scans])
     return marked.select("doc_id", F.col(Z.KEEP).alias("keep"))
 
 

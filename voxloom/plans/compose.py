@@ -56,8 +56,8 @@ def marked_source(
     ``inventory`` lists the files below ``base``, the dataset's root (by default
     ``root``), against which paths are tried last. Usability is judged per file schema, before sources are aligned.
     """
-    marked = [mark_usable(frame) for frame in S.read_by_schema(spark, root, raw, corpus)]
-    rows = S.union_all(marked)
+    scans = S.read_by_schema(spark, root, raw, corpus, inventory=inventory)
+    rows = S.union_all([mark_usable(scan.frame, present=scan.present).drop(S.SCHEMA) for scan in scans])
     if corpus is not None:
         rows = rows.where(F.col("corpus") == corpus)
     rows = rows.drop("lang", "source_split")
@@ -79,9 +79,11 @@ def compose_two(
     The second corpus takes over the language labels of the first.
     """
     rows, counted, files = [], [], []
+    # A root that both corpora lie in is listed once.
+    inventories = {root: S.file_inventory(spark, root) for root in dict.fromkeys((first_root, second_root))}
     sources = (("first", first_root, first), ("second", second_root, second))
     for role, root, name in sources:
-        inventory = S.file_inventory(spark, root)
+        inventory = inventories[root]
         listed = S.partition_listing(inventory.where(F.endswith("path", F.lit(".parquet"))))
         listed = listed.where(F.col("corpus") == name)
         files.append(_named_files(listed, source=F.lit(role)))
@@ -91,7 +93,7 @@ def compose_two(
     if absent:
         raise FileNotFoundError(f"no partitions for {[(r.source, r.split) for r in absent]}")
     for role, root, name in sources:
-        marked, numbers = marked_source(spark, root, S.file_inventory(spark, root), corpus=name)
+        marked, numbers = marked_source(spark, root, inventories[root], corpus=name)
         rows.append(marked.withColumn(SOURCE, F.lit(role)))
         counted.append(numbers.withColumn("source", F.lit(role)))
     labels = L.label_lookup(files[0])
@@ -122,9 +124,9 @@ def compose_roots(spark: SparkSession, roots: list[str]) -> Composition:
 
 def compose_raw(spark: SparkSession, root: str) -> Composition:
     """Raw shards; the language label is the directory name."""
-    base = S.raw_shard_root(spark, root)
     # Audio may lie anywhere below the dataset's root; shards lie two levels below base.
     inventory = S.file_inventory(spark, root)
+    base = S.raw_shard_root(spark, root, inventory)
     listed = S.shard_files(inventory, base)
     files = _named_files(listed.withColumn("corpus", F.lit("ASR")))
     marked, counted = marked_source(spark, base, inventory, raw=True, base=root)

@@ -186,7 +186,7 @@ def fill_submission(
         files = wav_table(spark, place).withColumn(B.CLEAN_ID, stem)
         wanted = files.join(F.broadcast(ids), B.CLEAN_ID)
     else:
-        paths = S.file_inventory(spark, place).withColumn(B.CLEAN_ID, stem)
+        paths = S.file_inventory(spark, audio_folder, "*.wav", depth=0).withColumn(B.CLEAN_ID, stem)
         paths = cut_lineage(spark, paths.join(ids, B.CLEAN_ID).select(B.CLEAN_ID, "path"), "matched")
         wanted = with_audio_metadata(opened(paths), F.col("content"))
     wanted = wanted.withColumn("decoded", F.col("wav.n_samples").isNotNull()).drop("wav")

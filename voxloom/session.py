@@ -53,6 +53,23 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, which tasks must know to open it without Spark."""
+    place, _ = _hadoop(spark, path)
+    return place.toString()
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, system = _hadoop(spark, path)
+    return system.exists(place)
+
+
+def _hadoop(spark: SparkSession, path: str) -> tuple:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return system.makeQualified(place), system
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

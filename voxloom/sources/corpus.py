@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import fnmatch
+import itertools
 import re
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass, field
 from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from voxloom import constants as C
 from voxloom.functions import parsing as P
-from voxloom.session import cut_lineage
+from voxloom.operators.joins import RESERVED
+from voxloom.session import as_lookup, cut_lineage, exists, qualified
 
 PARTITION_KEYS = ["corpus", "split", "language"]
 SOURCE_FILE = "source_file"
@@ -23,18 +28,76 @@ def file_path() -> Column:
     return P.plain_path(F.try_url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))))
 
 
-def file_inventory(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+def file_inventory(
+    spark: SparkSession, root: str, pattern: str = "*", depth: int | None = None, opener: Callable | None = None
+) -> DataFrame:
     """Every file below ``root`` as (path, length); no content is read.
 
-    Zero-byte files hold no audio and are not listed.
+    Folders are listed in tasks, level by level: a round lists the folders that the one
+    before found and writes what is in them, so the driver holds neither files nor
+    folders. One folder's own entries pass through one task. ``depth`` is the number of
+    levels below ``root`` to enter. Hidden files and folders, as Spark knows them, and
+    zero-byte files, which hold no audio, are not listed. A store that ``opener`` does
+    not know is listed by Spark itself.
     """
-    return (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", pattern)
-        .load(root)
-        .select(P.plain_path(F.col("path")).alias("path"), "length")
-    )
+    place = qualified(spark, root)
+    if not exists(spark, root):
+        raise FileNotFoundError(f"PATH_NOT_FOUND: {root}")
+    scheme = place.partition(":")[0]
+    if opener is None and scheme not in KNOWN_SCHEMES:
+        return _listed_by_spark(spark, root, pattern, depth)
+    opener = opener or open_files
+    start = re.sub("^file:/+", "/", place).rstrip("/") or "/"
+    frontier = spark.createDataFrame([(start,)], "path string")
+    rounds, folders = [], 1
+    while folders:
+        tasks = max(1, min(folders // 16, 2000))
+        listed = frontier.repartition(tasks).mapInPandas(_folder_lister(opener, pattern), _ENTRY)
+        listed = cut_lineage(spark, listed, "listed-folders")
+        rounds.append(listed.where("not folder").select("path", "length"))
+        if depth is not None and len(rounds) > depth:
+            break
+        frontier = listed.where("folder").select("path")
+        folders = frontier.count()
+    return union_all(rounds)
+
+
+_ENTRY = "path string, length long, folder boolean"
+#: Entries of a folder that a task hands on at once.
+_ENTRIES = 10_000
+
+
+def _folder_lister(opener: Callable, pattern: str) -> Callable:
+    def entries(uri: str) -> Iterator[tuple[str, int, bool]]:
+        from pyarrow import fs
+
+        system, path = opener(uri)
+        for info in system.get_file_info(fs.FileSelector(path, allow_not_found=True)):
+            name, folder = info.base_name, info.type == fs.FileType.Directory
+            if name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_"):
+                continue
+            if folder or (info.size and fnmatch.fnmatchcase(name, pattern)):
+                yield f"{uri.rstrip('/')}/{name}", info.size or 0, folder
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for uri in batch["path"]:
+                found = entries(uri)
+                while some := list(itertools.islice(found, _ENTRIES)):
+                    yield pd.DataFrame(some, columns=["path", "length", "folder"])
+
+    return run
+
+
+def _listed_by_spark(spark: SparkSession, root: str, pattern: str, depth: int | None) -> DataFrame:
+    reader = spark.read.format("binaryFile").option("pathGlobFilter", pattern)
+    listed = reader.option("recursiveFileLookup", "true").load(root)
+    listed = listed.select(P.plain_path(F.col("path")).alias("path"), "length")
+    if depth is None:
+        return listed
+    levels = F.size(F.split("path", "/"))
+    top = len(re.sub("^file:/+", "/", qualified(spark, root)).rstrip("/").split("/"))
+    return listed.where(levels <= top + 1 + depth)
 
 
 def partition_listing(inventory: DataFrame) -> DataFrame:
@@ -57,6 +120,7 @@ def read_partitioned(
     keys: list[str] = PARTITION_KEYS,
     merge_schema: bool = True,
     files: list[str] | None = None,
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """``root/corpus=*/split=*/language=*/*.parquet`` with text partition keys.
 
@@ -70,6 +134,7 @@ def read_partitioned(
     spark.conf.set(inference, "false")
     try:
         reader = parquet_reader(spark, merge_schema).option("basePath", root)
+        reader = reader if schema is None else reader.schema(schema)
         frame = reader.parquet(*(files or [pattern]))
     except Exception as error:
         if "PATH_NOT_FOUND" not in str(error):
@@ -105,23 +170,30 @@ def shard_keys(df: DataFrame, path: Column) -> DataFrame:
     )
 
 
-def read_raw_shards(spark: SparkSession, root: str, files: list[str] | None = None) -> DataFrame:
+def read_raw_shards(
+    spark: SparkSession, root: str, files: list[str] | None = None, schema: T.StructType | None = None
+) -> DataFrame:
     """Raw shards below ``root`` as one corpus; unmatched file names are skipped."""
-    frame = parquet_reader(spark).parquet(*(files or [f"{root}/*/*.parquet"]))
+    reader = parquet_reader(spark)
+    reader = reader if schema is None else reader.schema(schema)
+    frame = reader.parquet(*(files or [f"{root}/*/*.parquet"]))
     frame = frame.drop(*C.LANGUAGE_COLUMNS, "split").withColumn(SOURCE_FILE, file_path())
     return shard_keys(frame, F.col(SOURCE_FILE)).withColumn("corpus", F.lit("ASR"))
 
 
-def raw_shard_root(spark: SparkSession, root: str) -> str:
-    """``root/data/ASR`` where that directory holds Parquet files, else ``root``."""
-    nested = f"{root}/data/ASR"
-    try:
-        found = file_inventory(spark, nested, "*.parquet").limit(1).count()
-    except Exception as error:
-        if "PATH_NOT_FOUND" not in str(error):
-            raise
-        found = 0
-    return nested if found else root
+def raw_shard_root(spark: SparkSession, root: str, inventory: DataFrame | None = None) -> str:
+    """``root/data/ASR`` where that directory holds Parquet files, else ``root``.
+
+    ``inventory`` lists the files below ``root`` where they are known already.
+    """
+    nested = f"{root.rstrip('/')}/data/ASR"
+    if inventory is None:
+        if not exists(spark, nested):
+            return root
+        return root if file_inventory(spark, nested, "*.parquet").isEmpty() else nested
+    place = re.sub("^file:/+", "/", qualified(spark, nested)) + "/"
+    shards = inventory.where(F.startswith("path", F.lit(place)) & F.endswith("path", F.lit(".parquet")))
+    return root if shards.isEmpty() else nested
 
 
 def keys_from_path(path: Column, root: str) -> dict[str, Column]:
@@ -240,42 +312,81 @@ def schema_groups(schemas: DataFrame) -> DataFrame:
     return whole.unionByName(apart.select("signature", F.col("path").alias("place")))
 
 
+SCHEMA = f"{RESERVED}schema"
+
+
+@dataclass
+class Scan:
+    """Rows of files, and for each column that some of the files lack, which rows have it."""
+
+    frame: DataFrame
+    present: dict[str, Column] = field(default_factory=dict)
+
+
 def read_by_schema(
     spark: SparkSession,
     root: str,
     raw: bool = False,
     corpus: str | None = None,
     opener: Callable = open_files,
-) -> list[DataFrame]:
-    """One scan per distinct file schema below ``root``, of one corpus if it is named.
-
-    Which columns exist is a property of each file, and a merged schema cannot
-    tell a column a file lacks from one that is null. The scans share no file,
-    so every file is still read once. A corpus of one schema is one plain scan.
-    Otherwise the driver names folders to the scans, and files of mixed folders.
+    inventory: DataFrame | None = None,
+) -> list[Scan]:
+    """The files below ``root``, of one corpus if it is named, with what each of them lacks.
+
+    Which columns exist is a property of each file, and a merged schema cannot tell a
+    column a file lacks from one that is null. So a table says which schema each file
+    has, and is joined with the rows of one scan of all files; it leaves out the files of
+    the commonest schema. Only distinct schemas reach the driver. Where files disagree on
+    the type of a column, there is a scan for each schema instead.
     """
     scheme = root.partition("://")[0] if "://" in root else "file"
     if opener is open_files and scheme not in KNOWN_SCHEMES:
         raise ValueError(f"pass an opener for {scheme}:// files")
-    inventory = file_inventory(spark, root, "*.parquet")
+    if inventory is None:
+        inventory = file_inventory(spark, root, "*.parquet")
+    inventory = inventory.where(F.endswith("path", F.lit(".parquet")))
     if raw:
         files = shard_files(inventory, root)
     else:
         files = partition_listing(inventory)
         files = files if corpus is None else files.where(F.col("corpus") == corpus)
     schemas = cut_lineage(spark, file_schemas(spark, files, opener), "file-schemas")
-    signatures = [row.signature for row in schemas.select("signature").distinct().orderBy("signature").collect()]
-    if not signatures:
+    known = schemas.groupBy("signature").agg(F.count(F.lit(1)).alias("files"), F.min("path").alias("path"))
+    known = known.orderBy(F.desc("files"), "signature").collect()
+    if not known:
         raise FileNotFoundError(f"no Parquet files of the expected layout below {root}")
-    groups: list[list[str] | None] = [None]
-    if len(signatures) > 1 or corpus is not None:
-        places = schema_groups(schemas).orderBy("signature", "place").collect()
-        groups = [
-            [_as_pattern(p.place) for p in places if p.signature == signature] for signature in signatures
-        ]
+    columns = [dict(c.split(":", 1) for c in r.signature.split("|") if c) for r in known]
+    names = {name for c in columns for name in c}
+    if any(len({c[name] for c in columns if name in c}) > 1 for name in names):
+        return _read_each_schema(spark, root, schemas, raw)
+
+    # One file of each schema tells the types of all columns.
+    whole = parquet_reader(spark).parquet(*(_as_pattern(r.path) for r in known)).schema
+    if raw:
+        frame = read_raw_shards(spark, root, schema=whole)
+    else:
+        frame = read_partitioned(spark, root, merge_schema=False, schema=whole)
+        frame = frame if corpus is None else frame.where(F.col("corpus") == corpus)
+    if len(known) == 1:
+        return [Scan(frame)]
+    numbers = F.create_map(*[F.lit(x) for n, r in enumerate(known) for x in (r.signature, n)])
+    others = schemas.where(F.col("signature") != known[0].signature)
+    others = others.select(F.col("path").alias(SOURCE_FILE), F.try_element_at(numbers, F.col("signature")).alias(SCHEMA))
+    frame = frame.join(as_lookup(others, "file-schemas"), SOURCE_FILE, "left")
+    frame = frame.withColumn(SCHEMA, F.coalesce(SCHEMA, F.lit(0)))
+    lacking = {name: [n for n, c in enumerate(columns) if name not in c] for name in names}
+    return [Scan(frame, {name: ~F.col(SCHEMA).isin(*n) for name, n in lacking.items() if n})]
+
+
+def _read_each_schema(spark: SparkSession, root: str, schemas: DataFrame, raw: bool) -> list[Scan]:
+    """A scan per schema, to which the driver names folders, and the files of mixed folders."""
+    places = schema_groups(schemas).orderBy("signature", "place").collect()
+    groups: dict[str, list[str]] = {}
+    for p in places:
+        groups.setdefault(p.signature, []).append(_as_pattern(p.place))
     if raw:
-        return [read_raw_shards(spark, root, group) for group in groups]
-    return [read_partitioned(spark, root, merge_schema=False, files=group) for group in groups]
+        return [Scan(read_raw_shards(spark, root, group)) for group in groups.values()]
+    return [Scan(read_partitioned(spark, root, merge_schema=False, files=group)) for group in groups.values()]
 
 
 def _as_pattern(path: str) -> str:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from voxloom import constants as C
 from voxloom.functions import parsing as P
 from voxloom.functions.text import strip
-from voxloom.sources.corpus import file_path
+from voxloom.sources.corpus import file_inventory, file_path
 
 ROW_ORDER = "row_order"
 LOG_FIELDS = [C.LOG_STEP, C.LOG_LOSS, C.LOG_WER, C.LOG_UER, C.LOG_LR]
@@ -45,10 +45,7 @@ def read_submission(spark: SparkSession, path: str, multi_line: bool = True) ->
 
 def read_audio_index(spark: SparkSession, folder: str) -> DataFrame:
     """(stem, path) of the .wav files directly inside ``folder``; first path per stem."""
-    files = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.wav").load(folder).select("path")
-    )
-    return first_path_per_stem(files.select(P.plain_path(F.col("path")).alias("path")))
+    return first_path_per_stem(file_inventory(spark, folder, "*.wav", depth=0).select("path"))
 
 
 def first_path_per_stem(paths: DataFrame) -> DataFrame:
