@@ -8,6 +8,7 @@ import pytest
 
 from voxloom.operators import manifest as M
 from voxloom.plans import compose as P
+from voxloom.sinks import published
 from voxloom.sinks.writers import read_manifest
 from voxloom.sources import corpus as S
 
@@ -103,6 +104,42 @@ def test_lookup_too_large_to_broadcast_gives_the_same_rows(spark, two_roots, mon
     assert expected == sorted(map(str, shuffled.select("text", "audio.path", "source_file").collect()))
 
 
+def test_a_run_that_dies_leaves_the_corpus_before(spark, two_roots, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    roots = list(two_roots)
+
+    def composed():
+        return P.compose_two(spark, two_roots[0], "alpha", two_roots[1], "beta")
+
+    def state():
+        folder = published.published(spark, out)
+        rows = S.read_partitioned(spark, folder).select("text", "corpus", "split", "language").collect()
+        return sorted(map(str, rows)), sorted(map(str, read_manifest(spark, folder).collect()))
+
+    P.publish_composition(composed(), out, roots, version="one")
+    first = state()
+    assert published.current_version(spark, out) == "one" and len(first[0]) == 17
+    put(tmp_path / "two" / "corpus=beta" / "split=train" / "language=xx" / "more.parquet", text=["new"])
+
+    def die(*_):
+        raise RuntimeError("killed between corpus and manifest")
+
+    with monkeypatch.context() as m:
+        m.setattr(P, "write_manifest", die)
+        with pytest.raises(RuntimeError, match="killed"):
+            P.publish_composition(composed(), out, roots, version="two")
+    assert state() == first
+    P.publish_composition(composed(), out, roots, version="two")
+    second = state()
+    assert len(second[0]) == 18 and second != first
+    with pytest.raises(ValueError, match="is being read"):
+        P.publish_composition(composed(), out, roots, version="two")
+    P.publish_composition(composed(), out, roots)
+    assert state() == second
+    assert published.prune(spark, out) == ["one"] and state() == second
+    assert published.published(spark, two_roots[0]) == two_roots[0]
+
+
 def test_gates(spark, tmp_path, two_roots):
     root = tmp_path / "bad"
     put(root / "corpus=c" / "split=train" / "language=l" / "a.parquet", text=[" "])

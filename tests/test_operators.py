@@ -1,6 +1,7 @@
 """Edge rows of the operators."""
 
 import math
+import os
 import struct
 
 import numpy as np
@@ -20,6 +21,7 @@ from voxloom.operators import scoring as Q
 from voxloom.operators import stats as H
 from voxloom.operators.inference import transcribe
 from voxloom.sources.tables import require_columns
+from voxloom.sinks import published
 from voxloom.streaming import incremental as I
 
 
@@ -145,6 +147,26 @@ def test_cap_is_taken_before_the_filter(spark):
     assert E.cap_samples(df, ["i"], None).count() == 10
 
 
+def test_cap_ties_nulls_and_ends(spark):
+    rows = [(k % 7 if k % 5 else None, k) for k in range(500)]
+    df = spark.createDataFrame(rows, "a int, b int").repartition(9)
+    want = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    for limit in (0, 1, 99, 100, 101, 250, 499, 500, 501):
+        got = E.cap_samples(df, ["a", "b"], limit).collect()
+        assert sorted(got, key=str) == sorted((tuple(r) for r in want[:limit]), key=str)
+    assert E.cap_samples(df.limit(0), ["a", "b"], 5).count() == 0
+
+
+def test_cap_sorts_one_range(spark):
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(0, 20_000, 1, 8).select(F.col("id").alias("row"))
+        assert E.cap_samples(df, ["row"], 15_000).count() == 15_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+
+
 def test_mono_mix(spark):
     frames = np.random.default_rng(3).normal(size=(20, 2)).astype("float32")
     df = spark.createDataFrame([(frames.tolist(),)], "w array<array<float>>")
@@ -329,6 +351,79 @@ def test_hours_count_null_sizes(spark):
     assert H.distribution(H.hours(df), "d", "/p").first().hours == "1.000000"
 
 
+def test_a_worker_loads_its_predictor_once(spark, tmp_path):
+    def make():
+        with open(tmp_path / f"{os.getpid()}", "a", encoding="utf-8") as log:
+            log.write("loaded\n")
+        return lambda batch, hints: [f"{os.getpid()}" for _ in batch]
+
+    rows = spark.range(0, 640, 1, 64).withColumn("audio", F.col("id"))
+    heard = transcribe(rows, make, "audio", 4)
+    for _ in range(2):
+        assert heard.where("prediction is null").count() == 0
+    loads = [p.read_text().count("loaded") for p in tmp_path.iterdir()]
+    # Far fewer loads than the 128 tasks, and none twice in a worker.
+    assert sum(loads) == len(loads) < 64
+    # The next call has a predictor of its own.
+    other = transcribe(rows, lambda: lambda batch, hints: ["other"] * len(batch), "audio", 4)
+    assert {r.prediction for r in other.select("prediction").distinct().collect()} == {"other"}
+
+
+def test_a_failed_load_is_tried_again(spark, tmp_path):
+    def make():
+        raise OSError("no model")
+
+    rows = spark.range(0, 4, 1, 1).withColumn("audio", F.col("id"))
+    with pytest.raises(Exception, match="no model"):
+        transcribe(rows, make, "audio").collect()
+    assert {r.prediction for r in transcribe(rows, lambda: lambda b, h: ["x"] * len(b), "audio").collect()} == {"x"}
+
+
+def test_stream_counts_skips(spark, tmp_path):
+    source, out, state, counts = (str(tmp_path / x) for x in ("in", "out", "state", "counts"))
+    kind = "id bigint, audio string, status string"
+    rows = [(1, "a", "ok"), (2, "b", "too_long"), (3, None, "decode_failed"), (4, "d", "ok"), (5, "e", None), (6, "f!", "ok")]
+    spark.createDataFrame(rows, kind).repartition(3).write.parquet(source)
+    stream = I.read_new_files(spark, source, spark.createDataFrame([], kind).schema, 1)
+
+    def make():
+        def predict(batch, hints):
+            if any(x.endswith("!") for x in batch):
+                raise ValueError("loud")
+            return [x.upper() for x in batch]
+
+        return predict
+
+    I.append_predictions(stream, make, "audio", out, state, counts=counts).awaitTermination()
+    seen = spark.read.schema("status string, samples long").json(counts).groupBy("status").sum("samples").collect()
+    assert {r.status: r[1] for r in seen} == {"ok": 3, "too_long": 1, "decode_failed": 1, "unknown": 1}
+    written = spark.read.schema("id long, prediction string, error string").json(out)
+    assert {(r.id, r.prediction, r.error) for r in written.collect()} == {(1, "A", None), (4, "D", None), (6, None, "loud")}
+
+
+def test_totals_survive_a_crash_and_a_replay(spark, tmp_path):
+    out = str(tmp_path / "totals")
+    totals = lambda n: spark.createDataFrame([("a", n)], "role string, num_samples long")
+    with pytest.raises(FileNotFoundError):
+        I.last_totals(spark, out)
+    for number in range(3):
+        I.publish_totals(totals(number), number, out)
+    assert I.last_totals(spark, out).first().num_samples == 2
+    # A batch that is published already changes nothing.
+    I.publish_totals(totals(99), 2, out)
+    assert I.last_totals(spark, out).first().num_samples == 2
+    # One that dies while it writes leaves readers on the batch before.
+    broken = totals(3).withColumn("num_samples", F.raise_error(F.lit("crash")).cast("long"))
+    with pytest.raises(Exception, match="crash"):
+        I.publish_totals(broken, 3, out)
+    totals(77).write.mode("overwrite").parquet(published.version_folder(out, "3"))
+    assert I.last_totals(spark, out).first().num_samples == 2
+    I.publish_totals(totals(3), 3, out)
+    assert I.last_totals(spark, out).first().num_samples == 3
+    kept = {p.name for p in (tmp_path / "totals" / "_versions").iterdir()}
+    assert kept == {"2", "3"}
+
+
 def test_stream_resumes_without_repeating_files(spark, tmp_path):
     source, out, state = (str(tmp_path / x) for x in ("in", "out", "state"))
     schema = "id bigint, audio string, status string"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from voxloom import constants as C
@@ -18,15 +18,25 @@ RECOGNITION_FAILED = "recognition_failed"
 def cap_samples(df: DataFrame, order: list[str], limit: int | None) -> DataFrame:
     """The first ``limit`` rows in the given order; taken before any filter.
 
-    ``order`` tells all rows apart. Only these columns are sorted, for the key of the
-    last row to take; the rows themselves, with their audio, are filtered where they are.
+    ``order`` tells all rows apart. Only these columns are dealt out, in ranges, for the
+    key of the last row to take: the range that holds it follows from the ranges' sizes,
+    and only that one is sorted. The rows themselves, with their audio, are filtered where
+    they are.
     """
     if limit is None:
         return df
-    key = F.struct(*order)
-    first = df.select(key.alias("key")).orderBy("key").limit(limit)
-    last = first.agg(F.max("key").alias("key"), F.count(F.lit(1)).alias("rows"))
-    bound = cut_lineage(df.sparkSession, last.where(F.col("rows") == limit), "last-of-sample")
+    spark, key = df.sparkSession, F.struct(*order)
+    ranged = df.select(key.alias("key")).repartitionByRange("key").withColumn("part", F.spark_partition_id())
+    ranged = cut_lineage(spark, ranged, "sample-keys")
+    # One row per range, at most the configured shuffle width.
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("part").agg(F.count(F.lit(1)).alias("size"))
+    sizes = sizes.withColumn("start", F.coalesce(F.sum("size").over(before), F.lit(0)))
+    holds = sizes.where((F.col("start") < limit) & (F.col("start") + F.col("size") >= limit))
+    inside = ranged.join(F.broadcast(holds), "part")
+    rank = F.row_number().over(Window.partitionBy("part").orderBy("key"))
+    bound = inside.withColumn("rank", rank).where(F.col("start") + F.col("rank") == limit).select("key")
+    bound = cut_lineage(spark, bound, "last-of-sample")
     if bound.isEmpty():
         return df if limit else df.limit(0)
     # One row: the bound.
@@ -59,6 +69,25 @@ def status_counts(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return df.groupBy(*(keys or []), STATUS).agg(F.count(F.lit(1)).alias("samples"))
 
 
+#: Every status that a sample can have.
+STATUSES = ["ok", "too_long", "decode_failed", RECOGNITION_FAILED]
+
+
+def watch_statuses(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """The rows, and what will be the number of each status once an action has passed them."""
+    seen = Observation()
+    # A null status is no status of a sample, but is not lost.
+    counts = [F.count_if(F.col(STATUS) == name).alias(name) for name in STATUSES]
+    other = F.count_if(F.coalesce(~F.col(STATUS).isin(*STATUSES), F.lit(True))).alias("unknown")
+    return df.observe(seen, *counts, other), seen
+
+
+def counted_statuses(spark: SparkSession, seen: Observation) -> DataFrame:
+    """(status, samples) of the statuses that were seen."""
+    rows = [(name, n) for name, n in seen.get.items() if n]
+    return spark.createDataFrame(rows, f"{STATUS} string, samples long")
+
+
 def with_position(df: DataFrame, file: str, row: str, name: str = "position") -> DataFrame:
     """Number all rows from 0 in (file, row) order, without a global sort of the rows.
 
@@ -78,7 +107,7 @@ def with_position(df: DataFrame, file: str, row: str, name: str = "position") ->
         file, (F.col("start") + F.coalesce(F.sum("rows").over(inside), F.lit(0))).alias("offset")
     )
     # One short row per file; sample rows are too wide to shuffle for it.
-    lookup = as_lookup(offsets, max_rows=1_000_000, max_bytes=256 * 1024 * 1024)
+    lookup = as_lookup(offsets)
     joined = df.join(lookup, file)
     return joined.withColumn(name, F.col("offset") + F.col(row)).drop("offset")
 

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import sys
+import uuid
 from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import pandas as pd
+from pyspark.resource import ResourceProfile
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,10 +26,14 @@ def transcribe(
     batch_size: int = C.BATCH_SIZE,
     language_hint: str | None = None,
     only: str | None = None,
+    profile: ResourceProfile | None = None,
 ) -> DataFrame:
     """Add ``prediction`` and ``error``; the ``audio`` column is used up.
 
-    ``make_predictor`` runs once per task, at its first row that is recognized. Rows are
+    ``make_predictor`` runs once per Python worker, at the first row that is recognized
+    there; the worker keeps its predictor for all tasks of this call and lets go of that
+    of the call before. ``profile`` asks for the resources of the stage, such as a GPU a
+    task and the memory of a model. Rows are
     recognized where they are read; ``spark.sql.files.maxPartitionBytes`` sets how many
     tasks that makes, and a caller with few small files deals the rows out beforehand.
     Rows stream through in Arrow batches and are predicted ``batch_size`` at a
@@ -38,6 +46,7 @@ def transcribe(
         [*kept, T.StructField("prediction", T.StringType()), T.StructField("error", T.StringType())]
     )
     names = [field.name for field in kept]
+    call = uuid.uuid4().hex
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predict = None
@@ -45,7 +54,7 @@ def transcribe(
             wanted = frame if only is None else frame[frame[only]]
             inputs = wanted[audio].tolist()
             if inputs and predict is None:
-                predict = make_predictor()
+                predict = _kept_by_worker(call, make_predictor)
             found: list = []
             for start in range(0, len(inputs), batch_size):
                 found += _predict_batch(predict, inputs[start : start + batch_size], language_hint)
@@ -58,7 +67,22 @@ def transcribe(
     if only is not None:
         flag = F.coalesce(F.col(only), F.lit(False))
         df = df.withColumns({only: flag, audio: F.when(flag, F.col(audio))})
-    return df.mapInPandas(run, schema)
+    return df.mapInPandas(run, schema, profile=profile)
+
+
+def _kept_by_worker(call: str, make_predictor: Callable[[], Predictor]) -> Predictor:
+    """The predictor of a call, which a Python worker makes once and keeps from task to task.
+
+    Functions may travel to workers by value, and their globals with them, so it is kept
+    in a module that the worker has of its own.
+    """
+    memory = sys.modules.setdefault("_voxloom_predictors", ModuleType("_voxloom_predictors"))
+    if getattr(memory, "call", None) != call:
+        # The one before goes first, as two models may not fit.
+        memory.call = memory.predict = None
+        memory.predict = make_predictor()
+        memory.call = call
+    return memory.predict
 
 
 def _predict_batch(predict: Predictor, inputs: list, hint: str | None) -> list[tuple]:

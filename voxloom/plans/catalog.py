@@ -28,6 +28,7 @@ from voxloom.plans import compose, evaluate
 from voxloom.plans import views as V
 from voxloom.session import cut_lineage, scratch_path, spread_if_few_files
 from voxloom.sinks import writers as W
+from voxloom.sinks.published import published
 from voxloom.sources import corpus as S
 from voxloom.sources import tables as D
 from voxloom.streaming import incremental as I
@@ -107,6 +108,9 @@ def _aligned(parts: list[DataFrame], lookup: DataFrame) -> DataFrame:
 def _two_corpus_rows(spark: SparkSession, sf: str, lookup: DataFrame) -> DataFrame:
     parts = [V.first_corpus(spark, sf), V.second_corpus(spark, sf)]
     rows = _aligned([Z.mark_usable(part) for part in parts], lookup)
+    # Keys, file, flag and paths as a table: paths are looked up and counted from that.
+    rows = rows.select(*M.MANIFEST_KEYS, S.SOURCE_FILE, Z.KEEP, "audio")
+    rows = cut_lineage(spark, rows, "manifest-rows")
     paths = path_lookup(rows, V.audio_inventory(spark, sf), F.lit(V.ROOT))
     return count_replacements(rows, paths, [*M.MANIFEST_KEYS, S.SOURCE_FILE, Z.KEEP])
 
@@ -120,6 +124,22 @@ def manifest(spark: SparkSession, sf: str) -> DataFrame:
     return M.composition_manifest(rows, files)
 
 
+def column_guards(spark: SparkSession, sf: str) -> DataFrame:
+    """Which tables the guards refuse for lack of a column, and how many rows that keeps out."""
+    wanted = {"documents": ["text", "lang"], "conversations": ["ID"], "pages": ["url", "transcription", "audio"]}
+    found = []
+    for name, columns in wanted.items():
+        rows = V.table(spark, sf, name)
+        missing = None
+        try:
+            D.require_columns(rows, *columns)
+        except ValueError:
+            missing = ",".join(c for c in columns if c not in rows.columns)
+        counted = rows.agg(F.count(F.lit(1)).alias("rows"))
+        found.append(counted.select(F.lit(name).alias("table"), F.lit(missing).cast("string").alias("missing"), "rows"))
+    return S.union_all(found)
+
+
 def composition_gate(spark: SparkSession, sf: str) -> DataFrame:
     keys = [*M.MANIFEST_KEYS, "file"]
     rows = _two_corpus_rows(spark, sf, L.label_lookup(V.first_corpus(spark, sf)))
@@ -156,8 +176,8 @@ def compose_corpus(spark: SparkSession, sf: str) -> DataFrame:
         roots.append(_written(spark, rows, name, *S.PARTITION_KEYS))
     composition = compose.compose_two(spark, roots[0], "first", roots[1], "second")
     out = scratch_path(spark, "combined")
-    compose.write_composition(composition, out, roots)
-    return S.read_partitioned(spark, out).select(
+    compose.publish_composition(composition, out, roots)
+    return S.read_partitioned(spark, published(spark, out)).select(
         "doc_id", "corpus", "split", "language", "source_split", "origin", "text", "quality", "source"
     )
 
@@ -168,9 +188,8 @@ def compose_many(spark: SparkSession, sf: str) -> DataFrame:
     roots = [_written(spark, rows, "root", *S.PARTITION_KEYS) for rows in (first, second)]
     rows = compose.compose_roots(spark, roots).manifest()
     keys = ["corpus", "source_split", "destination_split", "source_language", "language"]
-    return rows.groupBy(*keys).agg(
-        F.sum("rows_before").alias("rows_before"), F.sum("rows_after").alias("rows_after")
-    )
+    counters = ["rows_before", "rows_after", "dropped_rows", "normalized_audio_paths"]
+    return rows.groupBy(*keys).agg(*[F.sum(name).alias(name) for name in counters])
 
 
 # Sources
@@ -529,7 +548,7 @@ def evaluation_errors(spark: SparkSession, sf: str) -> DataFrame:
 
 def evaluation_metrics(spark: SparkSession, sf: str) -> DataFrame:
     _, out = _evaluated(spark, sf)
-    fields = "dataset string, config string, split string, num_samples long, model_card string"
+    fields = "dataset string, config string, split string, num_samples long, model_card string, omni_lang string, cer double"
     return spark.read.schema(fields).json(f"{out}/a_card_en_asr_test.metrics.json")
 
 
@@ -697,7 +716,22 @@ def stream_predictions(spark: SparkSession, sf: str) -> DataFrame:
     out = scratch_path(spark, "stream-out")
     query = I.append_predictions(timed, without_e, "text", out, scratch_path(spark, "stream-state"))
     query.awaitTermination()
-    return spark.read.schema("doc_id bigint, prediction string").json(out)
+    return spark.read.schema("doc_id bigint, prediction string").json(out).select("doc_id", "prediction")
+
+
+def stream_skips(spark: SparkSession, sf: str) -> DataFrame:
+    """Statuses as the stream's writing pass counts them, over all its micro-batches."""
+    staged = scratch_path(spark, "samples")
+    rows = V.utterances(spark, sf).select("doc_id", "text", "num_samples", "language")
+    rows.repartition(6).write.parquet(staged)
+    samples = I.read_new_files(spark, staged, spark.read.parquet(staged).schema, files_per_trigger=2)
+    rate = F.when(F.col("language") == "es", 0).otherwise(C.SAMPLE_RATE)
+    timed = E.with_duration_status(samples, F.col("num_samples"), rate)
+    out, counts = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-counts")
+    state = scratch_path(spark, "stream-state")
+    I.append_predictions(timed, without_e, "text", out, state, counts=counts).awaitTermination()
+    written = spark.read.schema("status string, samples long").json(counts)
+    return written.groupBy("status").agg(F.sum("samples").alias("samples"))
 
 
 def stream_totals(spark: SparkSession, sf: str) -> DataFrame:
@@ -708,7 +742,7 @@ def stream_totals(spark: SparkSession, sf: str) -> DataFrame:
     stream = I.read_new_files(spark, staged, spark.read.parquet(staged).schema, files_per_trigger=2)
     out = scratch_path(spark, "totals")
     I.keep_totals(stream, ["role"], out, scratch_path(spark, "totals-state")).awaitTermination()
-    rates = Q.with_rates(spark.read.parquet(out))
+    rates = Q.with_rates(I.last_totals(spark, out))
     return rates.select("role", "num_samples", *Q.COUNTS, "wer", "cer", "skipped")
 
 
@@ -723,6 +757,7 @@ QUERIES = [
     pair_lookup,
     compose_union,
     manifest,
+    column_guards,
     composition_gate,
     manifest_round_trip,
     resolve_paths,
@@ -790,5 +825,6 @@ QUERIES = [
     report_summary,
     full_report,
     stream_predictions,
+    stream_skips,
     stream_totals,
 ]

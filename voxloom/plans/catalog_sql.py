@@ -273,7 +273,15 @@ WHERE {KEEP} AND (source = 'second' OR num_samples >= 400)""",
     "compose_many": f"""WITH {COMPOSED} SELECT corpus, split AS source_split,
 CASE WHEN split IN ('validation', 'dev') THEN 'validation' ELSE 'train' END AS destination_split,
 source_language, source_language AS language, count(*) AS rows_before,
-count(*) FILTER ({KEEP} AND (source = 'second' OR num_samples >= 400)) AS rows_after FROM sources GROUP BY ALL""",
+count(*) FILTER ({KEEP} AND (source = 'second' OR num_samples >= 400)) AS rows_after,
+count(*) FILTER (NOT ({KEEP} AND (source = 'second' OR coalesce(num_samples >= 400, false)))) AS dropped_rows,
+0::BIGINT AS normalized_audio_paths FROM sources GROUP BY ALL""",
+    "column_guards": """SELECT 'documents' AS "table", NULL::VARCHAR AS missing, count(*) AS rows FROM documents
+UNION ALL SELECT 'conversations', 'ID', count(*) FROM conversations
+UNION ALL SELECT 'pages', 'transcription,audio', count(*) FROM pages""",
+    "stream_skips": f"""WITH {UTTERANCES} SELECT CASE WHEN language = 'es' THEN 'decode_failed'
+WHEN num_samples / 16000e0 > 40 THEN 'too_long' WHEN num_samples IS NULL THEN 'decode_failed' ELSE 'ok' END AS status,
+count(*) AS samples FROM utterances GROUP BY 1""",
     "partitioned_scan": f"WITH {UTTERANCES} SELECT doc_id, corpus, split, language, audio_size FROM utterances",
     "partition_files": f"WITH {UTTERANCES} SELECT DISTINCT corpus, split, language FROM utterances",
     "raw_shard_scan": f"""WITH {UTTERANCES} SELECT doc_id, 'ASR' AS layout, language, split, '00000' AS shard, audio_size
@@ -341,8 +349,12 @@ replace(text, 'e', '') AS prediction, 'a card' AS model_card FROM documents
 WHERE lang <> 'es' AND (strlen(text) // (doc_id % 2 + 1)) / (CASE WHEN lang = 'fr' THEN 8000e0 ELSE 16000e0 END) <= 0.1 AND NOT contains(text, 'ou')""",
     "evaluation_errors": """SELECT doc_id::VARCHAR AS id, 'unheard' AS error FROM documents WHERE lang <> 'es' AND contains(text, 'ou')
 AND (strlen(text) // (doc_id % 2 + 1)) / (CASE WHEN lang = 'fr' THEN 8000e0 ELSE 16000e0 END) <= 0.1""",
-    "evaluation_metrics": """SELECT 'docs' AS dataset, 'en_asr' AS config, 'test' AS split, count(*) AS num_samples, 'a card' AS model_card
-FROM documents WHERE lang <> 'es' AND NOT contains(text, 'ou')
+    "evaluation_metrics": f"""WITH texts AS (
+  SELECT lang, text, doc_id, replace({NORMALIZED % "text"}, ' ', '') AS ref,
+    replace({NORMALIZED % "replace(text, 'e', '')"}, ' ', '') AS hyp FROM documents)
+SELECT 'docs' AS dataset, 'en_asr' AS config, 'test' AS split, count(*) AS num_samples, 'a card' AS model_card,
+NULL::VARCHAR AS omni_lang, sum(length(ref) - length(hyp)) / sum(length(ref)) AS cer
+FROM texts WHERE lang <> 'es' AND NOT contains(text, 'ou')
 AND (strlen(text) // (doc_id % 2 + 1)) / (CASE WHEN lang = 'fr' THEN 8000e0 ELSE 16000e0 END) <= 0.1""",
     "evaluation_skips": """SELECT CASE WHEN lang = 'es' THEN 'decode_failed'
   WHEN (strlen(text) // (doc_id % 2 + 1)) / (CASE WHEN lang = 'fr' THEN 8000e0 ELSE 16000e0 END) > 0.1 THEN 'too_long'

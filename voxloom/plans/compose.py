@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from voxloom.operators.joins import RESERVED
 from voxloom.operators.paths import count_replacements, path_lookup, replace_paths
 from voxloom.operators.sanitize import KEEP, mark_usable
 from voxloom.session import cut_lineage
+from voxloom.sinks.published import current_version, publish
 from voxloom.sinks.writers import refuse_overlap, write_corpus, write_manifest
 from voxloom.sources import corpus as S
 
@@ -141,15 +143,40 @@ def write_composition(composition: Composition, out: str, sources: list[str]) ->
     The manifest is counted once and kept as a table; the gates and the sink
     read that.
     """
-    refuse_overlap(out, sources)
+    manifest = _checked_manifest(composition, out, sources)
+    _write(composition, manifest, out)
+    return manifest
+
+
+def publish_composition(
+    composition: Composition, out: str, sources: list[str], version: str | None = None
+) -> DataFrame:
+    """As ``write_composition``, as a version of its own that readers of ``out`` see when it is whole.
+
+    The manifest is written after the corpus, and the pointer after both. Running again
+    under the same ``version`` replaces what a dead run left. ``published`` names the
+    folder to read.
+    """
+    manifest = _checked_manifest(composition, out, sources)
     spark = composition.rows.sparkSession
-    manifest = cut_lineage(spark, composition.manifest(), "manifest")
+    if version is not None and version == current_version(spark, out):
+        raise ValueError(f"version {version} of {out} is being read; name another")
+    publish(spark, out, version or uuid.uuid4().hex, lambda folder: _write(composition, manifest, folder))
+    return manifest
+
+
+def _checked_manifest(composition: Composition, out: str, sources: list[str]) -> DataFrame:
+    refuse_overlap(out, sources)
+    manifest = cut_lineage(composition.rows.sparkSession, composition.manifest(), "manifest")
     M.check_composition(manifest)
-    write_corpus(composition.corpus(), out)
-    write_manifest(manifest.orderBy(*composition.keys), out)
     return manifest
 
 
+def _write(composition: Composition, manifest: DataFrame, folder: str) -> None:
+    write_corpus(composition.corpus(), folder)
+    write_manifest(manifest.orderBy(*composition.keys), folder)
+
+
 def _named_files(listed: DataFrame, **columns: Column) -> DataFrame:
     named = listed.withColumn(S.SOURCE_FILE, F.col("path"))
     return named.withColumn("source_language", F.col("language")).withColumns(columns)

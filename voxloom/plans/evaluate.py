@@ -119,8 +119,8 @@ def evaluate(
     """Write predictions, errors and metrics below ``out``; returns the counts by status.
 
     Samples on which the recognizer fails have a status and an error of their own and
-    are not scored.     The cap and the positions come before any sample is skipped. Audio is read
-    and recognized in one pass, whose results are kept as a table.
+    are not scored. The cap and the positions come before any sample is skipped. Audio is read
+    and recognized in one pass, whose results are kept as a table and which counts the statuses.
     """
     D.require_columns(samples, "transcription", "audio")
     if "id" not in samples.columns:
@@ -142,15 +142,15 @@ def evaluate(
     )
     failed = E.is_scorable() & F.col("prediction").isNull()
     heard = heard.withColumn(E.STATUS, F.when(failed, E.RECOGNITION_FAILED).otherwise(F.col(E.STATUS)))
-    heard = cut_lineage(spark, heard, "heard")
+    watched, seen = E.watch_statuses(heard)
+    heard = cut_lineage(spark, watched, "heard")
+    counts = seen.get
     name = run.output_name
     unheard = heard.where(F.col(E.STATUS) == E.RECOGNITION_FAILED)
     sample = F.col("id" if "id" in heard.columns else "position").cast("string")
     W.write_json(unheard.select(sample.alias("id"), "error"), f"{out}/{name}.errors.jsonl")
-    share = heard.where(E.is_scorable() | (F.col(E.STATUS) == E.RECOGNITION_FAILED)).agg(
-        F.avg((F.col(E.STATUS) == E.RECOGNITION_FAILED).cast("double"))
-    )
-    share = share.first()[0] or 0.0
+    failed = counts[E.RECOGNITION_FAILED]
+    share = failed / max(1, failed + counts["ok"])
     if share > run.max_failed_share:
         raise RuntimeError(f"the recognizer failed on {share:.1%} of the samples; see {out}/{name}.errors.jsonl")
     rows = E.prediction_rows(
@@ -159,7 +159,7 @@ def evaluate(
     W.write_json(rows, f"{out}/{name}.jsonl")
     summary = Q.run_summary(rows, run.dataset, run.language_hint)
     W.write_json(summary, f"{out}/{name}.metrics.json")
-    return E.status_counts(heard)
+    return E.counted_statuses(spark, seen)
 
 
 def fill_submission(

@@ -107,11 +107,19 @@ def as_lookup(df: DataFrame, name: str = "lookup", **bounds: int) -> DataFrame:
 
 
 def spread_if_few_files(df: DataFrame) -> DataFrame:
-    """Use every core for costly row work on a table of fewer files than cores.
+    """Use every core for costly row work on a table of fewer splits than cores.
 
-    Large inputs have enough splits and are left where they are.
+    Large inputs have enough splits and are left where they are. Spark plans them without
+    reading rows; no file name reaches Python.
     """
     if df.isStreaming:
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if scan_splits(df) < cores else df
+
+
+def scan_splits(df: DataFrame) -> int:
+    """Splits of the widest scan below a plan, as the file sources plan them."""
+    scans = df._jdf.queryExecution().sparkPlan().collectLeaves()
+    widths = [scans.apply(i).execute().getNumPartitions() for i in range(scans.size())]
+    return max(widths, default=0)

@@ -10,9 +10,11 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from voxloom import constants as C
-from voxloom.operators.evaluation import STATUS, is_scorable, scorable
+from voxloom.operators.evaluation import STATUS, counted_statuses, is_scorable, watch_statuses
 from voxloom.operators.inference import Predictor, transcribe
+from voxloom.operators.joins import RESERVED
 from voxloom.operators.scoring import COUNTS, score_rows, score_totals
+from voxloom.sinks.published import current_version, prune, publish, version_folder
 
 
 def read_new_files(
@@ -30,32 +32,47 @@ def append_predictions(
     out: str,
     checkpoint: str,
     batch_size: int = C.BATCH_SIZE,
+    counts: str | None = None,
 ) -> StreamingQuery:
-    """Predict the scorable samples of each micro-batch and append them as JSON.
+    """Predict the scorable samples of each micro-batch and write them as JSON in ``out/batch=<id>``.
 
     Runs until all files present are done; a restart with the same checkpoint
-    goes on after the last finished micro-batch.
+    goes on after the last finished micro-batch, and one that runs again replaces what it
+    wrote before. ``counts`` names a folder for the samples of each status, which the pass
+    that writes the predictions observes: all samples go through it, and only the scorable
+    ones to the recognizer.
     """
-    predicted = transcribe(scorable(samples), make_predictor, audio, batch_size)
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        flagged = batch.withColumn(_SCORABLE, F.coalesce(is_scorable(), F.lit(False)))
+        heard = transcribe(flagged, make_predictor, audio, batch_size, only=_SCORABLE)
+        watched, seen = watch_statuses(heard)
+        kept = watched.where(_SCORABLE).drop(_SCORABLE)
+        kept.write.mode("overwrite").option("ignoreNullFields", "false").json(f"{out}/batch={number}")
+        if counts is not None:
+            counted_statuses(spark, seen).coalesce(1).write.mode("overwrite").json(f"{counts}/batch={number}")
+
     return (
-        predicted.writeStream.format("json")
-        .option("path", out)
-        .option("ignoreNullFields", "false")
+        samples.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .outputMode("append")
         .trigger(availableNow=True)
         .start()
     )
 
 
+_SCORABLE = f"{RESERVED}scorable"
+
+
 def keep_totals(
     predictions: DataFrame, keys: list[str], out: str, checkpoint: str
 ) -> StreamingQuery:
-    """Running sums of edits and units per group, rewritten after each micro-batch.
+    """Running sums of edits and units per group; read them with ``last_totals``.
 
     Where predictions have a ``status``, only those that are ok are scored; ``skipped``
     counts the others. The state is one row of sums per group; rates follow from the sums with
-    ``with_rates``.
+    ``with_rates``. Each micro-batch publishes its totals as a version of its own, so that
+    readers see the last whole one, whether a batch dies or runs again.
     """
     if STATUS not in predictions.columns:
         totals = score_totals(score_rows(predictions), keys)
@@ -68,8 +85,25 @@ def keep_totals(
         )
     return (
         totals.writeStream.outputMode("complete")
-        .foreachBatch(lambda batch, _: batch.write.mode("overwrite").parquet(out))
+        .foreachBatch(lambda batch, number: publish_totals(batch, number, out))
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+
+
+def publish_totals(batch: DataFrame, number: int, out: str) -> None:
+    """Publish the totals after a micro-batch; a batch that is published already changes nothing."""
+    spark = batch.sparkSession
+    if current_version(spark, out) == str(number):
+        return
+    publish(spark, out, str(number), lambda folder: batch.write.mode("overwrite").parquet(folder))
+    prune(spark, out)
+
+
+def last_totals(spark: SparkSession, out: str) -> DataFrame:
+    """The totals after the last micro-batch that was published."""
+    version = current_version(spark, out)
+    if version is None:
+        raise FileNotFoundError(f"no totals published in {out}")
+    return spark.read.parquet(version_folder(out, version))
