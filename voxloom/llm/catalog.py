@@ -49,8 +49,7 @@ def op4_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
-    return plm.score(documents, plm.fit(documents))
+    return plm.score_corpus(table(spark, sf_dir, "documents"))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
