@@ -2,9 +2,11 @@ import math
 import random
 from collections import Counter
 
+import duckdb
 import numpy as np
 import pytest
 
+from tests.compare import difference
 from tests.llm.helpers import SF, WORD
 from voxloom.llm import catalog, divergence
 
@@ -101,3 +103,16 @@ def test_repeated_words():
         text = " ".join(r.choices("abc", k=r.randint(0, 30)))
         assert divergence.repeated_words(text.encode().split()) == base(text)[4]
     assert divergence.repeated_words([b"x"] * 200_000) == 200_000
+
+
+def test_sql_judges_small_and_null_languages(spark, tmp_path):
+    r = random.Random(4)
+    words = "the of and stone river walks under a bright early morning".split() + [f"{a}{b}" for a in "bdlm" for b in ("ane", "old", "int", "ush")]
+    prose = lambda: " ".join(r.choices(words, k=300)) + "."
+    data = [(k, prose() * (40 if lang == "en" else 1), lang) for k, lang in enumerate(["en"] * 80 + ["xx"] * 5 + [None] * 5)]
+    data += [(k, prose().upper(), lang) for k, lang in ((100, "en"), (101, "xx"), (102, None))] + [(103, None, None), (104, "", "yy")]
+    df = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    assert difference(spark, con, catalog.op7_quality, catalog.SQL["op7_quality"], str(tmp_path)) is None

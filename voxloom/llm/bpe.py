@@ -294,31 +294,6 @@ def _spans(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - ends + counts, counts)
 
 
-def encode(self, text: str) -> array:
-        ids, v = array("i"), self.vocabulary
-        for part in v.cut.split(text) if v.cut else [text]:
-            if part in v.special:
-                ids.append(v.special[part])
-            else:
-                ids.extend(chain.from_iterable(self.words.all(WORDS.findall(part))))
-        return ids
-
-
-def encode(self, text: str) -> array:
-        ids, v = array("i"), self.vocabulary
-        for part in v.cut.split(text) if v.cut else [text]:
-            if part in v.special:
-                ids.append(v.special[part])
-            elif _LOOSE_SPACE.search(part):
-                ids.extend(chain.from_iterable(self.words.all(WORDS.findall(part))))
-            elif part:
-                # A space between two other characters always begins a word.
-                first, *rest = part.split(" ")
-                pieces = [first, *[" " + p for p in rest]]
-                ids.extend(chain.from_iterable(self.pieces.all(pieces)))
-        return ids
-
-
 def encode(text: Column, path: str) -> Column:
     """Token ids of each text, as an array of int; null is the empty text.
 

@@ -89,7 +89,8 @@ URL_RULES = [
 
 
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    rules = F.array(*(F.struct(*map(F.lit, r)) for r in URL_RULES)).cast("array<struct<host: string, path: string, verdict: string>>")
+    rules = spark.range(1).select(F.inline(rules))
     judged = urlrules.judge(table(spark, sf_dir, "pages"), rules)
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
@@ -276,7 +277,8 @@ SQL: dict[str, str] = {
     """,
     "op7_quality": f"""
         WITH texts AS (
-            SELECT doc_id, lang, coalesce(text, '') AS text,
+            -- A language of its own stands for null.
+            SELECT doc_id, coalesce(lang, chr(1)) AS lang, coalesce(text, '') AS text,
                 regexp_extract_all(coalesce(text, ''), '[^{_SPACE}]+') AS words,
                 list_filter(string_split(coalesce(text, ''), chr(10)),
                     lambda l: regexp_matches(l, '[^{_SPACE}]')) AS lines
@@ -298,7 +300,7 @@ SQL: dict[str, str] = {
                 length(regexp_replace(text, '[{_SPACE}]', '', 'g')) AS word_chars, symbol AS n_symbols,
                 len(lines) - len(list_distinct(lines)) AS n_dup_lines,
                 coalesce(n_repeat_words, 0) AS n_repeat_words
-            FROM texts JOIN classes USING (doc_id, lang) LEFT JOIN repeated USING (doc_id)
+            FROM texts JOIN (SELECT * EXCLUDE (lang) FROM classes) USING (doc_id) LEFT JOIN repeated USING (doc_id)
         ),
         said AS (
             SELECT doc_id, lang, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
@@ -306,12 +308,9 @@ SQL: dict[str, str] = {
             FROM texts
         ),
         by_word AS (SELECT lang, word, count(*) AS n FROM said GROUP BY lang, word),
-        languages AS (
-            SELECT lang, sum(n) AS words FROM by_word GROUP BY lang
-            QUALIFY sum(n) >= 1e-4 * sum(sum(n)) OVER ()
-        ),
+        languages AS (SELECT lang, sum(n) AS words FROM by_word GROUP BY lang),
         common AS (
-            SELECT lang, word, n FROM by_word SEMI JOIN languages USING (lang)
+            SELECT lang, word, n FROM by_word
             QUALIFY row_number() OVER (PARTITION BY lang ORDER BY n DESC, word) <= 50
         ),
         own AS (

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.llm.common import checked
-from voxloom.session import as_lookup, cut_lineage
+from voxloom.session import as_lookup, cut_lineage, qualified
 from voxloom.sources.corpus import open_files
 
 #: Fixed values of the formats.
@@ -221,6 +221,8 @@ def write_archives(df: DataFrame, folder: str, id_column: str = "page_id", url_c
     """
     checked(df, id_column, url_column, payload_column)
     spark = df.sparkSession
+    # Tasks open archives by themselves, so they have to know the file system.
+    folder = qualified(spark, folder)
     key = F.col(f"`{id_column}`")
     rows = df.select(
         key.alias("id"),
