@@ -310,15 +310,25 @@ def test_batches_respect_the_padded_budget(spark):
     planned = H.plan_batches(df, ["id"], rows_per_shard=300)
     rows = planned.collect()
     assert len(rows) == len(sizes)
-    batches = {}
+    budget, batches = C.MAX_AUDIO_SAMPLES["ctc"], {}
     for r in rows:
-        if r.audio_size > C.MAX_AUDIO_SAMPLES["ctc"]:
+        if r.audio_size > budget:
             assert r.batch is None
         else:
-            batches.setdefault((r.shard, r.capacity, r.batch), []).append(r.audio_size)
-    for members in batches.values():
-        assert len(members) * max(members) <= C.MAX_AUDIO_SAMPLES["ctc"]
-    assert len({r.shard for r in rows}) == 7
+            batches.setdefault(r.batch, []).append(r.audio_size)
+    assert sorted(batches) == list(range(len(batches)))
+    for number, members in batches.items():
+        most = budget // max(members)
+        assert len(members) <= most
+        # All are full but the last.
+        assert len(members) == most or number == len(batches) - 1
+    told = H.batch_padding(planned).first()
+    assert told.batches == len(batches) and told.samples == sum(map(sum, batches.values()))
+    assert told.padding == sum(len(m) * max(m) - sum(m) for m in batches.values())
+    one = H.plan_batches(df.where("id < 700"), ["id"], rows_per_shard=50)
+    assert one.select("batch").distinct().count() == -(-700 // 30)
+    assert H.plan_batches(df.limit(0), ["id"]).count() == 0
+    assert tuple(H.batch_padding(H.plan_batches(df.limit(0), ["id"])).first()) == (0, 0, 0, 0)
 
 
 def test_mixture_weights(spark):

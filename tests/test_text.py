@@ -1,10 +1,12 @@
 """Text functions against plain Python on edge rows and random word lists."""
 
 import random
+import time
 
 from pyspark.sql import functions as F
 
 from voxloom.functions import text as T
+from voxloom.operators.scoring import score_rows
 
 
 def textbook_distance(a, b):
@@ -83,3 +85,38 @@ def test_symbols_stay_distinct_around_the_surrogate_range(spark):
     )
     assert decoded.where(F.length("c") == 1).distinct().count() == 0x40
     assert decoded.where(F.col("c").isin("?", "\ufffd")).count() == 0
+
+
+def test_long_pairs_equal_the_textbook(spark):
+    r = random.Random(5)
+    pairs = []
+    for size, edits in ((300, 3), (400, 40), (700, 300), (1500, 12), (1500, 1400)):
+        left = [r.choice("abcdefgh") for _ in range(size)]
+        right = list(left)
+        for _ in range(edits):
+            at = r.randrange(len(right))
+            kind = r.randrange(3)
+            right[at : at + (kind > 0)] = [r.choice("abcdefgh")] if kind < 2 else []
+        pairs.append((" ".join(left), " ".join(right)))
+    pairs += [("x" * 900, "y" * 5), ("z " * 400, ""), ("a" * 257, "a" * 256)]
+    df = spark.createDataFrame(pairs, "reference string, prediction string")
+    known = {}
+    for beyond in (None, 0, 500):
+        for row in score_rows(df, beyond=beyond).collect():
+            left, right = row.reference.split(), row.prediction.split()
+            if row.reference not in known:
+                known[row.reference] = textbook_distance(left, right), textbook_distance("".join(left), "".join(right))
+            assert (row.word_edits, row.char_edits) == known[row.reference]
+            assert (row.word_total, row.char_total) == (len(left), sum(map(len, left)))
+
+
+def test_an_hour_of_words_with_few_edits_is_quick(spark):
+    r = random.Random(6)
+    words = [r.choice("river stone light under morning walk slow over".split()) for _ in range(12_000)]
+    other = [w if k % 400 else "changed" for k, w in enumerate(words)]
+    df = spark.createDataFrame([(" ".join(words), " ".join(other)), (None, "x"), ("y", "y")], "reference string, prediction string")
+    start = time.monotonic()
+    rows = score_rows(df, beyond=2000).collect()
+    # The whole table of characters has over three billion cells.
+    assert rows[0].word_edits == 30 and 30 <= rows[0].char_edits <= 30 * 7 and time.monotonic() - start < 20
+    assert [(r.word_edits, r.char_edits) for r in rows[1:]] == [(1, 1), (0, 0)]

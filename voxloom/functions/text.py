@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,6 +56,42 @@ def char_count(normalized: Column) -> Column:
     return F.length(characters(normalized)).cast("long")
 
 
+def far_edits(left: Column, right: Column) -> Column:
+    """Edit distance of long texts in Python, where whole columns of its table are single numbers.
+
+    The built-in function takes time by the product of the lengths, with a threshold too.
+    The arguments have to be plain columns; null gives null.
+    """
+    return F.pandas_udf(_distances, "long")(left, right)
+
+
+def _distances(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    for lefts, rights in parts:
+        pairs = zip(lefts, rights)
+        yield pd.Series([None if a is None or b is None else bit_distance(a, b) for a, b in pairs], dtype="Int64")
+
+
+def bit_distance(left: str, right: str) -> int:
+    """Edit distance with the steps down a column of the table as bits of two numbers."""
+    if not left or not right:
+        return len(left) + len(right)
+    size = len(left)
+    at: dict[str, int] = {}
+    for i, symbol in enumerate(left):
+        at[symbol] = at.get(symbol, 0) | 1 << i
+    every, last = (1 << size) - 1, 1 << (size - 1)
+    up, down, distance = every, 0, size
+    for symbol in right:
+        same = at.get(symbol, 0)
+        level = same | down
+        along = ((same & up) + up ^ up) | same
+        more, less = down | every & ~(along | up), up & along
+        distance += bool(more & last) - bool(less & last)
+        more, less = (more << 1 | 1) & every, less << 1 & every
+        up, down = less | every & ~(level | more), more & level
+    return distance
+
+
 def char_edits(reference: Column, hypothesis: Column) -> Column:
     """Edit distance over the code points of two normalized texts."""
     left, right = characters(reference), characters(hypothesis)
@@ -72,10 +111,24 @@ def symbol_digits(position: Column, unshared: int) -> Column:
 
 
 def word_edits(reference: Column, hypothesis: Column) -> Column:
-    """Edit distance over the words of two normalized texts.
+    """Edit distance over the words of two normalized texts, by the built-in ``levenshtein``."""
+    distances = F.transform(
+        _spelled_words(reference, hypothesis), lambda s: F.levenshtein(s["ref"], s["hyp"])
+    )
+    return (
+        F.when(reference == hypothesis, F.lit(0)).otherwise(F.element_at(distances, 1)).cast("long")
+    )
 
-    Each word becomes one code point, so the built-in ``levenshtein`` counts
-    words. Only a word found on both sides can ever match, hence only those get
+
+def word_symbols(reference: Column, hypothesis: Column) -> Column:
+    """Struct of ``ref`` and ``hyp``: the two texts with a code point for each word."""
+    return F.element_at(_spelled_words(reference, hypothesis), 1)
+
+
+def _spelled_words(reference: Column, hypothesis: Column) -> Column:
+    """Each word becomes one code point, so that a distance of texts counts words.
+
+    Only a word found on both sides can ever match, hence only those get
     symbols of their own; the others share one symbol per side.
     """
 
@@ -94,12 +147,9 @@ def word_edits(reference: Column, hypothesis: Column) -> Column:
             F.array_intersect(s["ref"], s["hyp"]).alias("shared"),
         ),
     )
-    distances = F.transform(
+    return F.transform(
         with_shared,
-        lambda s: F.levenshtein(
-            spelled(s["ref"], s["shared"], 1), spelled(s["hyp"], s["shared"], 2)
+        lambda s: F.struct(
+            spelled(s["ref"], s["shared"], 1).alias("ref"), spelled(s["hyp"], s["shared"], 2).alias("hyp")
         ),
     )
-    return (
-        F.when(reference == hypothesis, F.lit(0)).otherwise(F.element_at(distances, 1)).cast("long")
-    )

@@ -6,25 +6,60 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.functions import text as T
+from voxloom.operators.joins import RESERVED
 from voxloom.session import spread_if_few_files
 
 COUNTS = ["word_edits", "word_total", "char_edits", "char_total"]
 
 
-def score_rows(df: DataFrame, reference: str = "reference", prediction: str = "prediction") -> DataFrame:
-    """Add edit and unit counts per row; a null text counts as empty."""
+def score_rows(
+    df: DataFrame, reference: str = "reference", prediction: str = "prediction", beyond: int | None = None
+) -> DataFrame:
+    """Add edit and unit counts per row; a null text counts as empty.
+
+    Where transcripts are hours long, ``beyond`` (some 2,000) names the number of words or
+    characters from which pairs are compared in Python, in a fraction of the time.
+    """
     normalized = spread_if_few_files(df).withColumns(
         {"ref_norm": T.normalize(F.col(reference)), "hyp_norm": T.normalize(F.col(prediction))}
     )
     ref, hyp = F.col("ref_norm"), F.col("hyp_norm")
+    edits = {"word_edits": T.word_edits(ref, hyp), "char_edits": T.char_edits(ref, hyp)}
+    if beyond is not None:
+        normalized, edits = _with_far_edits(normalized, edits, beyond)
     return normalized.withColumns(
         {
-            "word_edits": T.word_edits(ref, hyp),
+            "word_edits": edits["word_edits"],
             "word_total": T.word_count(ref),
-            "char_edits": T.char_edits(ref, hyp),
+            "char_edits": edits["char_edits"],
             "char_total": T.char_count(ref),
         }
-    ).drop("ref_norm", "hyp_norm")
+    ).drop("ref_norm", "hyp_norm", _TEXTS, _EDITS)
+
+
+_TEXTS, _EDITS = f"{RESERVED}texts", f"{RESERVED}far"
+
+
+def _with_far_edits(normalized: DataFrame, edits: dict[str, Column], beyond: int) -> tuple[DataFrame, dict[str, Column]]:
+    """The edits, of pairs with a side of more than ``beyond`` words or characters by a function of their own."""
+    ref, hyp = F.col("ref_norm"), F.col("hyp_norm")
+    many = F.greatest(T.word_count(ref), T.word_count(hyp)) > beyond
+    wide = F.greatest(T.char_count(ref), T.char_count(hyp)) > beyond
+    spelt = T.word_symbols(ref, hyp)
+    texts = F.struct(
+        F.when(many, spelt["ref"]).alias("words_ref"), F.when(many, spelt["hyp"]).alias("words_hyp"),
+        F.when(wide, T.characters(ref)).alias("chars_ref"), F.when(wide, T.characters(hyp)).alias("chars_hyp"),
+    )
+    # One-element explodes keep the Python function apart from the expressions around it.
+    staged = normalized.select("*", F.explode(F.array(texts)).alias(_TEXTS))
+    far = F.struct(*(
+        T.far_edits(F.col(f"{_TEXTS}.{kind}_ref"), F.col(f"{_TEXTS}.{kind}_hyp")).alias(kind) for kind in ("words", "chars")
+    ))
+    staged = staged.select("*", F.explode(F.array(far)).alias(_EDITS))
+    return staged, {
+        "word_edits": F.when(many, F.col(f"{_EDITS}.words")).otherwise(edits["word_edits"]),
+        "char_edits": F.when(wide, F.col(f"{_EDITS}.chars")).otherwise(edits["char_edits"]),
+    }
 
 
 def error_rate(edits: Column, units: Column) -> Column:

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from voxloom import constants as C
 from voxloom.functions.parsing import fixed_decimals
+from voxloom.operators.joins import RESERVED
+from voxloom.session import as_lookup, cut_lineage
 from voxloom.sources.corpus import PARTITION_KEYS
 from voxloom.sources.tables import require_columns
 
@@ -120,21 +122,67 @@ def plan_batches(
     budget: int = C.MAX_AUDIO_SAMPLES["ctc"],
     rows_per_shard: int = 100_000,
 ) -> DataFrame:
-    """Assign rows to batches whose padded size stays within ``budget``.
+    """Number the ``batch`` of each row, so that no batch's padded size exceeds ``budget``.
 
     A row of n samples may share a batch with rows of at most n samples up to
-    ``budget // n`` of them, so rows are grouped by that capacity and filled in
-    order of size: capacity times the largest row never exceeds the budget.
-    Groups are split into shards by a hash of the unique ``row_id``; the shard
-    count follows the row count, so no window group grows with the data even if
-    all rows have one size. Rows above the budget get no batch.
+    ``budget // n`` of them, its ``capacity``. Rows are lined up by capacity, the longest
+    first, and a batch takes as many as the capacity of its first: where a capacity ends,
+    its last batch is filled from the next. So all batches but the last are full. What
+    a capacity leaves open is carried by a scan over the capacities, of which there are at
+    most twice the root of ``budget``. Places within a capacity are counted in shards by
+    a hash of the unique ``row_id``, whose number follows the row count, so no window
+    group grows with the data even if all rows have one size. Rows above the budget get
+    no batch.
     """
+    spark = df.sparkSession
     shards = max(1, -(-df.count() // rows_per_shard))
     digest = F.md5(F.concat_ws("\0", *[F.col(name).cast("string") for name in row_id]))
     shard = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % shards
-    capacity = F.floor(F.try_divide(F.lit(float(budget)), F.greatest(F.col(size), F.lit(1))))
-    placed = df.withColumns({"shard": shard, "capacity": capacity})
-    order = Window.partitionBy("shard", "capacity").orderBy(size, *row_id)
-    position = F.row_number().over(order) - 1
-    number = F.floor(F.try_divide(position, F.col("capacity")))
-    return placed.withColumn("batch", F.when(F.col("capacity") > 0, number).cast("bigint"))
+    capacity = F.floor(F.try_divide(F.lit(float(budget)), F.greatest(F.col(size), F.lit(1)))).cast("bigint")
+    placed = df.withColumns({_SHARD: shard, "capacity": capacity})
+
+    cells = placed.where("capacity > 0").groupBy("capacity", _SHARD).agg(F.count(F.lit(1)).alias("rows"))
+    before = Window.partitionBy("capacity").orderBy(_SHARD).rowsBetween(Window.unboundedPreceding, -1)
+    cells = cells.withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0).cast("bigint")))
+    cells = cut_lineage(spark, cells, "batch-cells")
+    lined = cells.groupBy("capacity").agg(F.sum("rows").alias("rows"))
+    lined = lined.agg(F.sort_array(F.collect_list(F.struct("capacity", "rows"))).alias("all"))
+    carried = lined.select(F.inline(F.aggregate("all", F.expr(_NO_RUNS), _next_run)["runs"]))
+    places = as_lookup(cells.drop("rows").join(F.broadcast(carried), "capacity"), "batch-places")
+    places = places.select("capacity", _SHARD, F.struct("start", "carry", "first").alias(_PLACE))
+    place = F.col(_PLACE)
+    order = Window.partitionBy(_SHARD, "capacity").orderBy(size, *row_id)
+    joined = placed.withColumn(_LOCAL, F.row_number().over(order) - 1)
+    joined = joined.join(places, ["capacity", _SHARD], "left")
+    at = place["start"] + F.col(_LOCAL) - place["carry"]
+    number = F.when(at < 0, place["first"] - 1).otherwise(
+        place["first"] + F.call_function("div", at, F.nullif("capacity", F.lit(0)))
+    )
+    return joined.withColumn("batch", number).drop(_SHARD, _PLACE, _LOCAL)
+
+
+_SHARD, _PLACE, _LOCAL = f"{RESERVED}shard", f"{RESERVED}place", f"{RESERVED}local"
+_NO_RUNS = """named_struct('carry', 0L, 'first', 0L,
+    'runs', cast(array() as array<struct<capacity: bigint, carry: bigint, first: bigint>>))"""
+
+
+def _next_run(state: Column, run: Column) -> Column:
+    """The rows of one capacity after those before: what they fill up, and the batches that they begin."""
+    left = F.greatest(run["rows"] - state["carry"], F.lit(0))
+    begun = F.call_function("div", left + run["capacity"] - 1, run["capacity"])
+    carry = F.greatest(state["carry"] - run["rows"], begun * run["capacity"] - left)
+    here = F.struct(run["capacity"].alias("capacity"), state["carry"].alias("carry"), state["first"].alias("first"))
+    return F.struct(
+        carry.alias("carry"), (state["first"] + begun).alias("first"),
+        F.concat(state["runs"], F.array(here)).alias("runs"),
+    )
+
+
+def batch_padding(planned: DataFrame, size: str = "audio_size") -> DataFrame:
+    """One row: batches, rows in them, their samples, and the samples that padding adds."""
+    each = planned.where("batch is not null").groupBy("batch").agg(
+        F.count(F.lit(1)).alias("rows"), F.sum(size).alias("samples"),
+        (F.count(F.lit(1)) * F.max(size) - F.sum(size)).alias("padding"),
+    )
+    total = lambda name: F.coalesce(F.sum(name), F.lit(0)).alias(name)
+    return each.agg(F.count(F.lit(1)).alias("batches"), total("rows"), total("samples"), total("padding"))

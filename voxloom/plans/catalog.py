@@ -389,7 +389,12 @@ def length_limits_llm(spark: SparkSession, sf: str) -> DataFrame:
 def batch_plan(spark: SparkSession, sf: str) -> DataFrame:
     rows = H.within_length(V.utterances(spark, sf).select("doc_id", "audio_size"))
     planned = H.plan_batches(rows, ["doc_id"], rows_per_shard=BATCH_ROWS)
-    return planned.select("doc_id", "shard", "capacity", "batch")
+    return planned.select("doc_id", "capacity", "batch")
+
+
+def batch_padding(spark: SparkSession, sf: str) -> DataFrame:
+    rows = V.utterances(spark, sf).select("doc_id", "audio_size")
+    return H.batch_padding(H.plan_batches(rows, ["doc_id"], rows_per_shard=BATCH_ROWS))
 
 
 # Evaluation
@@ -786,6 +791,7 @@ QUERIES = [
     length_limits,
     length_limits_llm,
     batch_plan,
+    batch_padding,
     duration_status,
     skip_counts,
     capped_eval,

@@ -238,6 +238,29 @@ HEADINGS = """headings AS (
     (4, ['', '## Training Metrics', '', '| Step | CTC Loss | UER | WER | Learning Rate |', '|---|---|---|---|---|']))
     AS t(section, lines))"""
 
+def batches(chosen: str) -> str:
+    """Rows in line by capacity, and what each capacity leaves open to the next."""
+    return f"""{UTTERANCES},
+fit AS (SELECT doc_id, audio_size FROM utterances WHERE {chosen}),
+sharded AS (
+  SELECT doc_id, audio_size, ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % (SELECT greatest(1, (count(*) + 249) // 250) FROM fit) AS shard,
+         960000 // greatest(audio_size, 1) AS capacity FROM fit),
+runs AS (SELECT capacity, count(*) AS n, row_number() OVER (ORDER BY capacity) AS k FROM sharded WHERE capacity > 0 GROUP BY capacity),
+scanned(k, capacity, carry, first, left_open, begun) AS (
+  SELECT 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT, 0::BIGINT
+  UNION ALL
+  SELECT r.k, r.capacity, s.left_open, s.begun,
+    CASE WHEN s.left_open >= r.n THEN s.left_open - r.n
+         ELSE (r.n - s.left_open + r.capacity - 1) // r.capacity * r.capacity - (r.n - s.left_open) END,
+    s.begun + CASE WHEN s.left_open >= r.n THEN 0 ELSE (r.n - s.left_open + r.capacity - 1) // r.capacity END
+  FROM scanned s JOIN runs r ON r.k = s.k + 1),
+lined AS (SELECT *, row_number() OVER (PARTITION BY capacity ORDER BY shard, audio_size, doc_id) - 1 AS place FROM sharded),
+planned AS (
+  SELECT doc_id, audio_size, capacity,
+    CASE WHEN place < carry THEN first - 1 ELSE first + (place - carry) // nullif(capacity, 0) END AS batch
+  FROM lined LEFT JOIN (FROM scanned WHERE k > 0) USING (capacity))"""
+
+
 SQL = {
     "sanitize_keep": f"WITH {UTTERANCES} SELECT doc_id, {KEEP} AND num_samples >= 400 AS keep FROM utterances",
     "sanitized_rows": f"""WITH {UTTERANCES} SELECT doc_id, corpus, split, language, audio_size
@@ -316,13 +339,11 @@ SELECT corpus, language, round(cw, 9) AS corpus_weight, round(lw, 9) AS language
     "length_limits": f"""WITH {UTTERANCES} SELECT doc_id, audio_size,
 CASE WHEN audio_size < 32000 THEN 'short' WHEN audio_size > 960000 THEN 'long' ELSE 'ok' END AS length_status FROM utterances""",
     "length_limits_llm": f"WITH {UTTERANCES} SELECT doc_id, audio_size FROM utterances WHERE audio_size BETWEEN 32000 AND 320000",
-    "batch_plan": f"""WITH {UTTERANCES},
-fit AS (SELECT doc_id, audio_size FROM utterances WHERE audio_size BETWEEN 32000 AND 960000),
-sharded AS (
-  SELECT doc_id, audio_size, ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % (SELECT greatest(1, (count(*) + 249) // 250) FROM fit) AS shard,
-         960000 // audio_size AS capacity FROM fit)
-SELECT doc_id, shard, capacity,
-       (row_number() OVER (PARTITION BY shard, capacity ORDER BY audio_size, doc_id) - 1) // capacity AS batch FROM sharded""",
+    "batch_plan": f"""WITH RECURSIVE {batches("audio_size BETWEEN 32000 AND 960000")} SELECT doc_id, capacity, batch FROM planned""",
+    "batch_padding": f"""WITH RECURSIVE {batches("true")},
+each_batch AS (SELECT batch, count(*) AS rows, sum(audio_size) AS samples, count(*) * max(audio_size) - sum(audio_size) AS padding
+  FROM planned WHERE batch IS NOT NULL GROUP BY batch)
+SELECT count(*) AS batches, sum(rows)::BIGINT AS rows, sum(samples)::BIGINT AS samples, sum(padding)::BIGINT AS padding FROM each_batch""",
     "duration_status": f"WITH {TIMED} SELECT doc_id, seconds, status FROM judged",
     "skip_counts": f"WITH {TIMED} SELECT language, status, count(*) AS samples FROM judged GROUP BY ALL",
     "capped_eval": f"""WITH {TIMED} SELECT doc_id, seconds FROM (SELECT * FROM judged ORDER BY audio_size, doc_id LIMIT 120) WHERE status = 'ok'""",
