@@ -98,3 +98,27 @@ def test_evaluation_split_names(spark):
     assert [r.n for r in D.evaluation_split(rows, config="x").collect()] == [3]
     with pytest.raises(ValueError):
         D.evaluation_split(rows)
+
+
+def test_joined_parts_are_one_csv(spark, tmp_path):
+    values = ["a", "", None, 'say "x"', "two\nlines", " b ", "c,d", "é"]
+    rows = [(k, f"id {k}", values[k % len(values)]) for k in range(1000)]
+    df = spark.createDataFrame(rows, f"{D.ROW_ORDER} long, ID string, `Target, now` string").repartition(7)
+    one, parts, joined = (str(tmp_path / n) for n in ("one", "parts", "joined"))
+    W.write_filled(df.coalesce(1), one, "/elsewhere")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        W.write_filled(df, parts, "/elsewhere")
+        W.write_filled(df, joined, "/elsewhere", joined=True)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    text = lambda path: [p.read_bytes() for p in sorted((tmp_path / path).glob("part-*"))]
+    assert len(text("joined")) > 2
+    got = b"".join(text("joined"))
+    header = b'ID,"Target, now"\n'
+    assert got.startswith(header) and got.count(header) == 1
+    # Spark writes a header to each part; without those the bytes are the same.
+    assert got == header + b"".join(p.removeprefix(header) for p in text("parts"))
+    assert header + b"".join(p.removeprefix(header) for p in text("one")) == got
+    W.write_filled(df.limit(0), joined, "/elsewhere", joined=True)
+    assert b"".join(text("joined")) == header

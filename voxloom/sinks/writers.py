@@ -70,18 +70,27 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def write_filled(df: DataFrame, path: str, source: str) -> None:
-    """The filled table as CSV parts in input row order."""
+def write_filled(df: DataFrame, path: str, source: str, joined: bool = False) -> None:
+    """The filled table as CSV parts in input row order.
+
+    Every part has a header, as Spark expects. With ``joined`` only the first one has, and
+    the parts, one after the other in order of their names, are one CSV file: sorted by
+    all tasks, without a task that writes it all.
+    """
     refuse_overlap(path, [source])
-    ordered = df.orderBy(ROW_ORDER).drop(ROW_ORDER)
-    ordered.write.mode("overwrite").csv(
-        path,
-        header=True,
-        escape='"',
-        emptyValue="",
-        ignoreLeadingWhiteSpace=False,
-        ignoreTrailingWhiteSpace=False,
+    style = {"escape": '"', "emptyValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    if not joined:
+        ordered = df.orderBy(ROW_ORDER).drop(ROW_ORDER)
+        ordered.write.mode("overwrite").options(**style).csv(path, header=True)
+        return
+    names = [name for name in df.columns if name != ROW_ORDER]
+    line = lambda *columns: F.to_csv(F.struct(*columns), style).alias("line")
+    rows = df.select(F.lit(True).alias("row"), ROW_ORDER, line(*(F.col(f"`{name}`") for name in names)))
+    kind = df.schema[ROW_ORDER].dataType
+    head = df.sparkSession.range(1).select(
+        F.lit(False).alias("row"), F.lit(None).cast(kind).alias(ROW_ORDER), line(*(F.lit(n).alias(n) for n in names))
     )
+    write_lines(head.unionByName(rows), path, ["row", ROW_ORDER])
 
 
 def write_lines(df: DataFrame, path: str, order: list[str]) -> None:
