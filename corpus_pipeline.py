@@ -20,32 +20,54 @@ cloudpickle.register_pickle_by_value(voxloom)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep.
+
+    Null and empty texts go, as texts of few words do; very long ones are judged whole. Null
+    languages are a language of their own. Repeated rows are judged alike and all columns
+    stay. An empty table stays empty.
+    """
     apply_settings(spark)
     return divergence.keep(docs)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not toxic; the models are trained on all labelled documents."""
+    """Documents that are not toxic; the models are trained on a sample of the labelled documents.
+
+    Null and empty texts are not toxic; very long ones are judged whole. Repeated rows are
+    judged alike and all columns stay. Without labels of both kinds, and for an empty
+    table, all rows stay.
+    """
     apply_settings(spark)
     documents, labels = Q.table(spark, sf_dir, "documents"), Q.table(spark, sf_dir, "labels")
     return docs.where(~chains.toxic(docs, chains.fit(documents, labels, Q.CATEGORIES)))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates: that with the smallest id.
+
+    Null and empty texts are one group; null ids are the largest. Of rows with one id and
+    fingerprint one stays, with all its columns. An empty table stays empty.
+    """
     apply_settings(spark)
     return simhash.keep_one(docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of their sources takes them."""
+    """Documents as often as the mix of their sources takes them.
+
+    Null sources are a source of their own, the last; null and empty texts have no words.
+    Rows of a source with one id are taken together. An empty table stays empty.
+    """
     apply_settings(spark)
     return mixing.mixed_rows(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document's token ids and what they decode to, as digests."""
+    """Every document's token ids and what they decode to, as digests.
+
+    Null texts are empty ones, without tokens; very long ones are encoded whole. Repeated
+    rows are encoded alike. An empty table stays empty.
+    """
     apply_settings(spark)
     return Q.digests(bpe.round_trip(docs, "text", Q.tokenizer()))
 
