@@ -75,10 +75,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def cut_lineage(spark: SparkSession, df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back."""
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 
