@@ -17,11 +17,13 @@ from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass, field, replace
 
+import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import checked
+from voxloom.llm.common import checked, text_udf
 from voxloom.llm.urlrules import host_and_path
 from voxloom.session import cut_lineage
 
@@ -194,44 +196,113 @@ def page_of(text: str) -> Page:
     return page
 
 
-def _numbered(lines: list[str]) -> list[tuple[str, int]]:
-    """Lines with the count of equal lines before, so that each is found once."""
-    seen: dict[str, int] = {}
-    found = []
-    for line in lines:
-        n = seen.get(line, 0)
-        seen[line] = n + 1
-        found.append((line, n))
-    return found
+#: Matches per line up to which all of them are listed; beyond that rows of bits stand for them.
+LISTED = 16
+#: Bits of the rows that are kept at once to go back over; larger tables are halved.
+ROW_BITS = 1 << 26
 
 
 def shared_lines(lines: list[str], others: list[str]) -> set[int]:
     """Places of the lines in a longest common subsequence with the other page's lines.
 
-    A repeated line stands for itself by its count: its second place can be aligned
-    with the other page's second only. So every line has one place on the other side,
-    and the subsequence is a longest increasing one, in n log n steps.
+    What both begin and end with is taken off first. Where lines repeat little, it is the
+    longest increasing run of matches, in as many steps as there are matches. Where they
+    repeat much, a row of the table is a number with a bit per line, and tables too
+    large to keep are halved, so memory stays linear in the lines.
     """
-    place = {x: i for i, x in enumerate(_numbered(others))}
+    start, stop = 0, min(len(lines), len(others))
+    while start < stop and lines[start] == others[start]:
+        start += 1
+    end = 0
+    while end < stop - start and lines[-1 - end] == others[-1 - end]:
+        end += 1
+    found = {*range(start), *range(len(lines) - end, len(lines))}
+    places: dict[str, list[int]] = {}
+    for j in range(start, len(others) - end):
+        places.setdefault(others[j], []).append(j)
+    inner = [i for i in range(start, len(lines) - end) if lines[i] in places]
+    if sum(len(places[lines[i]]) for i in inner) <= LISTED * (len(lines) + len(others)):
+        return found | _by_matches(inner, [places[lines[i]] for i in inner])
+    known = {lines[i] for i in inner}
+    names = {line: k for k, line in enumerate(known)}
+    ours = [names[lines[i]] for i in inner]
+    theirs = [names[x] for x in others[start : len(others) - end] if x in known]
+    return found | {inner[k] for k in _by_bits(ours, theirs)}
+
+
+def _by_matches(inner: list[int], places: list[list[int]]) -> set[int]:
+    """Alignment as the longest increasing run of the places of each line on the other side."""
     ends: list[int] = []
-    last: list[int] = []
-    back: dict[int, int | None] = {}
-    for i, x in enumerate(_numbered(lines)):
-        j = place.get(x)
-        if j is None:
-            continue
-        k = bisect_left(ends, j)
-        back[i] = last[k - 1] if k else None
-        if k == len(ends):
-            ends.append(j)
-            last.append(i)
-        else:
-            ends[k], last[k] = j, i
+    last: list[tuple] = []
+    for i, at in zip(inner, places, strict=True):
+        # From the last place to the first, so that a line takes one of them.
+        for j in reversed(at):
+            k = bisect_left(ends, j)
+            node = (i, last[k - 1] if k else None)
+            if k == len(ends):
+                ends.append(j)
+                last.append(node)
+            else:
+                ends[k], last[k] = j, node
     found: set[int] = set()
-    i = last[-1] if last else None
-    while i is not None:
-        found.add(i)
-        i = back[i]
+    node = last[-1] if last else None
+    while node:
+        found.add(node[0])
+        node = node[1]
+    return found
+
+
+def _bit_rows(a: list[int], b: list[int]) -> Iterator[int]:
+    """Per line of ``a``, the row of the table: bit j is zero where line j of ``b`` lengthens it."""
+    marks: dict[int, bytearray] = {x: bytearray((len(b) + 7) // 8) for x in set(a)}
+    for j, x in enumerate(b):
+        if x in marks:
+            marks[x][j >> 3] |= 1 << (j & 7)
+    at = {x: int.from_bytes(m, "little") for x, m in marks.items()}
+    full = (1 << len(b)) - 1
+    row = full
+    for x in a:
+        hit = row & at[x]
+        row = ((row + hit) | (row - hit)) & full
+        yield row
+
+
+def _lengths(a: list[int], b: list[int]) -> np.ndarray:
+    """Length of the alignment of all of ``a`` with every beginning of ``b``."""
+    row = 0
+    for row in _bit_rows(a, b):
+        pass
+    packed = np.frombuffer(row.to_bytes((len(b) + 7) // 8, "little"), dtype=np.uint8)
+    bits = np.unpackbits(packed, bitorder="little", count=len(b))
+    return np.concatenate([[0], np.cumsum(1 - bits.astype(np.int64))])
+
+
+def _by_bits(ours: list[int], theirs: list[int]) -> set[int]:
+    """Places in ``ours`` of a longest common subsequence."""
+    found: set[int] = set()
+    todo = [(0, len(ours), 0, len(theirs))]
+    while todo:
+        s, e, t, f = todo.pop()
+        a, b = ours[s:e], theirs[t:f]
+        if not a or not b:
+            continue
+        if len(a) > 1 and len(a) * len(b) > ROW_BITS:
+            half = len(a) // 2
+            ends = _lengths(a[:half], b) + _lengths(a[:half - 1 : -1], b[::-1])[::-1]
+            cut = int(ends.argmax())
+            todo += [(s, s + half, t, t + cut), (s + half, e, t + cut, f)]
+            continue
+        rows = list(_bit_rows(a, b))
+        i, j = len(a), len(b)
+        while i and j:
+            if rows[i - 1] >> (j - 1) & 1:
+                j -= 1
+                continue
+            i -= 1
+            # Lengthened here already by the lines before, so this one is not needed.
+            if not i or rows[i - 1] >> (j - 1) & 1:
+                found.add(s + i)
+                j -= 1
     return found
 
 
@@ -263,40 +334,65 @@ def near_copy(page: Page, other: Page) -> bool:
     return sum(len(x) for x in a if x in known) >= COPY * most
 
 
+def zipped(html_: bytes) -> bytes:
+    """A page as it is shuffled and kept: equal pages have equal bytes."""
+    return zstandard.compress(html_, 3)
+
+
+def _unzipped(data: bytes, host: str, path: str) -> Page:
+    return replace(page_of(zstandard.decompress(data).decode()), key=(host, path))
+
+
 @dataclass
 class _Row:
     id: object
     url: str | None
-    html: str
-    page: Page
+    html: bytes
+    key: tuple
 
 
+#: Texts that are held before they are handed on, in characters.
+HANDED_ON = 4 << 20
 #: What a range gives: finished pages, those with a neighbour in another range, and its edges.
-_PARTS = "part string, side string, pos int, bin int, host string, path string, html string, text string"
+_PARTS = "part string, side string, pos int, bin int, host string, path string, html binary, text string"
 
 
 def _in_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts of the pages between the first and the last run of copies in a range.
 
     Pages of these two runs are open; edges are the heads of the first two runs and the
-    last pages of the last two, at 0 to 3. A run's equal pages are held once.
+    last pages of the last two, at 0 to 3. Of a run only its head and its latest page
+    are held parsed; the others are held compressed, equal ones once.
     """
     run: list[_Row] = []
-    before: _Row | None = None
+    head = latest = before = None
+    latest_html = before_html = b""
     count, bin_, held = 0, 0, {}
     kinds: list = []
     out: list[tuple] = []
 
-    def edge(row: _Row, pos: int) -> None:
-        out.append((None, None, "edge", None, pos, bin_, *row.page.key, row.html, None))
+    def edge(html_: bytes, key: tuple, pos: int) -> None:
+        out.append((None, None, "edge", None, pos, bin_, *key, html_, None))
 
-    def open_(side: str) -> None:
+    def open_(r: _Row, side: str) -> None:
+        out.append((r.id, r.url, "open", side, None, bin_, *r.key, r.html, None))
+
+    def done(after: Page) -> Iterator[pa.RecordBatch]:
+        size, known, page = 0, None, None
         for r in run:
-            out.append((r.id, r.url, "open", side, None, bin_, *r.page.key, r.html, None))
+            if r.html is not known:
+                known, page = r.html, head if r.html is run[0].html else _unzipped(r.html, *r.key)
+            own = replace(page, key=r.key)
+            text = main_text(own, nearest(own, before, after))
+            out.append((r.id, r.url, "done", None, None, bin_, None, None, None, text))
+            size += len(text)
+            if size > HANDED_ON:
+                yield flush()
+                size = 0
 
     def flush() -> pa.RecordBatch:
         names = ["id", "url", "part", "side", "pos", "bin", "host", "path", "html", "text"]
-        types = [*kinds, pa.string(), pa.string(), pa.int32(), pa.int32(), *[pa.string()] * 4]
+        types = [*kinds, pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.string(), pa.binary(), pa.string()]
         columns = [pa.array([r[i] for r in out], type=t) for i, t in enumerate(types)]
         out.clear()
         return pa.RecordBatch.from_arrays(columns, names)
@@ -305,35 +401,36 @@ def _in_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = [batch.schema.field(0).type, pa.string()]
         for i in range(batch.num_rows):
             id_, url, html_, host, path, bin_ = (batch.column(k)[i].as_py() for k in range(6))
-            html_, page = held.get(html_) or (html_, page_of(html_))
-            row = _Row(id_, url, html_, replace(page, key=(host, path)))
-            if run and not (run[0].page.key[0] == host and near_copy(page, run[0].page)):
+            same = run and html_ == latest_html
+            page = replace(latest, key=(host, path)) if same else _unzipped(html_, host, path)
+            if run and not (head.key[0] == host and near_copy(page, head)):
                 if count == 1:
-                    edge(run[0], 0)
-                    edge(row, 1)
-                    open_("first")
-                else:
+                    edge(run[0].html, run[0].key, 0)
+                    edge(html_, page.key, 1)
                     for r in run:
-                        near = nearest(r.page, before.page, row.page)
-                        text = main_text(r.page, near)
-                        out.append((r.id, r.url, "done", None, None, bin_, None, None, None, text))
-                before, run, held = run[-1], [], {}
-            count += not run
-            run.append(row)
-            held[html_] = html_, page
+                        open_(r, "first")
+                else:
+                    yield from done(page)
+                before, before_html, run, held = latest, run[-1].html, [], {}
+            if not run:
+                count, head = count + 1, page
+            html_ = held.setdefault(html_, html_)
+            run.append(_Row(id_, url, html_, page.key))
+            latest, latest_html = page, html_
         if out:
             yield flush()
     if run:
         if count == 1:
-            edge(run[0], 0)
+            edge(run[0].html, run[0].key, 0)
         else:
-            edge(before, 2)
-        edge(run[-1], 3)
-        open_("only" if count == 1 else "last")
+            edge(before_html, before.key, 2)
+        edge(latest_html, latest.key, 3)
+        for r in run:
+            open_(r, "only" if count == 1 else "last")
         yield flush()
 
 
-_AROUND = "bin int, side string, " + ", ".join(f"{n} struct<host: string, path: string, html: string>" for n in ("before", "after"))
+_AROUND = "bin int, side string, " + ", ".join(f"{n} struct<host: string, path: string, html: binary>" for n in ("before", "after"))
 
 
 def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -341,7 +438,7 @@ def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     edges: dict[int, dict[int, tuple]] = {}
     for batch in batches:
         for r in batch.to_pylist():
-            page = replace(page_of(r["html"]), key=(r["host"], r["path"]))
+            page = _unzipped(r["html"], r["host"], r["path"])
             edges.setdefault(r["bin"], {})[r["pos"]] = page, r["html"]
     bins = sorted(edges)
 
@@ -368,7 +465,7 @@ def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows += [(b, "first", before, own[1]), (b, "last", own[2], after)]
         else:
             rows.append((b, "only", before, after))
-    kind = pa.struct([("host", pa.string()), ("path", pa.string()), ("html", pa.string())])
+    kind = pa.struct([("host", pa.string()), ("path", pa.string()), ("html", pa.binary())])
     yield pa.RecordBatch.from_arrays(
         [
             pa.array([r[0] for r in rows], type=pa.int32()),
@@ -384,7 +481,7 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts of open pages beside their neighbours."""
 
     def known(r: dict | None) -> Page | None:
-        return r and replace(page_of(r["html"]), key=(r["host"], r["path"]))
+        return r and _unzipped(r["html"], r["host"], r["path"])
 
     for batch in batches:
         texts = []
@@ -408,14 +505,15 @@ def extract(df: DataFrame, id_column: str = "page_id", url_column: str = "url",
     Pages are dealt by range of host, path and id, so a host of any size spreads over
     tasks, which stream them. Pages beside each other that are near copies form a run,
     and neighbours are those of the run. Runs at the edges of a range find theirs in
-    other ranges: edges are read in one task, a few pages of each range.
+    other ranges: edges are read in one task, a few pages of each range. Pages are shuffled
+    compressed one by one, and a task holds a run of copies compressed.
     """
     checked(df, id_column, url_column, html_column)
     host, path = host_and_path(F.col(f"`{url_column}`"))
     rows = df.select(
         F.col(f"`{id_column}`").alias("id"),
         F.col(f"`{url_column}`").cast("string").alias("url"),
-        F.coalesce(F.col(f"`{html_column}`"), F.lit("")).alias("html"),
+        text_udf(zipped, pa.binary(), "binary")(F.col(f"`{html_column}`")).alias("html"),
         host.alias("host"),
         path.alias("path"),
     )
@@ -423,7 +521,8 @@ def extract(df: DataFrame, id_column: str = "page_id", url_column: str = "url",
     rows = rows.repartitionByRange("host", "path", "id").sortWithinPartitions("host", "path", "id")
     rows = rows.withColumn("bin", F.spark_partition_id())
     # The written table fixes the ranges.
-    parts = cut_lineage(df.sparkSession, rows.mapInArrow(_in_range, f"id {kind}, url string, {_PARTS}"), "pages")
+    parts = rows.mapInArrow(_in_range, f"id {kind}, url string, {_PARTS}")
+    parts = cut_lineage(df.sparkSession, parts, "pages", "zstd")
     edges = parts.where("part = 'edge'").select("bin", "pos", "host", "path", "html")
     around = edges.repartition(1).sortWithinPartitions("bin", "pos").mapInArrow(_around, _AROUND)
     around = cut_lineage(df.sparkSession, around, "neighbours")
