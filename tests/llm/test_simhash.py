@@ -68,6 +68,15 @@ def test_edges(spark):
     assert simhash.keep_one(alone).count() == 2
 
 
+def test_kept_rows_do_not_depend_on_order(spark):
+    data = [(1, "a b c", k % 3, {"k": str(k % 3)}) for k in range(9)] + [(None, "d e", None, None), (None, "d e", 0, None)]
+    df = spark.createDataFrame(data, "doc_id long, text string, n int, m map<string,string>")
+    got = {str(sorted(map(str, simhash.keep_one(df.repartition(n)).collect()))) for n in (1, 3, 7)}
+    assert len(got) == 1
+    plan = simhash.keep_one(df)._jdf.queryExecution().executedPlan().toString()
+    assert simhash.keep_one(df).count() == 2 and "ArrowEvalPython" not in plan
+
+
 def test_long_text():
     text = " ".join(str(k % 9000) for k in range(150_000))
     assert simhash.fingerprint(text.encode()) % (1 << 64) == plain(text)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from voxloom.llm.blocks import by_unit, dealt, units
-from voxloom.llm.common import RESERVED, checked, id_hash, text_udf, with_columns
+from voxloom.llm.common import RESERVED, checked, text_udf, with_columns
 from voxloom.llm.components import connected_components
 from voxloom.session import cut_lineage
 
@@ -178,18 +178,30 @@ def keep_one(df: DataFrame, id_column: str = "doc_id", text_column: str = "text"
              **options: int) -> DataFrame:
     """One row of each group of near duplicates: that with the smallest id.
 
-    All columns stay. Of rows with that id and fingerprint, one is kept. Null ids are
-    the largest; null and empty texts are one group.
+    All columns stay. Of rows with that id and fingerprint, the one whose columns hash
+    least is kept, so reruns agree. Null ids are the largest; null and empty texts are
+    one group. Texts go through Python once: rows are told apart by hashes of their
+    columns, and those of the chosen rows select them.
     """
     checked(df, id_column, text_column)
-    coded = with_columns(df, {f"{RESERVED}code": fingerprint_column(F.col(f"`{text_column}`"))})
-    coded = coded.withColumn(f"{RESERVED}id", id_hash(id_column))
-    prints = coded.select(F.col(f"`{id_column}`").alias("id"), F.col(f"{RESERVED}code").alias("code"))
+    told_apart = _row_hashes(df)
+    prints = df.select(F.col(f"`{id_column}`").alias("id"),
+                       fingerprint_column(F.col(f"`{text_column}`")).alias("code"),
+                       F.struct(*told_apart).alias("row"))
     prints = cut_lineage(df.sparkSession, prints, "fingerprints")
     kept = classes(prints, **options).where("code = component_code")
-    kept = kept.select(
-        F.col("code").alias(f"{RESERVED}code"), F.xxhash64("component_id").alias(f"{RESERVED}id")
-    )
-    key = [f"{RESERVED}code", f"{RESERVED}id"]
-    kept = cut_lineage(df.sparkSession, kept, "kept_fingerprints")
-    return coded.join(kept, key, "left_semi").dropDuplicates(key).drop(*key)
+    kept = kept.select("code", F.col("component_id").alias("id"))
+    same = (prints["code"] == kept["code"]) & prints["id"].eqNullSafe(kept["id"])
+    rows = prints.join(kept, same, "left_semi").groupBy("code", "id").agg(F.min("row").alias("row"))
+    key = [f"{RESERVED}row{i}" for i in range(len(told_apart))]
+    rows = rows.select(*(F.col(f"row.h{i}").alias(k) for i, k in enumerate(key)))
+    rows = cut_lineage(df.sparkSession, rows, "kept_rows")
+    marked = with_columns(df, dict(zip(key, told_apart, strict=True)))
+    return marked.join(rows, key, "left_semi").dropDuplicates(key).drop(*key)
+
+
+def _row_hashes(df: DataFrame) -> list[Column]:
+    """Two hashes of all columns that can be hashed, and of which of them are null."""
+    columns = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString()]
+    nulls = F.concat(*(F.when(c.isNull(), "1").otherwise("0") for c in columns))
+    return [F.xxhash64(F.lit(i), nulls, *columns).alias(f"h{i}") for i in range(2)]
