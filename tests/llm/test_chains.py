@@ -97,3 +97,32 @@ def test_held_out_documents_of_the_given_tables(spark):
     caught = [r.toxic for r in judged if r.is_toxic]
     clean = [not r.toxic for r in judged if not r.is_toxic]
     assert sum(caught) >= 0.75 * len(caught) > 0 and sum(clean) >= 0.98 * len(clean)
+
+
+def test_fit_equals_training_on_whole_features(spark):
+    """Slots chosen from Spark's counts, and features cut to them, train the chain of whole features."""
+    data = documents(120, 5) * 2
+    df = spark.createDataFrame([(k, t) for k, t, _ in data], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 3 > 0, y) for k, _, y in data[:120]], "doc_id long, quality boolean, toxic int")
+    categories = {"odd": "not quality", "toxic": "toxic = 1"}
+    for max_rows in (4000, 20):  # the smaller sample is outgrown by the repeated ids
+        chain = chains.fit(df, labels, categories, max_rows=max_rows)
+        sample = chains.sample_of(labels, "doc_id", categories, max_rows)
+        found = df.withColumnRenamed("doc_id", "id").join(sample, "id")
+        found = found.withColumn("h", chains.id_hash("id", "text"))
+        rows = found.orderBy("h", "odd", "toxic").limit(2 * max_rows).collect()
+        whole = [chains.features_of(r.text.encode()) for r in rows]
+        models, _ = chains.train_chain(whole, np.array([[r.odd, r.toxic] for r in rows], dtype=float))
+        for got, wanted in zip(chain.models, models, strict=True):
+            assert got.weights == pytest.approx(wanted.weights, abs=1e-4)
+            assert [*got.earlier, got.constant] == pytest.approx([*wanted.earlier, wanted.constant], abs=1e-4)
+
+
+def test_white_space_alone_is_not_toxic(spark):
+    data = documents(60, 3)
+    train = spark.createDataFrame([(k, t) for k, t, _ in data], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1, y) for k, _, y in data], "doc_id long, quality int, toxic int")
+    chain = chains.fit(train, labels, catalog.CATEGORIES)
+    chain.threshold = 0.0
+    texts = spark.createDataFrame([("\t\n \x0b",), ("",), (None,), ("\t.\n",)], "text string")
+    assert [r.toxic for r in chains.score(texts, chain).collect()] == [False, False, False, True]

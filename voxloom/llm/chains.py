@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from voxloom.llm.common import checked, id_hash, utf8, with_columns
+from voxloom.llm.common import SPACE, checked, id_hash, utf8, with_columns
+from voxloom.session import cut_lineage
 
 #: Labelled rows to train on, of those with and of those without the last category.
 MAX_ROWS = 4000
@@ -114,15 +115,26 @@ class Model:
         return float(_logistic(np.float64(score)))
 
 
-def train_model(rows: list, y: np.ndarray, before: np.ndarray) -> Model:
-    """Choose the slots whose presence tells most about ``y`` and fit their weights."""
-    present = [np.zeros(SLOTS), np.zeros(SLOTS)]
+def telling_slots(present: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The slots whose presence tells most about a category.
+
+    ``present`` counts, without and with the category, the rows that have each slot, and
+    ``n`` all such rows. Of slots that tell as much the smaller come first.
+    """
+    rate = (present + 0.5) / (np.maximum(n, 1)[:, None] + 1)
+    return np.argsort(-((rate[1] - rate[0]) ** 2) / rate.mean(axis=0), kind="stable")[:SELECTED]
+
+
+def presence(rows: list, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What ``telling_slots`` asks of rows of features and their labels."""
+    present = np.zeros((2, SLOTS))
     for (slots, _), label in zip(rows, y, strict=True):
         present[int(label)][slots] += 1
-    n = [max(1, (y == k).sum()) for k in (0, 1)]
-    rate = [(present[k] + 0.5) / (n[k] + 1) for k in (0, 1)]
-    mean = (rate[0] + rate[1]) / 2
-    chosen = np.argsort(-((rate[1] - rate[0]) ** 2) / mean, kind="stable")[:SELECTED]
+    return present, np.array([(y == k).sum() for k in (0, 1)])
+
+
+def train_model(rows: list, y: np.ndarray, before: np.ndarray, chosen: np.ndarray) -> Model:
+    """Fit the weights of the chosen slots and of the earlier categories."""
     column = np.full(SLOTS, -1)
     column[chosen] = np.arange(len(chosen))
     x = np.zeros((len(rows), len(chosen)))
@@ -136,21 +148,29 @@ def train_model(rows: list, y: np.ndarray, before: np.ndarray) -> Model:
     return Model(weights, w[len(chosen) : -1], float(w[-1]))
 
 
-def train_chain(rows: list, labels: np.ndarray) -> tuple[list[Model], np.ndarray]:
+def train_chain(rows: list, labels: np.ndarray, slots: list | None = None) -> tuple[list[Model], np.ndarray]:
     """Models of the categories, in order, and their out-of-fold probabilities.
 
     ``rows`` are (slots, values) and ``labels`` has a column of 0 and 1 per category.
+    ``slots`` has the chosen slots of each category, for each fold that is left out and
+    for all rows; without it they are chosen from the rows.
     """
     fold = np.arange(len(rows)) % FOLDS
     models, held_out = [], np.zeros((len(rows), 0))
-    for y in labels.T:
+    for j, y in enumerate(labels.T):
+
+        def model(train: np.ndarray, left_out: int, j: int = j, y: np.ndarray = y) -> Model:
+            some = [rows[i] for i in train]
+            chosen = slots[j][left_out] if slots else telling_slots(*presence(some, y[train]))
+            return train_model(some, y[train], held_out[train], chosen)
+
         own = np.zeros(len(rows))
         for k in range(FOLDS):
             train, test = np.flatnonzero(fold != k), np.flatnonzero(fold == k)
             if len(train):
-                model = train_model([rows[i] for i in train], y[train], held_out[train])
-                own[test] = [model.predict(rows[i], held_out[i].tolist()) for i in test]
-        models.append(train_model(rows, y, held_out))
+                part = model(train, k)
+                own[test] = [part.predict(rows[i], held_out[i].tolist()) for i in test]
+        models.append(model(np.arange(len(rows)), FOLDS))
         held_out = np.column_stack([held_out, own])
     return models, held_out
 
@@ -194,49 +214,103 @@ def sample_of(labels: DataFrame, id_column: str, categories: dict[str, str], max
     return reduce(DataFrame.unionByName, parts)
 
 
+def _features(rows: pa.Array) -> pa.Array:
+    found = [features_of(t) for t in utf8(rows)]
+    return _as_structs([(s.astype(np.int32), v.astype(np.float32)) for s, v in found])
+
+
+def _as_structs(rows: list) -> pa.Array:
+    slots = pa.array([s for s, _ in rows], type=pa.list_(pa.int32()))
+    return pa.StructArray.from_arrays([slots, pa.array([v for _, v in rows], type=pa.list_(pa.float32()))], names=["slots", "values"])
+
+
+def _as_rows(structs: pa.Array) -> list:
+    pairs = zip(structs.field(0), structs.field(1), strict=True)
+    return [(slots.values.to_numpy(), values.values.to_numpy()) for slots, values in pairs]
+
+
+def _arrow(f, column: str) -> Column:
+    f.__annotations__ = {"rows": pa.Array, "return": pa.Array}
+    return F.arrow_udf(f, "struct<slots: array<int>, values: array<float>>")(F.col(column))
+
+
+def _chosen_slots(rows: DataFrame, flags: list[str], labels: np.ndarray) -> list[list[np.ndarray]]:
+    """For each category the slots to use without each fold, and with all rows.
+
+    Spark counts the rows of each fold that have a slot; the counts are as many as
+    folds and slots, however long the texts are.
+    """
+    counts = (
+        rows.select("fold", *flags, F.explode("f.slots").alias("slot"))
+        .groupBy("fold", "slot")
+        .agg(F.count(F.lit(1)).alias("present"), *(F.sum(c).alias(c) for c in flags))
+        .toArrow()
+    )
+    at = counts.column("fold").to_numpy(), counts.column("slot").to_numpy()
+    fold, found = np.arange(len(labels)) % FOLDS, []
+    for flag, y in zip(flags, labels.T, strict=True):
+        seen = np.zeros((2, FOLDS, SLOTS))
+        seen[1][at] = counts.column(flag).to_numpy()
+        seen[0][at] = counts.column("present").to_numpy() - seen[1][at]
+        n = np.array([[((fold == k) & (y == label)).sum() for k in range(FOLDS)] for label in (0, 1)])
+        without = [(seen.sum(axis=1) - seen[:, k], n.sum(axis=1) - n[:, k]) for k in range(FOLDS)]
+        found.append([telling_slots(*counted) for counted in [*without, (seen.sum(axis=1), n.sum(axis=1))]])
+    return found
+
+
 def fit(documents: DataFrame, labels: DataFrame, categories: dict[str, str],
         id_column: str = "doc_id", text_column: str = "text", max_rows: int = MAX_ROWS) -> Chain | None:
     """A chain trained on a sample of the labelled documents.
 
     ``categories`` names each category, in the chain's order, and gives the SQL
     expression of its label, 1 where it holds. The sample has at most ``max_rows``
-    rows with the last category and as many without it. Rows labelled twice, or whose
-    id several documents have, count each time. None without rows of both kinds.
+    rows with the last category and as many without it, chosen by hash, ties by id.
+    Rows labelled twice, or whose id several documents have, count each time, up to the
+    sample's size in all. Null and empty texts have no features; null labels are 0 and
+    null ids have none. None without rows of both kinds, so for empty tables.
+
+    Very long texts are used whole. The driver gets keys and labels of the sample, counts
+    by slot, and of the rows' features only those a model uses, so a number of bytes
+    that does not depend on the texts.
     """
     checked(documents, id_column, text_column)
     checked(labels, id_column)
+    spark = documents.sparkSession
     sample = sample_of(labels, id_column, categories, max_rows)
+    flags = [f"c{i}" for i in range(len(categories))]
     found = documents.select(
         F.col(f"`{id_column}`").alias("id"), F.col(f"`{text_column}`").alias("text")
     ).join(F.broadcast(sample), "id")
-
-    def apply(texts: pa.Array) -> pa.Array:
-        rows = [features_of(t) for t in utf8(texts)]
-        return pa.StructArray.from_arrays(
-            [
-                pa.array([s.astype(np.int32) for s, _ in rows], type=pa.list_(pa.int32())),
-                pa.array([v.astype(np.float32) for _, v in rows], type=pa.list_(pa.float32())),
-            ],
-            names=["slots", "values"],
-        )
-
-    apply.__annotations__ = {"texts": pa.Array, "return": pa.Array}
-    features = F.arrow_udf(apply, "struct<slots: array<int>, values: array<float>>")
-    # An id that many documents share must not outgrow the sample.
-    got = (
-        found.select(*categories, features("text").alias("f"), id_hash("id", "text").alias("h"))
-        .orderBy("h", *categories)
-        .limit(2 * max_rows)
-        .toArrow()
+    rows = found.select(
+        *(F.col(f"`{c}`").alias(flag) for c, flag in zip(categories, flags, strict=True)),
+        id_hash("id", "text").alias("h"),
+        F.monotonically_increasing_id().alias("n"),
+        _arrow(_features, "text").alias("f"),
     )
-    labels_of = np.column_stack([got.column(c).to_numpy() for c in categories]).astype(float)
+    rows = cut_lineage(spark, rows, "toxicity-features")
+    # An id that many documents share must not outgrow the sample.
+    keys = rows.groupBy("h", *flags).agg(F.count(F.lit(1)).alias("copies"), F.min("n").alias("n"))
+    keys = keys.orderBy("h", *flags).limit(2 * max_rows).toArrow()
+    copies = np.minimum(keys.column("copies").to_numpy(), 2 * max_rows)
+    at = np.repeat(np.arange(len(copies)), copies)[: 2 * max_rows]
+    labels_of = np.column_stack([keys.column(c).to_numpy() for c in flags])[at].astype(float)
     if len(set(labels_of[:, -1])) < 2:
         return None
-    rows = []
-    for chunk in got.column("f").chunks:
-        for slots, values in zip(chunk.field(0), chunk.field(1), strict=True):
-            rows.append((slots.values.to_numpy(), values.values.to_numpy()))
-    models, held_out = train_chain(rows, labels_of)
+    numbers = keys.column("n").to_numpy()[at]
+    picked = spark.createDataFrame(
+        pa.table({"n": numbers, "fold": (np.arange(len(at)) % FOLDS).astype(np.int32)})
+    )
+    slots = _chosen_slots(rows.join(F.broadcast(picked), "n"), flags, labels_of)
+    used = np.zeros(SLOTS, dtype=bool)
+    used[np.concatenate([s for of_category in slots for s in of_category])] = True
+
+    def narrowed(rows: pa.Array) -> pa.Array:
+        return _as_structs([(s[used[s]], v[used[s]]) for s, v in _as_rows(rows)])
+
+    got = rows.join(F.broadcast(picked), "n", "left_semi").select("n", _arrow(narrowed, "f").alias("f")).toArrow()
+    features = [row for chunk in got.column("f").chunks for row in _as_rows(chunk)]
+    features = dict(zip(got.column("n").to_pylist(), features, strict=True))
+    models, held_out = train_chain([features[n] for n in numbers.tolist()], labels_of, slots)
     last = labels_of[:, -1]
     share = labels.agg(F.avg(F.coalesce(F.expr(list(categories.values())[-1]).cast("int"), F.lit(0))))
     # As many rows without the category as the labelled rows have, for each row with it.
@@ -247,8 +321,9 @@ def fit(documents: DataFrame, labels: DataFrame, categories: dict[str, str],
 def score(df: DataFrame, chain: Chain | None, text_column: str = "text") -> DataFrame:
     """Add ``p_<category>`` for each category and ``toxic``, the verdict on the last.
 
-    Null and empty texts are not toxic; nor is anything without a chain, where there
-    are no probabilities. Repeated rows are judged alike. Columns of
+    Null and empty texts and those of white space alone are not toxic; nor is anything
+    without a chain, where there are no probabilities. Very long texts are judged whole.
+    A probability of the threshold itself is toxic. Repeated rows are judged alike. Columns of
     the input with the names of the results are replaced.
     """
     checked(df, text_column)
@@ -278,6 +353,6 @@ def _probabilities(chain: Chain, text_column: str) -> Column:
 
 
 def _verdict(probabilities: Column, chain: Chain, text_column: str) -> Column:
-    has_words = F.coalesce(F.length(F.trim(F.col(f"`{text_column}`"))), F.lit(0)) > 0
+    has_words = F.coalesce(F.col(f"`{text_column}`").rlike(f"[^{SPACE}]"), F.lit(False))
     last = F.get(probabilities, F.lit(len(chain.categories) - 1))
     return has_words & (last >= chain.threshold)
