@@ -192,12 +192,19 @@ def keep_one(df: DataFrame, id_column: str = "doc_id", text_column: str = "text"
     kept = classes(prints, **options).where("code = component_code")
     kept = kept.select("code", F.col("component_id").alias("id"))
     same = (prints["code"] == kept["code"]) & prints["id"].eqNullSafe(kept["id"])
-    rows = prints.join(kept, same, "left_semi").groupBy("code", "id").agg(F.min("row").alias("row"))
+    counted = prints.join(kept, same, "left_semi").groupBy("code", "id", "row")
+    counted = counted.agg(F.count(F.lit(1)).alias("copies"))
+    rows = counted.groupBy("code", "id").agg(F.min(F.struct("row", "copies")).alias("least"))
     key = [f"{RESERVED}row{i}" for i in range(len(told_apart))]
-    rows = rows.select(*(F.col(f"row.h{i}").alias(k) for i, k in enumerate(key)))
+    rows = rows.select(*(F.col(f"least.row.h{i}").alias(k) for i, k in enumerate(key)), "least.copies")
     rows = cut_lineage(df.sparkSession, rows, "kept_rows")
     marked = with_columns(df, dict(zip(key, told_apart, strict=True)))
-    return marked.join(rows, key, "left_semi").dropDuplicates(key).drop(*key)
+    single, repeated = (rows.where(c).drop("copies") for c in ("copies = 1", "copies > 1"))
+    found = marked.join(single, key, "left_semi")
+    # Only rows that are there several times have to meet; the texts of others stay where they are.
+    if not repeated.isEmpty():
+        found = found.unionByName(marked.join(repeated, key, "left_semi").dropDuplicates(key))
+    return found.drop(*key)
 
 
 def _row_hashes(df: DataFrame) -> list[Column]:
