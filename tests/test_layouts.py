@@ -1,7 +1,9 @@
 """Real directory trees: audio above the leaf, names that clash, files with odd names."""
 
 import json
+import os
 
+import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
@@ -12,6 +14,7 @@ from voxloom.operators import evaluation as E
 from voxloom.operators import labels as L
 from voxloom.operators import paths as R
 from voxloom.operators import scoring as Q
+from voxloom.plans import catalog
 from voxloom.plans import compose as P
 from voxloom.plans import training_runs as K
 from voxloom.sinks.writers import refuse_overlap
@@ -241,3 +244,30 @@ def test_pairs(spark):
     assert sorted((r.id, r.prediction) for r in got.collect()) == [(1, "x"), (2, None)]
     with pytest.raises(ValueError, match="repeated ids in the predictions"):
         Q.pair_by_id(refs, spark.createDataFrame([(1, "x"), (1, "y")], "id long, prediction string"))
+
+
+def test_entries_of_small_folders_go_on_together(tmp_path):
+    for k in range(300):
+        (tmp_path / f"d{k}").mkdir()
+        (tmp_path / f"d{k}" / "f").write_text("x")
+    folders = [pd.DataFrame({"path": [f"{tmp_path}/d{k}" for k in part]}) for part in (range(200), range(200, 300))]
+    frames = list(S._folder_lister(S.open_files, "*")(iter(folders)))
+    assert len(frames) == 1
+    assert sorted(frames[0]["path"]) == sorted(f"{tmp_path}/d{k}/f" for k in range(300))
+
+
+def test_tasks_for_folders(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert [S.file_tasks(spark, n) for n in (0, 1, 32)] == [1, 1, 2]
+    assert S.file_tasks(spark, 40_000) == 4 * cores
+    assert S.file_tasks(spark, 5_000_000) == 1000
+
+
+def test_run_folders_lie_in_groups(spark, tmp_path, monkeypatch):
+    rows = [(k, k % 1500, "view", 1.0, "{}") for k in range(6000)]
+    events = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double, props string")
+    events.write.parquet(f"{tmp_path}/sf/events.parquet")
+    monkeypatch.setattr(catalog, "scratch_path", lambda _, name: f"{tmp_path}/{name}")
+    assert [tuple(r) for r in catalog.run_folders(spark, f"{tmp_path}/sf").collect()] == [(1500, True)]
+    sizes = [len(names) for place, names, _ in os.walk(f"{tmp_path}/runs")]
+    assert 1500 < sum(sizes) < 1500 * 2 + 20 and max(sizes) < 1000

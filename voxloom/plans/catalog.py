@@ -668,7 +668,13 @@ def checkpoint_steps(spark: SparkSession, sf: str) -> DataFrame:
 def run_folders(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "runs")
     logs = V.run_logs(spark, sf, "view").groupBy("run").agg(F.count(F.lit(1)).alias("lines"))
-    place = F.concat("run", F.lit("/metrics/train.jsonl")).alias("place")
+    logs = cut_lineage(spark, logs, "run-lines")
+    # Short rows, but a file and two folders each. A folder takes new ones one at a time and is
+    # listed by one task, so that runs lie in groups, each of which one task writes.
+    runs = logs.count()
+    logs = logs.withColumn("group", F.pmod(F.xxhash64("run"), F.lit(runs // 256 + 1)))
+    logs = logs.repartition(S.file_tasks(spark, runs), "group")
+    place = F.concat("group", F.lit("/"), "run", F.lit("/metrics/train.jsonl")).alias("place")
     _put_files(logs.select(place, F.col("lines").cast("string").alias("content")), root)
     found = S.file_inventory(spark, root).select(K.run_of(F.col("path")).alias("run"))
     try:

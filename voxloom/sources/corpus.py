@@ -48,10 +48,10 @@ def file_inventory(
         return _listed_by_spark(spark, root, pattern, depth)
     opener = opener or open_files
     start = re.sub("^file:/+", "/", place).rstrip("/") or "/"
-    frontier = spark.createDataFrame([(start,)], "path string")
+    frontier = spark.range(1).select(F.lit(start).alias("path"))
     rounds, folders = [], 1
     while folders:
-        tasks = max(1, min(folders // 16, 2000))
+        tasks = file_tasks(spark, folders)
         listed = frontier.repartition(tasks).mapInPandas(_folder_lister(opener, pattern), _ENTRY)
         listed = cut_lineage(spark, listed, "listed-folders")
         rounds.append(listed.where("not folder").select("path", "length"))
@@ -62,8 +62,18 @@ def file_inventory(
     return union_all(rounds)
 
 
+def file_tasks(spark: SparkSession, places: int) -> int:
+    """Tasks for work on so many folders or files, whose rows are too short for Spark to deal it out.
+
+    Every core gets some of a few places. As a task costs more than hundreds of places do,
+    there are more than a few tasks a core only where each has thousands.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    return max(1, min(places // 16, max(4 * cores, places // 5000)))
+
+
 _ENTRY = "path string, length long, folder boolean"
-#: Entries of a folder that a task hands on at once.
+#: Entries of its folders that a task hands on at once.
 _ENTRIES = 10_000
 
 
@@ -80,11 +90,10 @@ def _folder_lister(opener: Callable, pattern: str) -> Callable:
                 yield f"{uri.rstrip('/')}/{name}", info.size or 0, folder
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for uri in batch["path"]:
-                found = entries(uri)
-                while some := list(itertools.islice(found, _ENTRIES)):
-                    yield pd.DataFrame(some, columns=["path", "length", "folder"])
+        # Entries of many small folders go on together.
+        found = itertools.chain.from_iterable(entries(uri) for batch in batches for uri in batch["path"])
+        while some := list(itertools.islice(found, _ENTRIES)):
+            yield pd.DataFrame(some, columns=["path", "length", "folder"])
 
     return run
 
@@ -296,7 +305,7 @@ def file_schemas(spark: SparkSession, files: DataFrame, opener: Callable = open_
                 signatures.append("|".join(sorted(f"{f.name}:{f.type}" for f in schema)))
             yield batch.assign(signature=signatures)
 
-    tasks = max(1, min(files.count() // 16, 2000))
+    tasks = file_tasks(spark, files.count())
     return files.select("path").repartition(tasks).mapInPandas(read_footers, "path string, signature string")
 
 
