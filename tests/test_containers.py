@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from voxloom.functions import audio as A
 from voxloom.functions import containers as N
+from voxloom.operators import evaluation as E
 from voxloom.plans import evaluate
 from voxloom.sources import corpus as S
 
@@ -153,3 +154,41 @@ def test_walkers_take_any_bytes(data):
     for walk in N.WALKERS.values():
         for end in range(0, len(data), 7):
             walk(data[:end], len(data))
+
+
+WALKED = {
+    "short": riff(chunk(b"LIST", b"abc"), fmt(1, 2, 16000, 4, 16), chunk(b"data", b"x" * 400)),
+    "in the head": riff(chunk(b"LIST", b"abc"), fmt(1, 2, 16000, 4, 16), chunk(b"data", b"x" * 400_000)),
+    "behind the head": riff(chunk(b"LIST", b"data" * 20_000), fmt(1, 1, 8000, 2, 16), chunk(b"data", b"x" * 300)),
+    "at the head's end": riff(chunk(b"LIST", b"a" * (N.HEAD_BYTES - 50)), fmt(1, 1, 8000, 2, 16), chunk(b"data", b"x" * 300)),
+    "many chunks": riff(*[chunk(b"junk", b"z")] * 300, fmt(1, 1, 8000, 1, 8), chunk(b"data", b"x" * 70_000)),
+    "no format": riff(chunk(b"LIST", b"abc"), chunk(b"data", b"x" * 70_000)),
+    "no end": riff(chunk(b"LIST", b"abc"), fmt(1, 1, 8000, 1, 8), b"LIST\xff\xff\xff\xff", b"x" * 70_000),
+    "aiff": b"FORM\0\0\0\4AIFF" + chunk(b"NAME", b"n" * 99, ">") + chunk(b"COMM", struct.pack(">HIHHQ", 1, 40_000, 16, 0x400C, 0xFA << 56), ">") + chunk(b"SSND", b"x" * 80_000, ">"),
+}
+
+
+def test_walk_in_one_worker(spark):
+    read = A.with_audio_metadata(spark.createDataFrame(list(WALKED.items()), "name string, data binary"), F.col("data"))
+    assert read._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython ") == 1
+    got = {r.name: r.wav and tuple(r.wav) for r in read.select("name", "wav").collect()}
+    assert got == {name: N.walk_chunks(data, len(data)) or (None, None, None) for name, data in WALKED.items()}
+    assert got["behind the head"] == (8000, 1, 150) and got["aiff"] == (16000, 1, 40_000)
+
+
+def test_head_in_which_a_walk_ends(spark):
+    rows = spark.createDataFrame([(name, data[: N.HEAD_BYTES]) for name, data in WALKED.items()], "name string, head binary")
+    ends = N.walk_ends_in(F.col("head"), N.tag_at(F.col("head"), 0, b"FORM"))
+    assert {r.name for r in rows.where(ends).collect()} == {"short", "in the head", "no format", "aiff"}
+
+
+def test_counts_need_no_python_workers(spark):
+    class Seen:
+        get = {"ok": 3, "too_long": 0, "decode_failed": 2}
+
+    counts = E.counted_statuses(spark, Seen)
+    assert "ExistingRDD" not in counts._jdf.queryExecution().executedPlan().toString()
+    assert counts.dtypes == [("status", "string"), ("samples", "bigint")]
+    assert [tuple(r) for r in counts.collect()] == [("ok", 3), ("decode_failed", 2)]
+    Seen.get = {"ok": 0}
+    assert E.counted_statuses(spark, Seen).collect() == []

@@ -104,22 +104,26 @@ def _ranged(df: DataFrame, body: Column, size: Column, tail: Column | None = Non
     plain = F.when(is_plain_wav(F.col("_vx_hex")), plain_wav_metadata(F.col("_vx_hex"), F.col("_vx_size")))
     fixed = F.coalesce(plain, N.fixed_metadata(F.col("_vx_kind"), F.col("_vx_head"), tail, F.col("_vx_size")))
     staged = staged.select("*", F.explode(F.array(fixed)).alias("_vx_fixed"))
-    rest = F.col("_vx_fixed").isNull() & F.col("_vx_kind").isNotNull()
-    walked = F.pandas_udf(N.walk_batches, N.METADATA)(
-        "_vx_kind", F.when(rest & N.head_suffices(F.col("_vx_kind")), F.col("_vx_head")), "_vx_size"
-    )
-    staged = staged.select("*", F.explode(F.array(walked)).alias("_vx_walked"))
-    beyond = ~N.head_suffices(F.col("_vx_kind")) | (F.col("_vx_size") > N.HEAD_BYTES)
-    open_ = rest & F.col("_vx_walked.sample_rate").isNull() & beyond & (F.col("_vx_kind") != "ogg")
-    return staged.withColumn("_vx_whole", F.coalesce(open_, F.lit(False)))
+    # A walk over the head is tried where it ends there, else one over the file: either way
+    # in one Python worker of a task, as each holds memory of its own.
+    kind, head = F.col("_vx_kind"), F.col("_vx_head")
+    fits = (F.col("_vx_size") <= N.HEAD_BYTES) | N.walk_ends_in(head, N.tag_at(head, 0, b"FORM"))
+    whole = _is_walked() & (kind != "ogg") & ~F.when(N.head_suffices(kind), fits).otherwise(False)
+    return staged.withColumn("_vx_whole", F.coalesce(whole, F.lit(False)))
+
+
+def _is_walked() -> Column:
+    return F.col("_vx_fixed").isNull() & F.col("_vx_kind").isNotNull()
 
 
 def _read_ranges(df: DataFrame, body: Column, name: str) -> DataFrame:
-    last = F.pandas_udf(N.walk_batches, N.METADATA)("_vx_kind", F.when(F.col("_vx_whole"), body), "_vx_size")
-    metadata = F.when(F.col("_vx_fixed").isNotNull(), F.col("_vx_fixed")).when(~F.col("_vx_whole"), F.col("_vx_walked")).otherwise(last)
+    on_head = _is_walked() & N.head_suffices(F.col("_vx_kind"))
+    data = F.when(F.col("_vx_whole"), body).when(on_head, F.col("_vx_head"))
+    walked = F.pandas_udf(N.walk_batches, N.METADATA)("_vx_kind", data, "_vx_size")
+    metadata = F.when(F.col("_vx_fixed").isNotNull(), F.col("_vx_fixed")).otherwise(walked)
     # A one-element explode keeps filters on the result from repeating its parsing.
     read = df.select("*", F.explode(F.array(metadata)).alias(name))
-    return read.drop("_vx_head", "_vx_size", "_vx_kind", "_vx_hex", "_vx_fixed", "_vx_walked", "_vx_whole")
+    return read.drop("_vx_head", "_vx_size", "_vx_kind", "_vx_hex", "_vx_fixed", "_vx_whole")
 
 
 def _after_id3(start: bytes) -> int:

@@ -289,3 +289,22 @@ def walk_batches(parts: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Ite
 def head_suffices(kind: Column) -> Column:
     """Whether the walk needs the head alone, unless it ends beyond that."""
     return kind.isin("wav", "aiff")
+
+
+def walk_ends_in(head: Column, big: Column, chunks: int = 64) -> Column:
+    """Whether ``walk_chunks`` meets its last chunk among the first ones of a head; ``big`` is the byte order's.
+
+    Where this says no, the walk may still end in the head.
+    """
+    length = F.octet_length(head)
+
+    def is_last(at: Column) -> Column:
+        return (tag_at(head, at, b"data") & (at + 8 <= length)) | (tag_at(head, at, b"COMM") & (at + 26 <= length))
+
+    def following(at: Column, _: Column) -> Column:
+        size = F.when(big, number(head, at + 4, 4)).otherwise(number(head, at + 4, 4, little=True))
+        beyond = F.least(at + 8 + size + size % 2, length.cast("bigint"))
+        return F.when(is_last(at) | size.isNull(), at).otherwise(beyond.cast("int"))
+
+    last = F.aggregate(F.sequence(F.lit(1), F.lit(chunks)), F.lit(12), following)
+    return F.coalesce(F.exists(F.array(last), is_last), F.lit(False))

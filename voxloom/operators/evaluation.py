@@ -84,8 +84,10 @@ def watch_statuses(df: DataFrame) -> tuple[DataFrame, Observation]:
 
 def counted_statuses(spark: SparkSession, seen: Observation) -> DataFrame:
     """(status, samples) of the statuses that were seen."""
-    rows = [(name, n) for name, n in seen.get.items() if n]
-    return spark.createDataFrame(rows, f"{STATUS} string, samples long")
+    rows = [F.struct(F.lit(name), F.lit(n).cast("long")) for name, n in seen.get.items() if n]
+    # Not createDataFrame, which has Python workers of another kind started to read a few rows.
+    counts = F.array(*rows).cast(f"array<struct<{STATUS}: string, samples: bigint>>")
+    return spark.range(1).select(F.inline(counts))
 
 
 def with_position(df: DataFrame, file: str, row: str, name: str = "position") -> DataFrame:
