@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from voxloom.functions import audio as A
 from voxloom.functions import containers as N
 from voxloom.operators import evaluation as E
+from voxloom.operators.inference import transcribe
 from voxloom.plans import evaluate
 from voxloom.sources import corpus as S
 
@@ -192,3 +193,11 @@ def test_counts_need_no_python_workers(spark):
     assert [tuple(r) for r in counts.collect()] == [("ok", 3), ("decode_failed", 2)]
     Seen.get = {"ok": 0}
     assert E.counted_statuses(spark, Seen).collect() == []
+
+
+def test_samples_take_one_worker(spark):
+    samples = spark.createDataFrame([(1, (WALKED["short"], None))], "id int, audio struct<bytes: binary, path: string>")
+    heard = transcribe(evaluate.with_sample_metadata(samples), lambda: lambda batch, _: ["x"] * len(batch), "audio")
+    plan = heard._jdf.queryExecution().executedPlan().toString()
+    assert (plan.count("ArrowEvalPython "), plan.count("MapInPandas ")) == (1, 1)
+    assert [(r.wav.n_samples, r.prediction) for r in heard.collect()] == [(100, "x")]
