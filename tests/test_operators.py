@@ -379,6 +379,20 @@ def test_a_worker_loads_its_predictor_once(spark, tmp_path):
     assert {r.prediction for r in other.select("prediction").distinct().collect()} == {"other"}
 
 
+def test_recognizers_share_no_worker_with_other_steps(spark):
+    environment = dict(spark.sparkContext.environment)
+    pid = F.pandas_udf(lambda parts: parts * 0 + os.getpid(), "long")
+    rows = spark.range(0, 64, 1, 64).withColumn("other", pid("id")).withColumn("audio", F.col("id"))
+    rows.write.format("noop").mode("overwrite").save()
+    heard = transcribe(rows, lambda: lambda batch, hints: [os.getpid()] * len(batch), "audio")
+    # Idle workers are taken in turn: 64 tasks get to each that is free to both steps.
+    found = heard.collect()
+    assert {int(r.prediction) for r in found}.isdisjoint(r.other for r in found)
+    again = rows.select("other").collect()
+    assert {int(r.prediction) for r in found}.isdisjoint(r.other for r in again)
+    assert spark.sparkContext.environment == environment
+
+
 def test_a_failed_load_is_tried_again(spark, tmp_path):
     def make():
         raise OSError("no model")

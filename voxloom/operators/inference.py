@@ -5,11 +5,12 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from types import ModuleType
 
 import pandas as pd
 from pyspark.resource import ResourceProfile
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -32,7 +33,8 @@ def transcribe(
 
     ``make_predictor`` runs once per Python worker, at the first row that is recognized
     there; the worker keeps its predictor for all tasks of this call and lets go of that
-    of the call before. ``profile`` asks for the resources of the stage, such as a GPU a
+    of the call before. No other step runs in these workers, so an executor holds a
+    predictor for each task that it runs at once. ``profile`` asks for the resources of the stage, such as a GPU a
     task and the memory of a model. Rows are
     recognized where they are read; ``spark.sql.files.maxPartitionBytes`` sets how many
     tasks that makes, and a caller with few small files deals the rows out beforehand.
@@ -67,7 +69,24 @@ def transcribe(
     if only is not None:
         flag = F.coalesce(F.col(only), F.lit(False))
         df = df.withColumns({only: flag, audio: F.when(flag, F.col(audio))})
-    return df.mapInPandas(run, schema, profile=profile)
+    with _workers_of_their_own(df.sparkSession):
+        return df.mapInPandas(run, schema, profile=profile)
+
+
+@contextmanager
+def _workers_of_their_own(spark: SparkSession) -> Iterator[None]:
+    """Functions given to Spark meanwhile share Python workers with no others.
+
+    Spark hands a worker that gets idle to any function of the same environment. One that
+    measured audio would recognize in a later task, and in time as many workers would hold
+    a predictor as there are Python steps in all tasks at once.
+    """
+    environment = spark.sparkContext.environment
+    environment["VOXLOOM_WORKERS"] = "recognizers"
+    try:
+        yield
+    finally:
+        del environment["VOXLOOM_WORKERS"]
 
 
 def _kept_by_worker(call: str, make_predictor: Callable[[], Predictor]) -> Predictor:
