@@ -34,8 +34,8 @@ def transcribe(
     ``make_predictor`` runs once per Python worker, at the first row that is recognized
     there; the worker keeps its predictor for all tasks of this call and lets go of that
     of the call before. No other step runs in these workers, so an executor holds a
-    predictor for each task that it runs at once. ``profile`` asks for the resources of the stage, such as a GPU a
-    task and the memory of a model. Rows are
+    predictor for each task that it runs at once. ``profile`` asks for the resources of
+    the stage, such as a GPU a task and the memory of a model. Rows are
     recognized where they are read; ``spark.sql.files.maxPartitionBytes`` sets how many
     tasks that makes, and a caller with few small files deals the rows out beforehand.
     Rows stream through in Arrow batches and are predicted ``batch_size`` at a
